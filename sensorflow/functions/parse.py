@@ -76,3 +76,19 @@ def is_bad_number(raw: ColumnOrName, typed: ColumnOrName) -> Column:
     """True when a non-blank text did not parse into a number."""
     raw_c = _col(raw)
     return (raw_c.isNotNull() & (F.trim(raw_c) != F.lit("")) & _col(typed).isNull())
+
+
+def compute_once(df, **exprs: Column):
+    """Evaluate expensive per-row expressions exactly once.
+
+    Catalyst pushes filters below projections by substituting the projected
+    expression into the condition, and a Filter does no common-subexpression
+    elimination: a validity check that looks at a split message ten times
+    splits it ten times. Producing the values from a one-row generator
+    (``inline(array(struct(...)))``) stores them once per input row; filters
+    and projections above refer to the stored columns. The generator stays in
+    the same whole-stage-codegen span as the scan.
+    """
+    from pyspark.sql import functions as F_
+    packed = F_.struct(*[e.alias(n) for n, e in exprs.items()])
+    return df.select("*", F_.inline(F_.array(packed)))

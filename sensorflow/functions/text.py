@@ -29,16 +29,26 @@ def first_number(line: ColumnOrName, pattern: str) -> Column:
 
 
 def extract_value(line: ColumnOrName) -> Column:
-    """Number after a keyword, else after ``= [``; NULL when neither matches."""
-    return F.coalesce(first_number(line, KEYWORD_VALUE), first_number(line, EQUALS_BRACKET_VALUE))
+    """Number after a keyword, else after ``= [``; NULL when neither matches.
+
+    Both patterns need ``:`` or ``=``; lines without either skip the regexes.
+    """
+    l = _col(line)
+    may = (F.instr(l, ":") > 0) | (F.instr(l, "=") > 0)
+    return F.when(may, F.coalesce(first_number(l, KEYWORD_VALUE),
+                                  first_number(l, EQUALS_BRACKET_VALUE)))
 
 
 def split_lines(text: ColumnOrName) -> Column:
     """Text -> array of lines (Python ``splitlines`` break characters).
 
     A trailing line break yields a trailing empty line, which matches nothing.
+    The rarer break characters are first rewritten to ``\\n`` (compiled
+    pattern, cached per task) so the split itself is a single-character split,
+    which the JVM does without a regex.
     """
-    return F.split(_col(text), LINE_BREAK)
+    unified = F.regexp_replace(_col(text), LINE_BREAK, "\n")
+    return F.split(unified, "\n")
 
 
 def normalise_line(line: ColumnOrName, sep: str = ";", decimal: str = ",",

@@ -26,6 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.parse import compute_once
 from ..functions.text import (DEFAULT_SENSOR_PATTERN, EVENT_VALUE, SENSOR_SPAN,
                               extract_value, first_number, split_lines)
 
@@ -35,18 +36,26 @@ def _line_facts(line: Column, sensor_pattern: str) -> dict[str, Column]:
         "sensor": F.coalesce(line.rlike("(?i)" + sensor_pattern), F.lit(False)),
         "kv": extract_value(line),
         "ev": F.coalesce(F.lower(line).contains("event"), F.lit(False)),
-        "br": first_number(line, EVENT_VALUE),
+        # the bracket pattern needs a "[": skip the regex on other lines
+        "br": F.when(F.instr(line, "[") > 0, first_number(line, EVENT_VALUE)),
     }
 
 
-def extract_value_from_dump(text: str | Column, sensor_pattern: str = DEFAULT_SENSOR_PATTERN,
-                            span: int = SENSOR_SPAN) -> Column:
-    """X1 as one column expression: the sensor value of a dump, NULL if none."""
+def line_facts(text: str | Column, sensor_pattern: str = DEFAULT_SENSOR_PATTERN) -> Column:
+    """Per line of a dump: index, sensor match, keyword value, event flag, bracket value.
+
+    Every regex runs once per line here; :func:`value_from_facts` only reads
+    the resulting array.
+    """
     t = F.col(text) if isinstance(text, str) else text
-    lines = split_lines(t)
-    facts = F.transform(lines, lambda l, i: F.struct(
+    return F.transform(split_lines(t), lambda l, i: F.struct(
         i.alias("i"), *[c.alias(k) for k, c in _line_facts(l, sensor_pattern).items()]))
 
+
+def value_from_facts(facts: str | Column, span: int = SENSOR_SPAN) -> Column:
+    """X1 rule over a ``line_facts`` array: the first sensor line that yields a value."""
+    facts = F.col(facts) if isinstance(facts, str) else facts
+
     def value_at(s):
         win = F.slice(facts, s["i"] + 1, span)
         phase1 = F.get(F.filter(win, lambda x: x["kv"].isNotNull()), 0)["kv"]
@@ -60,11 +69,24 @@ def extract_value_from_dump(text: str | Column, sensor_pattern: str = DEFAULT_SE
     return F.try_element_at(found, F.lit(1))
 
 
+def with_dump_value(dumps: DataFrame, text: str = "text", out: str = "value",
+                    sensor_pattern: str = DEFAULT_SENSOR_PATTERN,
+                    span: int = SENSOR_SPAN) -> DataFrame:
+    """Add the sensor value of each dump (NULL when there is none).
+
+    The line facts are computed once per dump (``compute_once``), then the
+    look-ahead rule reads them; no shuffle.
+    """
+    facts = "__sf_facts"
+    staged = compute_once(dumps, **{facts: line_facts(text, sensor_pattern)})
+    return staged.withColumn(out, value_from_facts(facts, span)).drop(facts)
+
+
 def extract_readings(dumps: DataFrame, text: str = "text",
                      sensor_pattern: str = DEFAULT_SENSOR_PATTERN,
                      span: int = SENSOR_SPAN) -> tuple[DataFrame, DataFrame]:
     """One dump per row -> ``(readings with value, rejects)``."""
-    out = dumps.withColumn("value", extract_value_from_dump(text, sensor_pattern, span))
+    out = with_dump_value(dumps, text, "value", sensor_pattern, span)
     return (out.where(F.col("value").isNotNull()),
             out.where(F.col("value").isNull()).drop("value")
                .withColumn("reason", F.lit("no sensor value")))

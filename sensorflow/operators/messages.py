@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.parse import event_time, field, raw_field, split_fields
+from ..functions.parse import compute_once, event_time, field, raw_field, split_fields
 
 GYRO_FIELDS = ("gx", "gy", "gz", "absolute")
 
@@ -33,8 +33,8 @@ def parse_gyro(df: DataFrame, value: str = "value", resolution: str = "second",
     Returns ``(parsed, rejects)``; rejects keep the raw text and a reason.
     """
     f = "__sf_f"
-    split = df.select(*keep, F.col(value).cast("string").alias("raw"),
-                      split_fields(value).alias(f))
+    split = compute_once(df.select(*keep, F.col(value).cast("string").alias("raw")),
+                         **{f: split_fields("raw")})
     reason = (F.when(F.col("raw").isNull() | (F.trim("raw") == F.lit("")), F.lit("empty"))
               .when(F.size(f) < F.lit(5), F.lit("fields<5"))
               .when(field(f, 0, "bigint").isNull(), F.lit("bad:time"))
@@ -57,8 +57,8 @@ def parse_location(df: DataFrame, value: str = "value", resolution: str = "secon
     hr and temp; any other count, a bad time or a non-numeric field -> reject.
     """
     f = "__sf_f"
-    split = df.select(*keep, F.col(value).cast("string").alias("raw"),
-                      split_fields(value).alias(f))
+    split = compute_once(df.select(*keep, F.col(value).cast("string").alias("raw")),
+                         **{f: split_fields("raw")})
     n = F.size(f)
     kind = F.when(n == 5, F.lit("walk")).when(n == 6, F.lit("fitness"))
     reason = (F.when(F.col("raw").isNull() | (F.trim("raw") == F.lit("")), F.lit("empty"))

@@ -20,7 +20,7 @@ from ..functions.timestamps import (as_instant, as_wall_clock, day_bucket, fmt_d
                                     offset_text, rfc3339, to_zone, window_key,
                                     zone_offset_minutes)
 from ..operators import clean, series
-from ..operators.extract import extract_value_from_dump
+from ..operators.extract import with_dump_value
 from ..operators.messages import json_field, parse_gyro, parse_location
 from ..operators.reshape import to_points
 from ..operators.windows import track_summary, window_stats
@@ -180,7 +180,7 @@ def fixed_decimals(spark, sf_dir):
 
 def extract_readings_query(spark, sf_dir):
     dumps = dumps_from_events(events(spark, sf_dir))
-    return dumps.select("event_id", extract_value_from_dump("text").alias("lx"))
+    return with_dump_value(dumps, "text", "lx").select("event_id", "lx")
 
 
 def location_messages(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -20,6 +20,7 @@ def spark():
     ckpt = tempfile.mkdtemp(prefix="sf-test-ckpt-")
     s = get_session(app="sensorflow-tests", master="local[*]", shuffle_partitions=8,
                     conf={"spark.checkpoint.dir": ckpt,
+                          "spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="sf-test-wh-"),
                           "spark.sql.streaming.stopTimeout": "30s"})
     s.sparkContext.setLogLevel("ERROR")
     yield s

@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 
 from ..functions.timestamps import as_instant
 
+_K = "__sf_key"
 _B = "__sf_bucket"
 _FIRST = "__sf_first_in_bucket"
 _LAST = "__sf_last"
@@ -81,31 +82,77 @@ def lag_stitched(
             out = out.withColumn(prefix + c, F.lag(c).over(w))
         return out.withColumn(has_prev, F.lag(F.lit(True)).over(w).isNotNull())
 
-    keyed = df.withColumn(_B, _bucket_of(order[0], bucket))
-    w = Window.partitionBy(*by, _B).orderBy(*order)
+    # One struct key: NULL-safe equality in a plain equi-join, and the join
+    # below keeps the (key, bucket) hash partitioning of the window.
+    keyed = (df.withColumn(_K, F.struct(*by) if by else F.lit(0))
+             .withColumn(_B, _bucket_of(order[0], bucket)))
+    w = Window.partitionBy(_K, _B).orderBy(*order)
     inner = keyed.withColumn(_FIRST, F.lag(F.lit(True)).over(w).isNull())
     for c in cols:
         inner = inner.withColumn(prefix + c, F.lag(c).over(w))
 
-    # Last row of every non-empty (series, bucket), then the one before it.
-    last = (keyed.groupBy(*by, _B)
-            .agg(F.max_by(F.struct(*[F.col(c) for c in cols]),
-                          F.struct(*[F.col(c) for c in order])).alias(_LAST)))
-    prev = (last.withColumn(_PREV, F.lag(_LAST).over(Window.partitionBy(*by).orderBy(_B)))
+    # Last row of every non-empty (series, bucket): an aggregate combined per
+    # map task before its (small) shuffle, then the one of the bucket before.
+    # This side has one row per (series, bucket); AQE measures it at runtime
+    # and broadcasts it only below the broadcast threshold, else sort-merges.
+    last = keyed.groupBy(_K, _B).agg(last_of(keyed, cols, order).alias(_LAST))
+    prev = (last.withColumn(_PREV, F.lag(_LAST).over(Window.partitionBy(_K).orderBy(_B)))
             .where(F.col(_PREV).isNotNull())
-            .select(*[F.col(c).alias("__sf_k_" + c) for c in (*by, _B)], _PREV))
+            .select(_K, _B, _PREV))
 
-    # NULL-safe on the series key, so a NULL key is a series of its own.
-    cond = [inner[c].eqNullSafe(prev["__sf_k_" + c]) for c in (*by, _B)]
-    joined = (inner.join(prev, on=cond, how="left")
-              .drop(*["__sf_k_" + c for c in (*by, _B)]))
+    joined = inner.join(prev, on=[_K, _B], how="left")
     for c in cols:
         joined = joined.withColumn(
             prefix + c,
             F.when(F.col(_FIRST), F.col(f"{_PREV}.{c}")).otherwise(F.col(prefix + c)))
     joined = joined.withColumn(
         has_prev, ~F.col(_FIRST) | F.col(_PREV).isNotNull())
-    return joined.drop(_B, _FIRST, _PREV)
+    return joined.drop(_K, _B, _FIRST, _PREV)
+
+
+_FIXED = ("double", "float", "bigint", "int", "smallint", "tinyint", "boolean",
+          "timestamp", "timestamp_ntz", "date")
+_INTEGRAL = ("bigint", "int", "smallint", "tinyint")
+_TIMES = ("timestamp", "timestamp_ntz")
+
+
+def order_key(df: DataFrame, order: Sequence[str]) -> Column | None:
+    """One DECIMAL(38,0) that sorts like ``order`` (NULLS FIRST), when ``order``
+    is a time or integer column optionally followed by an integer tie-breaker.
+
+    A fixed-width ordering keeps ``max_by`` / ``min_by`` in a hash aggregate;
+    a struct ordering forces a sort-based aggregate (every map task sorts its
+    rows). Returns None when the columns cannot be packed.
+    """
+    types = dict(df.dtypes)
+    if not 1 <= len(order) <= 2:
+        return None
+    first, rest = order[0], order[1:]
+    if types.get(first) in _TIMES:
+        head = F.unix_micros(as_instant(first))
+    elif types.get(first) in _INTEGRAL:
+        head = F.col(first).cast("bigint")
+    else:
+        return None
+    if rest and types.get(rest[0]) not in _INTEGRAL:
+        return None
+    lo = F.lit(-(2 ** 63)).cast("bigint")
+    key = F.coalesce(head, lo).cast("decimal(38,0)")
+    if rest:
+        tie = F.coalesce(F.col(rest[0]).cast("bigint"), lo).cast("decimal(38,0)")
+        key = (key * F.lit(str(10 ** 20)).cast("decimal(38,0)")
+               + (tie + F.lit(str(2 ** 63)).cast("decimal(38,0)")))
+        key = key.cast("decimal(38,0)")
+    return key
+
+
+def last_of(df: DataFrame, cols: Sequence[str], order: Sequence[str]) -> Column:
+    """Aggregate: struct of ``cols`` taken from the row that is last by ``order``."""
+    types = dict(df.dtypes)
+    key = order_key(df, order)
+    if key is not None and all(types[c] in _FIXED for c in cols):
+        return F.struct(*[F.max_by(c, key).alias(c) for c in cols])
+    return F.max_by(F.struct(*[F.col(c) for c in cols]), F.struct(*[F.col(c) for c in order]))
 
 
 def segments(df: DataFrame, by, order, lat: str = "lat", lon: str = "lon",
@@ -221,7 +268,9 @@ def time_bounds(df: DataFrame, ts: str, by=None) -> DataFrame:
 def first_last(df: DataFrame, by, order, col: str) -> DataFrame:
     """First and last value of ``col`` per series, by ``order``."""
     by, order = _names(by), _names(order)
-    o = F.struct(*[F.col(c) for c in order])
+    o = order_key(df, order) if dict(df.dtypes)[col] in _FIXED else None
+    if o is None:  # sort-based aggregate; still combined per map task
+        o = F.struct(*[F.col(c) for c in order])
     return df.groupBy(*by).agg(F.min_by(col, o).alias("first_" + col),
                                F.max_by(col, o).alias("last_" + col),
                                F.count(F.lit(1)).alias("n"))

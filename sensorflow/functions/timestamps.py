@@ -139,3 +139,8 @@ def offset_text(minutes: ColumnOrName) -> Column:
 def now_ns() -> Column:
     """Current instant in ns (µs precision; the JVM clock offers no more)."""
     return F.unix_micros(F.current_timestamp()) * F.lit(1000)
+
+
+def session_zone() -> Column:
+    """The session time zone as text (UTC for sensorflow sessions)."""
+    return F.current_timezone()

@@ -28,7 +28,10 @@ def with_ttl(df: DataFrame, base: str | Column, seconds: int, out: str = "expire
 
 
 def not_expired(df: DataFrame, now: dt.datetime | Column, col: str = "expires_at") -> DataFrame:
-    """K4: entries still alive at ``now``; take the newest version *before* this."""
+    """K4: entries still alive at ``now``; take the newest version *before* this.
+
+    An entry written without a TTL (``expires_at`` NULL) never expires.
+    """
     if isinstance(now, Column):
         now_c = now
     elif isinstance(now, dt.datetime) and now.tzinfo is None:
@@ -36,7 +39,8 @@ def not_expired(df: DataFrame, now: dt.datetime | Column, col: str = "expires_at
         now_c = F.lit(now.isoformat(sep=" ")).cast("timestamp")
     else:
         now_c = F.lit(now).cast("timestamp")
-    return df.where(F.col(col) > now_c)
+    # no expiry set (NULL) means the entry never expires
+    return df.where(F.col(col).isNull() | (F.col(col) > now_c))
 
 
 def latest_rows(df: DataFrame, key_prefix: str, ttl_s: int | None, now: Column | None = None,
@@ -166,3 +170,13 @@ def fan_out(df: DataFrame, sinks: Sequence[Callable[[DataFrame], None]]) -> None
         df.unpersist()
     if errors:
         raise RuntimeError(f"{len(errors)} of {len(sinks)} sinks failed") from errors[0]
+
+
+def to_pandas_bounded(df: DataFrame, n: int, order: Sequence | None = None):
+    """At most ``n`` rows to the caller as pandas (after ordering, if given).
+
+    The limit is applied in Spark (top-k per partition, then merged), so the
+    driver never receives more than ``n`` rows.
+    """
+    out = df.orderBy(*order) if order else df
+    return out.limit(n).toPandas()

@@ -121,9 +121,13 @@ def read_light_csv(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame
 
 
 def read_dumps(spark: SparkSession, path: str) -> DataFrame:
-    """One text dump per file -> ``(dump_id, text)`` (dump_id = file path)."""
+    """One text dump per file -> ``(dump_id, text, modified)``.
+
+    ``dump_id`` is the file path, ``modified`` the file's modification time.
+    """
     return (spark.read.text(path, wholetext=True)
-            .select(F.input_file_name().alias("dump_id"), F.col("value").alias("text")))
+            .select(F.col("_metadata.file_path").alias("dump_id"), F.col("value").alias("text"),
+                    F.col("_metadata.file_modification_time").alias("modified")))
 
 
 def read_dump_lines(spark: SparkSession, path: str) -> DataFrame:

@@ -61,7 +61,7 @@ def lag_stitched(
     by: str | Sequence[str] | None,
     order: str | Sequence[str],
     cols: str | Sequence[str],
-    bucket: str | None = "1 day",
+    bucket: str | None = "1 hour",
     prefix: str = "prev_",
     has_prev: str = "has_prev",
 ) -> DataFrame:
@@ -156,7 +156,7 @@ def last_of(df: DataFrame, cols: Sequence[str], order: Sequence[str]) -> Column:
 
 
 def segments(df: DataFrame, by, order, lat: str = "lat", lon: str = "lon",
-             bucket: str | None = "1 day") -> DataFrame:
+             bucket: str | None = "1 hour") -> DataFrame:
     """Consecutive points of a series as segments (prev_lat, prev_lon) -> (lat, lon).
 
     The first point of every series starts no segment and is dropped.
@@ -165,7 +165,7 @@ def segments(df: DataFrame, by, order, lat: str = "lat", lon: str = "lon",
     return out.where(F.col("has_prev")).drop("has_prev")
 
 
-def on_change(df: DataFrame, by, order, col: str, bucket: str | None = "1 day") -> DataFrame:
+def on_change(df: DataFrame, by, order, col: str, bucket: str | None = "1 hour") -> DataFrame:
     """Keep a reading only when it differs from the previous one of its series.
 
     NULL equals NULL here; the first reading of a series is kept unless it is NULL.
@@ -177,7 +177,7 @@ def on_change(df: DataFrame, by, order, col: str, bucket: str | None = "1 day")
 
 def sample_gap(df: DataFrame, by, order, ts: str = "ts", factor: float | None = None,
                clip_s: tuple[float, float] | None = (0.0, 5.0),
-               bucket: str | None = "1 day") -> DataFrame:
+               bucket: str | None = "1 hour") -> DataFrame:
     """Gap to the previous sample of the series.
 
     Adds ``gap_us`` (integer µs, NULL for the first sample) and, with

@@ -161,7 +161,7 @@ def dump_readings(spark: SparkSession, dumps_path: str, sensor_id: str = "light"
     ok, rejects = extract_readings(dumps)
     readings = ok.select(F.lit(sensor_id).alias("sensor_id"), "ts", F.col("value").alias("lx"),
                          "dump_id")
-    changed = series.on_change(readings, "sensor_id", ["ts", "dump_id"], "lx", bucket="1 day")
+    changed = series.on_change(readings, "sensor_id", ["ts", "dump_id"], "lx", bucket="1 hour")
     return changed.drop("dump_id"), rejects
 
 

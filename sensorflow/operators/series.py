@@ -50,10 +50,27 @@ def _names(cols: str | Sequence[str] | None) -> list[str]:
     return [cols] if isinstance(cols, str) else list(cols)
 
 
-def _bucket_of(ts: str, bucket: str) -> Column:
-    width = _BUCKET_US[bucket]
+def _bucket_of(ts: str, width_us: int) -> Column:
     # floor, so instants before 1970 still land in the right bucket
-    return F.floor(F.unix_micros(as_instant(ts)) / F.lit(width)).cast("bigint")
+    return F.floor(F.unix_micros(as_instant(ts)) / F.lit(width_us)).cast("bigint")
+
+
+def auto_bucket_us(df: DataFrame, by: Sequence[str], ts: str,
+                   target_rows: int = 2_000_000, base: str = "1 hour",
+                   min_us: int = 1_000) -> int:
+    """Bucket width such that the densest (series, bucket) holds about
+    ``target_rows`` rows at most.
+
+    One pre-pass: rows per (series, ``base`` slice) as a hash aggregate, whose
+    maximum (a single number) comes back to the driver. A series holding a
+    third of all rows gets proportionally narrower buckets, i.e. more tasks.
+    """
+    base_us = _BUCKET_US[base]
+    per = df.groupBy(*by, _bucket_of(ts, base_us).alias(_B)).count()
+    densest = per.agg(F.max("count")).first()[0] or 0
+    if densest <= target_rows:
+        return base_us
+    return max(base_us // -(-densest // target_rows), min_us)
 
 
 def lag_stitched(
@@ -71,8 +88,9 @@ def lag_stitched(
     Equal to ``lag(c) over (partition by by order by order)``. With ``bucket``
     set, the first ``order`` column must be a timestamp; the window is
     partitioned by ``(by, bucket)`` and stitched, so no task holds more than
-    one bucket of one series. ``bucket=None`` is the plain window, for inputs
-    that are already small per series (e.g. daily aggregates).
+    one bucket of one series. ``bucket='auto'`` sizes the buckets from the
+    data (:func:`auto_bucket_us`); ``bucket=None`` is the plain window, for
+    inputs that are already small per series (e.g. daily aggregates).
     """
     by, order, cols = _names(by), _names(order), _names(cols)
     if bucket is None:
@@ -82,10 +100,12 @@ def lag_stitched(
             out = out.withColumn(prefix + c, F.lag(c).over(w))
         return out.withColumn(has_prev, F.lag(F.lit(True)).over(w).isNotNull())
 
+    width = (auto_bucket_us(df, by, order[0]) if bucket == "auto"
+             else _BUCKET_US[bucket])
     # One struct key: NULL-safe equality in a plain equi-join, and the join
     # below keeps the (key, bucket) hash partitioning of the window.
     keyed = (df.withColumn(_K, F.struct(*by) if by else F.lit(0))
-             .withColumn(_B, _bucket_of(order[0], bucket)))
+             .withColumn(_B, _bucket_of(order[0], width)))
     w = Window.partitionBy(_K, _B).orderBy(*order)
     inner = keyed.withColumn(_FIRST, F.lag(F.lit(True)).over(w).isNull())
     for c in cols:

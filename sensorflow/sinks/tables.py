@@ -105,7 +105,10 @@ def write_points(df: DataFrame, path: str, precision: str = "ms",
         pts = latest_by_key(pts, key, [version])
     else:
         pts = pts.dropDuplicates(key)
-    (pts.repartition("measurement", "field").sortWithinPartitions("time")
+    # Range partitioning: each file holds one time slice of one series, and a
+    # hot measurement is split over many writers instead of one.
+    (pts.repartitionByRange("measurement", "field", "time")
+     .sortWithinPartitions("measurement", "field", "time")
      .write.mode(mode).partitionBy("measurement").parquet(path))
 
 
@@ -117,7 +120,8 @@ def write_readings(df: DataFrame, path: str, write_id: int, ts: str = "ts") -> N
            .withColumn("day_bucket", day_bucket("ts"))
            .withColumn("write_id", F.lit(write_id).cast("bigint"))
            .dropDuplicates(["sensor_id", "day_bucket", "ts"]))
-    (out.repartition("sensor_id", "day_bucket").sortWithinPartitions("ts")
+    (out.repartitionByRange("sensor_id", "day_bucket", "ts")
+     .sortWithinPartitions("sensor_id", "day_bucket", "ts")
      .write.mode("append").partitionBy("sensor_id", "day_bucket").parquet(path))
 
 

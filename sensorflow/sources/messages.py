@@ -78,7 +78,14 @@ def write_messages(df: DataFrame, topic: str, servers: str | None = None, fmt: s
     raise ValueError(f"unknown message format {fmt!r}")
 
 
-def co_locate(df: DataFrame, key: str | list[str], ts: str) -> DataFrame:
-    """M4: keep one series together and in time order (hash partition + local sort)."""
+def co_locate(df: DataFrame, key: str | list[str], ts: str,
+              partitions: int | None = None) -> DataFrame:
+    """M4: keep each series contiguous and in time order.
+
+    Range partitioning on (key, ts): a series occupies consecutive partitions,
+    and a hot series is split by time over several of them instead of landing
+    in one task as a hash partitioning on the key would.
+    """
     keys = [key] if isinstance(key, str) else list(key)
-    return df.repartition(*keys).sortWithinPartitions(*keys, ts)
+    parts = ([partitions] if partitions else [])
+    return df.repartitionByRange(*parts, *keys, ts).sortWithinPartitions(*keys, ts)

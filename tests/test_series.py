@@ -113,3 +113,15 @@ def test_window_stats_and_half_second_quirk(spark):
     assert all(r["fenster_start"].microsecond == 0 for r in half.collect())
     summ = track_summary(out, ["avg_gx"]).first()
     assert (summ["n_windows"], summ["avg_gx_avg"], summ["avg_gx_weighted"]) == (2, 3.5, 3.5)
+
+
+def test_auto_bucket_narrows_for_a_hot_series(spark):
+    df = _series(spark, 600)
+    assert series.auto_bucket_us(df, ["k"], "ts") == 3_600_000_000
+    # a tiny target forces narrower buckets for the hot key, same result
+    width = series.auto_bucket_us(df, ["k"], "ts", target_rows=2)
+    assert width < 3_600_000_000
+    w = Window.partitionBy("k").orderBy("ts", "id")
+    want = df.select("id", F.lag("v").over(w).alias("p"))
+    got = series.lag_stitched(df, "k", ["ts", "id"], ["v"], bucket="auto")
+    assert rows(got, "id", "prev_v") == rows(want, "id", "p")

@@ -205,3 +205,54 @@ ORACLE: dict[str, str] = {
         select event_type, event_id, value, lag(value) over {W_TYPE} as prev_value
         from events""",
 }
+
+_SC = "(2147483648.0::double / 180.0::double)"
+_DEG = "(180.0::double / 2147483648.0::double)"
+
+ORACLE.update({
+    "last_k_per_key": """
+        select user_id, event_id, ts, value from events
+        qualify row_number() over (partition by user_id order by ts desc, event_id desc) <= 3""",
+    "trailing_per_key": """
+        select e.event_type, e.event_id, e.ts from events e
+        join (select event_type, max(ts) as m from events group by 1) t
+          on e.event_type = t.event_type
+        where e.ts >= t.m - interval 6 hours""",
+    "semicircles": f"""
+        select event_id, lat, lon,
+               case when lat between -90 and 90 and lon between -180 and 180 then null
+                    else 'coords out of range' end as reason
+        from (select event_id,
+                     trunc(lat * {_SC})::bigint::double * {_DEG} as lat,
+                     trunc(lon * {_SC})::bigint::double * {_DEG} as lon
+              from {GEO_SQL})""",
+    "load_counts": """
+        select 'kept' as outcome, count(*) as n from events where event_id % 7 <> 0
+        union all
+        select 'bad:value' as outcome, count(*) as n from events where event_id % 7 = 0""",
+    "points_range": """
+        select ts as time, value from events
+        where ts >= timestamp '2024-01-10 00:00:00' and ts < timestamp '2024-01-12 00:00:00'""",
+    "detect_unit": """
+        select event_id,
+               case event_id % 4 when 0 then 's' when 1 then 'ms' when 2 then 'us' else 'ns' end
+                 as unit,
+               case event_id % 4 when 0 then date_trunc('second', ts)
+                                 when 1 then make_timestamp((epoch_us(ts) // 1000) * 1000)
+                                 else ts end as ts_back
+        from events""",
+    "normalise_line": """
+        select event_id, cast(value as varchar) || ',' || cast(user_id::double as varchar) as line
+        from events""",
+    "track_windows": f"""
+        select date_trunc('second', ts) as fenster_start,
+               round(avg(lat), 6) as lat_mean, round(avg(lon), 6) as lon_mean,
+               round(avg(alt), 6) as alt_mean,
+               round(avg(case when event_id % 3 = 1 then user_id::double end), 6) as hr_mean,
+               round(avg(case when event_id % 3 = 1 then (user_id % 40)::double end), 6)
+                 as temp_mean,
+               count(lat) as n_samples
+        from {GEO_SQL}
+        where event_id % 3 < 2 and lat between -90 and 90 and lon between -180 and 180
+        group by 1""",
+})

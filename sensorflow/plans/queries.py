@@ -16,16 +16,18 @@ from pyspark.sql import functions as F
 
 from ..functions.formats import encode, fixed
 from ..functions.geo import magnitude
-from ..functions.timestamps import (as_instant, as_wall_clock, day_bucket, fmt_date,
-                                    offset_text, rfc3339, to_zone, window_key,
-                                    zone_offset_minutes)
+from ..functions.text import normalise_line
+from ..functions.timestamps import (as_instant, as_wall_clock, day_bucket, detect_unit,
+                                    fmt_date, from_epoch, offset_text, rfc3339, to_zone,
+                                    window_key, zone_offset_minutes)
 from ..operators import clean, series
 from ..operators.extract import with_dump_value
 from ..operators.messages import json_field, parse_gyro, parse_location
 from ..operators.reshape import to_points
 from ..operators.windows import track_summary, window_stats
 from ..sinks.tables import not_expired, with_ttl
-from ..sources.tables import time_range
+from ..operators.counts import load_counts
+from ..sources.tables import normalise_fit, time_range
 from .dumps import dumps_from_events
 from .tables import events, geo
 
@@ -308,3 +310,118 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "altitude_delta": altitude_delta,
     "lag_stitched": lag_stitched_query,
 }
+
+
+# -- further operator groups --------------------------------------------------------
+
+def last_k_per_key(spark, sf_dir):
+    """W3 per series: newest 3 events of every user (window group limit)."""
+    out = series.last_k(events(spark, sf_dir), "user_id",
+                        [F.col("ts").desc(), F.col("event_id").desc()], 3)
+    return out.select("user_id", "event_id", "ts", "value")
+
+
+def trailing_per_key(spark, sf_dir):
+    """F7 per series: events within 6 hours of their type's newest event."""
+    out = series.trailing(events(spark, sf_dir), "ts", "6 hours", by="event_type")
+    return out.select("event_type", "event_id", "ts")
+
+
+def fit_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Decoded fitness records derived from events: positions in semicircles."""
+    g = geo(spark, sf_dir)
+    sc = F.lit(float(2 ** 31)) / F.lit(180.0)
+    return g.select(
+        "event_id", F.col("ts").alias("timestamp"),
+        (F.col("lat") * sc).cast("bigint").alias("position_lat"),
+        (F.col("lon") * sc).cast("bigint").alias("position_long"),
+        F.col("alt").alias("enhanced_altitude"),
+        (F.col("user_id") % 200).cast("int").alias("heart_rate"),
+        (F.col("event_id") % 40).cast("int").alias("temperature"))
+
+
+def semicircles_query(spark, sf_dir):
+    """Fitness records -> degrees, out-of-range positions rejected."""
+    kept, bad = normalise_fit(fit_records(spark, sf_dir), keep=("event_id",))
+    return (kept.select("event_id", "lat", "lon", F.lit(None).cast("string").alias("reason"))
+            .unionByName(bad.select("event_id", "lat", "lon", "reason")))
+
+
+def load_counts_query(spark, sf_dir):
+    """Outcome counts of a load with rejected values."""
+    ev = events(spark, sf_dir)
+    raw = ev.select("event_id", F.when(F.col("event_id") % 7 == 0, F.lit("x"))
+                    .otherwise(F.col("value").cast("string")).alias("raw"))
+    typed = raw.withColumn("value", F.col("raw").try_cast("double"))
+    kept, bad = clean.split_rejects(typed, {"value": "raw"})
+    return load_counts(kept, bad)
+
+
+def points_range(spark, sf_dir):
+    """R1 -> S11 / R2: one measurement's (time, value) in a time range of the points."""
+    mapping = [("reading", "value", "value"), ("user", "id", "user_id")]
+    pts = to_points(events(spark, sf_dir), mapping, "ts").withColumn(
+        "time", as_wall_clock("time"))
+    out = time_range(pts, "time", dt.datetime(2024, 1, 10), dt.datetime(2024, 1, 12),
+                     equals={"measurement": "reading", "field": "value"})
+    return out.select("time", "value")
+
+
+def detect_unit_query(spark, sf_dir):
+    """Epochs in four units -> detected unit -> instant again."""
+    us = F.unix_micros(as_instant("ts"))
+    k = F.col("event_id") % 4
+    v = (F.when(k == 0, F.unix_seconds(as_instant("ts")))
+         .when(k == 1, F.unix_millis(as_instant("ts")))
+         .when(k == 2, us).otherwise(us * F.lit(1000)))
+    ev = events(spark, sf_dir).withColumn("epoch", v).withColumn("unit", detect_unit("epoch"))
+    back = (F.when(F.col("unit") == "s", from_epoch("epoch", "s"))
+            .when(F.col("unit") == "ms", from_epoch("epoch", "ms"))
+            .when(F.col("unit") == "us", from_epoch("epoch", "us"))
+            .otherwise(from_epoch("epoch", "ns")))
+    return ev.select("event_id", "unit", as_wall_clock(back).alias("ts_back"))
+
+
+def normalise_line_query(spark, sf_dir):
+    """Decimal-comma ``;`` lines -> numbers -> ``,`` lines."""
+    ev = events(spark, sf_dir)
+    line = F.concat_ws(";", F.translate(F.col("value").cast("string"), ".", ","),
+                       F.col("user_id").cast("string"))
+    return ev.select("event_id", normalise_line(line).alias("line"))
+
+
+def track_windows_query(spark, sf_dir):
+    """Location topic with both layouts -> valid coordinates -> 500 ms windows of
+    five means + count (second-truncated event time, so [s, s+0.5) only)."""
+    from .jobs import track_windows
+    out = track_windows(geo_location_messages(spark, sf_dir))
+    return out.select(as_wall_clock("fenster_start").alias("fenster_start"),
+                      *[_r6(c).alias(c) for c in
+                        ("lat_mean", "lon_mean", "alt_mean", "hr_mean", "temp_mean")],
+                      "n_samples")
+
+
+def geo_location_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Location messages with the derived coordinates (part of them out of range)."""
+    g = geo(spark, sf_dir)
+    ts_ms = F.unix_millis(as_instant("ts"))
+    k = F.col("event_id") % 3
+    walk = encode({"ts_ms": ts_ms, "lat": "lat", "lon": "lon", "alt": "alt", "speed": "alt"},
+                  "walk")
+    fit = encode({"ts_ms": ts_ms, "lat": "lat", "lon": "lon", "alt": "alt", "hr": "user_id",
+                  "temp": F.col("user_id") % 40}, "fitness")
+    bad = F.concat_ws(",", ts_ms.cast("string"), F.lit("x"))
+    text = F.when(k == 0, walk).when(k == 1, fit).otherwise(bad)
+    return g.select("event_id", text.cast("binary").alias("value"))
+
+
+QUERIES.update({
+    "last_k_per_key": last_k_per_key,
+    "trailing_per_key": trailing_per_key,
+    "semicircles": semicircles_query,
+    "load_counts": load_counts_query,
+    "points_range": points_range,
+    "detect_unit": detect_unit_query,
+    "normalise_line": normalise_line_query,
+    "track_windows": track_windows_query,
+})

@@ -82,7 +82,8 @@ def read_latest(spark: SparkSession, path: str, prefix: str,
     return not_expired(newest, now).orderBy("fenster_start", "key")
 
 
-def normalise_fit(records: DataFrame, fill_zero: bool = False) -> tuple[DataFrame, DataFrame]:
+def normalise_fit(records: DataFrame, fill_zero: bool = False,
+                  keep: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
     """Decoded fitness records -> location rows (zeit, lat, lon, alt, hr, temp).
 
     Records without time or position are rejects; positions are converted from
@@ -90,6 +91,7 @@ def normalise_fit(records: DataFrame, fill_zero: bool = False) -> tuple[DataFram
     producers that send 0 for a missing altitude / heart rate / temperature.
     """
     out = records.select(
+        *keep,
         as_instant("timestamp").alias("zeit"),
         semicircles_to_deg("position_lat").alias("lat"),
         semicircles_to_deg("position_long").alias("lon"),

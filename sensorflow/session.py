@@ -60,12 +60,15 @@ def checkpoint_root(spark: SparkSession) -> str:
 
     On a cluster this comes from ``spark.checkpoint.dir`` (a folder every
     executor can reach). Only when nothing is configured -- local tests --
-    a scratch folder is created and registered.
+    a scratch folder is created and registered; on a cluster a missing
+    setting is an error rather than a machine-local folder.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
         root = tempfile.mkdtemp(prefix="sensorflow-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
     if not spark.sparkContext.getCheckpointDir():

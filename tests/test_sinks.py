@@ -107,3 +107,24 @@ def test_fan_out_tries_every_sink(spark):
         sinks.fan_out(df, [bad, lambda d: seen.append(d.count())])
     assert seen == [3]
     assert isinstance(e.value.__cause__, ValueError)
+
+
+def test_co_locate_and_bounded_pandas(spark):
+    from sensorflow.sources.messages import co_locate
+    df = spark.createDataFrame([("a", T0 + dt.timedelta(seconds=i), float(i)) for i in range(50)]
+                               + [("b", T0, 1.0)], "k string, ts timestamp, v double")
+    parts = co_locate(df, "k", "ts", partitions=4).rdd.glom().collect()
+    assert sum(1 for p in parts if any(r["k"] == "a" for r in p)) > 1  # hot key split by time
+    for p in parts:
+        ts = [r["ts"] for r in p if r["k"] == "a"]
+        assert ts == sorted(ts)
+    pdf = sinks.to_pandas_bounded(df, 3, [F.col("ts").desc(), "k"])
+    assert len(pdf) == 3 and pdf["v"].tolist() == [49.0, 48.0, 47.0]
+
+
+def test_observed_counts(spark, tmp):
+    from sensorflow.operators.counts import observed
+    df = spark.range(10)
+    counted, obs = observed(df, "obs_test", even=F.col("id") % 2 == 0)
+    counted.where("id > 4").write.format("noop").mode("overwrite").save()
+    assert obs.get == {"rows": 10, "even": 5}

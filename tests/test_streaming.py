@@ -150,3 +150,25 @@ def test_topic_stand_in_end_to_end(spark, tmp):
     streams.run_stream(q)
     got = spark.sql("SELECT sum(n_samples) n, count(*) w FROM gyro_topic_mem").first()
     assert got["n"] == ev.count()
+
+
+def test_dropped_late_rows_are_counted(spark, tmp):
+    _write_batches(os.path.join(tmp, "in"), BATCHES)
+    q = streams.for_each_batch(_agg(_source(spark, os.path.join(tmp, "in"))), "late_count",
+                               lambda b, e: None, mode="update", available_now=True,
+                               checkpoint=os.path.join(tmp, "ck"))
+    q.awaitTermination()
+    assert streams.dropped_late_rows(q) == 1  # the :00 row of the third file
+
+
+def test_window_stream_equals_batch(spark, tmp):
+    """Same rows as one batch and as three files in time order -> same windows."""
+    rows_in = [(s, float(s % 7)) for s in range(0, 90, 3)]
+    _write_batches(os.path.join(tmp, "in"), [rows_in[:10], rows_in[10:20], rows_in[20:]])
+    q = streams.to_memory(_agg(_source(spark, os.path.join(tmp, "in"))), "eq_batch_mem",
+                          mode="update", available_now=True, checkpoint=os.path.join(tmp, "ck"))
+    q.awaitTermination()
+    streamed = sorted(_s(r) for r in spark.sql("SELECT * FROM eq_batch_mem").collect())
+    batch_in = spark.read.schema("zeit timestamp, gx double").json(os.path.join(tmp, "in"))
+    batch = window_stats(batch_in, "zeit", "1 second", {"v": "gx"}, count_of="gx", end=None)
+    assert streamed == sorted(_s(r) for r in batch.collect())

@@ -220,14 +220,18 @@ def sample_gap(df: DataFrame, by, order, ts: str = "ts", factor: float | None =
     return out.drop(us, "__sf_lag_" + us, "has_prev")
 
 
-def last_k(df: DataFrame, by, order_desc: Sequence[Column], k: int) -> DataFrame:
+def last_k(df: DataFrame, by, order_desc: Sequence[Column], k: int,
+           resort: Sequence[Column] | None = None) -> DataFrame:
     """The newest ``k`` rows of each series (or of the whole frame if ``by`` is empty).
 
-    ``order_desc`` are the sort columns newest-first, e.g. ``[F.col('ts').desc()]``.
+    ``order_desc`` are the sort columns newest-first, e.g. ``[F.col('ts').desc()]``;
+    ``resort`` (e.g. ``[F.col('ts')]``) puts the ``k`` rows back in ascending order
+    for display -- a sort of ``k`` rows only.
     """
     by = _names(by)
     if not by:
-        return df.orderBy(*order_desc).limit(k)
+        top = df.orderBy(*order_desc).limit(k)
+        return top.orderBy(*resort) if resort else top
     rn = "__sf_rn"
     w = Window.partitionBy(*by).orderBy(*order_desc)
     return df.withColumn(rn, F.row_number().over(w)).where(F.col(rn) <= k).drop(rn)

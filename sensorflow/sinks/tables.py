@@ -156,6 +156,14 @@ def append_rows(df: DataFrame, table: str) -> None:
     df.select(*cols).write.insertInto(table)
 
 
+def current_rows(spark: SparkSession, table: str, key: Sequence[str] | str,
+                 version: str) -> DataFrame:
+    """K9 read side: a keyed table written by appends, one row per key (newest
+    ``version`` wins), the way an insert on an existing primary key overwrites."""
+    from ..operators.series import latest_by_key
+    return latest_by_key(spark.table(table), key, [version])
+
+
 def fan_out(df: DataFrame, sinks: Sequence[Callable[[DataFrame], None]]) -> None:
     """K7: write ``df`` to every sink; one failing sink does not stop the others.
 

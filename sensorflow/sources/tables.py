@@ -68,6 +68,15 @@ def read_partition(spark: SparkSession, path: str, sensor_id: str, day: dt.date
     return out.orderBy("ts") if order else out
 
 
+def read_partition_sql(spark: SparkSession, table: str, sensor_id: str,
+                       day: dt.date | str) -> DataFrame:
+    """S10 / F12 in SQL with bound parameters (no string building of values)."""
+    return spark.sql(
+        f"SELECT sensor_id, day_bucket, ts, lx FROM {table} "
+        "WHERE sensor_id = :sensor AND day_bucket = :day ORDER BY ts",
+        args={"sensor": sensor_id, "day": dt.date.fromisoformat(str(day))})
+
+
 def read_latest(spark: SparkSession, path: str, prefix: str,
                 now: dt.datetime | Column) -> DataFrame:
     """Newest live version of every key starting with ``prefix``, by window start.

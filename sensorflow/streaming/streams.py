@@ -2,7 +2,7 @@
 
 * Windowed aggregation with a watermark is :func:`operators.windows.window_stats`
   with ``watermark=...`` (T1, T2).
-* :func:`start` wires output mode, trigger and a checkpoint under the shared
+* :func:`writer` wires output mode, trigger and a checkpoint under the shared
   ``spark.checkpoint.dir`` (T3, T4, T9). A restarted query resumes from its
   checkpoint instead of replaying the topic from the earliest offset.
 * Late rows (T5): in ``update`` and ``append`` mode rows older than the
@@ -15,7 +15,6 @@
 
 from __future__ import annotations
 
-import datetime as dt
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -119,7 +118,3 @@ def dropped_late_rows(query: StreamingQuery) -> int:
             n = op.get("numRowsDroppedByWatermark", 0) if isinstance(op, dict) else op.numRowsDroppedByWatermark
             total += int(n or 0)
     return total
-
-
-def epoch_now() -> dt.datetime:
-    return dt.datetime.now(dt.timezone.utc)

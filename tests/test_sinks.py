@@ -128,3 +128,30 @@ def test_observed_counts(spark, tmp):
     counted, obs = observed(df, "obs_test", even=F.col("id") % 2 == 0)
     counted.where("id > 4").write.format("noop").mode("overwrite").save()
     assert obs.get == {"rows": 10, "even": 5}
+
+
+def test_keyed_table_current_rows_and_sql_partition(spark, tmp):
+    spark.sql("DROP TABLE IF EXISTS sfdemo.worte_v")
+    from pyspark.sql import types as T
+    sch = T.StructType(schemas.WORTE.fields + [T.StructField("version", T.LongType())])
+    sinks.ensure_table(spark, "sfdemo.worte_v", sch, location=os.path.join(tmp, "wv"))
+    sinks.append_rows(spark.createDataFrame([("hello", 47, 1), ("world", 11, 1)], sch), "sfdemo.worte_v")
+    sinks.append_rows(spark.createDataFrame([("hello", 48, 2)], sch), "sfdemo.worte_v")
+    cur = sinks.current_rows(spark, "sfdemo.worte_v", "wort", "version")
+    assert rows(cur, "wort", "anz") == [("hello", 48), ("world", 11)]
+
+    path = os.path.join(tmp, "readings_sql")
+    r = spark.createDataFrame([("light", T0, 1.0), ("light", T0 + dt.timedelta(days=1), 2.0)],
+                              "sensor_id string, ts timestamp, lx double")
+    sinks.write_readings(r, path, write_id=1)
+    spark.read.parquet(path).createOrReplaceTempView("readings_sql")
+    got = sources.read_partition_sql(spark, "readings_sql", "light", T0.date())
+    assert rows(got, "lx") == [(1.0,)]
+    assert "PartitionFilters" in _plan(got)
+
+
+def test_last_k_resorted_ascending(spark):
+    from sensorflow.operators.series import last_k
+    df = spark.range(100).withColumn("ts", F.col("id"))
+    got = last_k(df, None, [F.col("ts").desc()], 3, resort=[F.col("ts")])
+    assert [r["id"] for r in got.collect()] == [97, 98, 99]

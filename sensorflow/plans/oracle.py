@@ -80,7 +80,7 @@ ORACLE: dict[str, str] = {
           select *, lag(value) over {W_TYPE} as p from events)
         where value is distinct from p""",
     "sample_gap": f"""
-        select event_id, user_id, gap_us,
+        select event_id, user_id, gap_us::double as gap_us,
                round(gap_us / 1e6 / 5.0::double, 6) as gap_s,
                round(case when gap_us / 1e6 / 5.0::double > 0
                            and gap_us / 1e6 / 5.0::double < 5
@@ -107,7 +107,7 @@ ORACLE: dict[str, str] = {
         select event_id, 'user' as measurement, 'id' as field, user_id::double as value,
                ts as time, epoch_us(ts) * 1000 as time_ns from events""",
     "day_bucket_last": """
-        select event_type, ts::date as day_bucket, count(*) as n,
+        select event_type, ts::date::timestamp as day_bucket, count(*) as n,
                arg_min(value, (ts, event_id)) as first_v,
                arg_max(value, (ts, event_id)) as last_v
         from events group by 1, 2""",
@@ -187,7 +187,8 @@ ORACLE: dict[str, str] = {
                case when event_id % 7 = 0 then 'bad:value' end as reason
         from events""",
     "unseen": """
-        select e.event_id, e.user_id, e.ts::date as day_bucket, e.event_type from events e
+        select e.event_id, e.user_id, e.ts::date::timestamp as day_bucket, e.event_type
+        from events e
         where e.event_type <> 'click' and not exists (
           select 1 from events c where c.event_type = 'click'
             and c.user_id = e.user_id and c.ts::date = e.ts::date)""",
@@ -196,7 +197,7 @@ ORACLE: dict[str, str] = {
         qualify row_number() over (partition by user_id order by ts desc, event_id desc) = 1
           and ts + interval 6 hours > timestamp '2024-01-30 23:00:00'""",
     "altitude_delta": """
-        select user_id, day_bucket, round(alt_mean, 6) as alt_mean,
+        select user_id, day_bucket::timestamp as day_bucket, round(alt_mean, 6) as alt_mean,
                round(alt_mean - lag(alt_mean) over (partition by user_id order by day_bucket), 6)
                  as d_alt
         from (select user_id, ts::date as day_bucket, avg(value) as alt_mean

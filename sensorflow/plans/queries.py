@@ -39,6 +39,12 @@ def _r6(c):
     return F.round(F.col(c) if isinstance(c, str) else c, 6)
 
 
+def _day(c: str):
+    # Days leave the parity queries as midnight TIMESTAMP_NTZ, the one temporal
+    # type every result here uses (DATE converts differently per client).
+    return F.col(c).cast("timestamp_ntz").alias(c)
+
+
 def gyro_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events encoded as gyroscope messages (value = CSV text, as on the topic).
 
@@ -94,7 +100,10 @@ def on_change_query(spark, sf_dir):
 
 def sample_gap_query(spark, sf_dir):
     out = series.sample_gap(events(spark, sf_dir), "user_id", ORDER, "ts", factor=5.0)
-    return out.select("event_id", "user_id", "gap_us", _r6("gap_s").alias("gap_s"),
+    # gap_us is NULL for a user's first event: returned as DOUBLE, since a nullable
+    # BIGINT converts to different client types per engine
+    return out.select("event_id", "user_id", F.col("gap_us").cast("double").alias("gap_us"),
+                      _r6("gap_s").alias("gap_s"),
                       _r6("pause_s").alias("pause_s"))
 
 
@@ -127,7 +136,7 @@ def to_points_query(spark, sf_dir):
 def day_bucket_last(spark, sf_dir):
     ev = events(spark, sf_dir).withColumn("day_bucket", day_bucket("ts"))
     out = series.first_last(ev, ["event_type", "day_bucket"], ORDER, "value")
-    return out.select("event_type", "day_bucket", "n",
+    return out.select("event_type", _day("day_bucket"), "n",
                       F.col("first_value").alias("first_v"), F.col("last_value").alias("last_v"))
 
 
@@ -251,7 +260,7 @@ def unseen_query(spark, sf_dir):
     new = ev.where(F.col("event_type") != "click")
     seen = ev.where(F.col("event_type") == "click")
     out = series.unseen(new, seen, ["user_id", "day_bucket"])
-    return out.select("event_id", "user_id", "day_bucket", "event_type")
+    return out.select("event_id", "user_id", _day("day_bucket"), "event_type")
 
 
 def ttl_query(spark, sf_dir):
@@ -266,7 +275,7 @@ def altitude_delta(spark, sf_dir):
     daily = (events(spark, sf_dir).withColumn("day_bucket", day_bucket("ts"))
              .groupBy("user_id", "day_bucket").agg(F.avg("value").alias("alt_mean")))
     out = series.delta(daily, "user_id", "day_bucket", "alt_mean", out="d_alt")
-    return out.select("user_id", "day_bucket", _r6("alt_mean").alias("alt_mean"),
+    return out.select("user_id", _day("day_bucket"), _r6("alt_mean").alias("alt_mean"),
                       _r6("d_alt").alias("d_alt"))
 
 

@@ -56,21 +56,21 @@ def _bucket_of(ts: str, width_us: int) -> Column:
 
 
 def auto_bucket_us(df: DataFrame, by: Sequence[str], ts: str,
-                   target_rows: int = 2_000_000, base: str = "1 hour",
-                   min_us: int = 1_000) -> int:
+                   target_rows: int = 1_000_000, base: str = "1 hour",
+                   min_us: int = 1_000, max_us: int = 366 * 86_400_000_000) -> int:
     """Bucket width such that the densest (series, bucket) holds about
-    ``target_rows`` rows at most.
+    ``target_rows`` rows.
 
     One pre-pass: rows per (series, ``base`` slice) as a hash aggregate, whose
     maximum (a single number) comes back to the driver. A series holding a
-    third of all rows gets proportionally narrower buckets, i.e. more tasks.
+    third of all rows gets proportionally narrower buckets (more tasks);
+    sparse series get wider ones (fewer buckets to stitch), up to ``max_us``.
     """
     base_us = _BUCKET_US[base]
     per = df.groupBy(*by, _bucket_of(ts, base_us).alias(_B)).count()
-    densest = per.agg(F.max("count")).first()[0] or 0
-    if densest <= target_rows:
-        return base_us
-    return max(base_us // -(-densest // target_rows), min_us)
+    densest = per.agg(F.max("count")).first()[0] or 1
+    width = base_us * target_rows // densest
+    return int(min(max(width, min_us), max_us))
 
 
 def lag_stitched(
@@ -78,7 +78,7 @@ def lag_stitched(
     by: str | Sequence[str] | None,
     order: str | Sequence[str],
     cols: str | Sequence[str],
-    bucket: str | None = "1 hour",
+    bucket: str | None = "auto",
     prefix: str = "prev_",
     has_prev: str = "has_prev",
 ) -> DataFrame:
@@ -88,9 +88,10 @@ def lag_stitched(
     Equal to ``lag(c) over (partition by by order by order)``. With ``bucket``
     set, the first ``order`` column must be a timestamp; the window is
     partitioned by ``(by, bucket)`` and stitched, so no task holds more than
-    one bucket of one series. ``bucket='auto'`` sizes the buckets from the
-    data (:func:`auto_bucket_us`); ``bucket=None`` is the plain window, for
-    inputs that are already small per series (e.g. daily aggregates).
+    one bucket of one series. ``bucket='auto'`` (default) sizes the buckets
+    from the data (:func:`auto_bucket_us`, one small pre-pass); a fixed width
+    such as ``'1 hour'`` skips the pre-pass; ``bucket=None`` is the plain
+    window, for inputs already small per series (e.g. daily aggregates).
     """
     by, order, cols = _names(by), _names(order), _names(cols)
     if bucket is None:
@@ -176,7 +177,7 @@ def last_of(df: DataFrame, cols: Sequence[str], order: Sequence[str]) -> Column:
 
 
 def segments(df: DataFrame, by, order, lat: str = "lat", lon: str = "lon",
-             bucket: str | None = "1 hour") -> DataFrame:
+             bucket: str | None = "auto") -> DataFrame:
     """Consecutive points of a series as segments (prev_lat, prev_lon) -> (lat, lon).
 
     The first point of every series starts no segment and is dropped.
@@ -185,7 +186,7 @@ def segments(df: DataFrame, by, order, lat: str = "lat", lon: str = "lon",
     return out.where(F.col("has_prev")).drop("has_prev")
 
 
-def on_change(df: DataFrame, by, order, col: str, bucket: str | None = "1 hour") -> DataFrame:
+def on_change(df: DataFrame, by, order, col: str, bucket: str | None = "auto") -> DataFrame:
     """Keep a reading only when it differs from the previous one of its series.
 
     NULL equals NULL here; the first reading of a series is kept unless it is NULL.
@@ -197,7 +198,7 @@ def on_change(df: DataFrame, by, order, col: str, bucket: str | None = "1 hour")
 
 def sample_gap(df: DataFrame, by, order, ts: str = "ts", factor: float | None = None,
                clip_s: tuple[float, float] | None = (0.0, 5.0),
-               bucket: str | None = "1 hour") -> DataFrame:
+               bucket: str | None = "auto") -> DataFrame:
     """Gap to the previous sample of the series.
 
     Adds ``gap_us`` (integer µs, NULL for the first sample) and, with

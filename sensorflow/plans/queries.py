@@ -281,7 +281,7 @@ def altitude_delta(spark, sf_dir):
 
 def lag_stitched_query(spark, sf_dir):
     out = series.lag_stitched(events(spark, sf_dir), "event_type", ORDER, ["value"],
-                              bucket="1 hour")
+                              bucket="auto")
     return out.select("event_type", "event_id", "value", "prev_value")
 
 

@@ -92,7 +92,7 @@ def track_windows(messages: DataFrame, size: str = "500 milliseconds",
                         watermark=watermark if messages.isStreaming else None, end=None)
 
 
-def stream_track(messages: DataFrame, name: str = "garmin_track", mode: str = "complete",
+def stream_track(messages: DataFrame, name: str = "track_windows", mode: str = "complete",
                  trigger: str = "1 second", available_now: bool = False,
                  checkpoint: str | None = None) -> StreamingQuery:
     return streams.to_memory(track_windows(messages), name, mode, trigger, available_now,

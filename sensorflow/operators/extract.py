@@ -56,13 +56,20 @@ def value_from_facts(facts: str | Column, span: int = SENSOR_SPAN) -> Column:
     """X1 rule over a ``line_facts`` array: the first sensor line that yields a value."""
     facts = F.col(facts) if isinstance(facts, str) else facts
 
+    none = F.lit(None).cast("double")
+    start = F.struct(none.alias("p1"), F.lit(False).alias("seen_ev"), none.alias("p2"))
+
+    def step(acc, x):
+        # one pass over the look-ahead: first keyword value; whether an event
+        # line was passed; first bracket value on a non-event line after it
+        return F.struct(
+            F.coalesce(acc["p1"], x["kv"]).alias("p1"),
+            (acc["seen_ev"] | x["ev"]).alias("seen_ev"),
+            F.coalesce(acc["p2"], F.when(acc["seen_ev"] & ~x["ev"], x["br"])).alias("p2"))
+
     def value_at(s):
-        win = F.slice(facts, s["i"] + 1, span)
-        phase1 = F.get(F.filter(win, lambda x: x["kv"].isNotNull()), 0)["kv"]
-        first_ev = F.get(F.filter(win, lambda x: x["ev"]), 0)["i"]
-        phase2 = F.get(F.filter(win, lambda x: (x["i"] > first_ev) & ~x["ev"]
-                                & x["br"].isNotNull()), 0)["br"]
-        return F.coalesce(phase1, phase2)
+        r = F.aggregate(F.slice(facts, s["i"] + 1, span), start, step)
+        return F.coalesce(r["p1"], r["p2"])
 
     sensors = F.filter(facts, lambda x: x["sensor"])
     found = F.filter(F.transform(sensors, value_at), lambda v: v.isNotNull())

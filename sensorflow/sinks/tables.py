@@ -192,3 +192,39 @@ def to_pandas_bounded(df: DataFrame, n: int, order: Sequence | None = None):
     """
     out = df.orderBy(*order) if order else df
     return out.limit(n).toPandas()
+
+
+# Fields of one latest-window entry, in the order the surveyed
+# cache wrote them.
+LATEST_FIELDS = ("fenster_start", "fenster_ende", "avg_absolute", "avg_gx", "avg_gy", "avg_gz",
+                 "n_samples")
+
+
+def as_hash_view(df: DataFrame, decimals: int = 6) -> DataFrame:
+    """D15 text view: ``(key, fields map<string,string>)`` with numbers as
+    rounded text (NULL -> ''), timestamps as text -- for consumers that read a
+    key-value cache. The table itself keeps typed columns."""
+    from ..functions.formats import fmt_num
+    pairs = []
+    for c in LATEST_FIELDS:
+        dtype = dict(df.dtypes)[c]
+        if dtype in ("double", "float"):
+            v = fmt_num(c, decimals)
+        else:
+            v = F.coalesce(F.col(c).cast("string"), F.lit(""))
+        pairs += [F.lit(c), v]
+    return df.select("key", F.create_map(*pairs).alias("fields"))
+
+
+def from_hash_view(df: DataFrame) -> DataFrame:
+    """Map entries back to typed columns ('' -> NULL)."""
+    def text(c):
+        v = F.col("fields")[c]
+        return F.when(v != F.lit(""), v)
+    return df.select(
+        "key",
+        text("fenster_start").try_cast("timestamp").alias("fenster_start"),
+        text("fenster_ende").try_cast("timestamp").alias("fenster_ende"),
+        *[text(c).try_cast("double").alias(c)
+          for c in ("avg_absolute", "avg_gx", "avg_gy", "avg_gz")],
+        text("n_samples").try_cast("bigint").alias("n_samples"))

@@ -92,6 +92,14 @@ def fan_out_stream(df: DataFrame, name: str, sinks: Sequence[Callable[[DataFrame
     return for_each_batch(df, name, each, mode, trigger, available_now, checkpoint)
 
 
+def drop_repeated(df: DataFrame, keys: Sequence[str], ts: str, watermark: str) -> DataFrame:
+    """Q7 option: drop repeated samples (same keys and instant) of a stream.
+
+    State per key lives until the watermark passes it, so it stays bounded.
+    """
+    return df.withWatermark(ts, watermark).dropDuplicatesWithinWatermark([*keys, ts])
+
+
 def run_stream(query: StreamingQuery, on_stop: Callable[[], None] | None = None,
                timeout_s: float | None = None) -> None:
     """Wait for the query (or ``timeout_s``); always stop it and run ``on_stop``."""

@@ -155,3 +155,16 @@ def test_last_k_resorted_ascending(spark):
     df = spark.range(100).withColumn("ts", F.col("id"))
     got = last_k(df, None, [F.col("ts").desc()], 3, resort=[F.col("ts")])
     assert [r["id"] for r in got.collect()] == [97, 98, 99]
+
+
+def test_hash_view_roundtrip(spark):
+    win = spark.createDataFrame(
+        [("sensor:gyro:1", T0, T0 + dt.timedelta(seconds=1), 1.23456789, None, 0.5, 0.25, 3)],
+        "key string, fenster_start timestamp, fenster_ende timestamp, avg_absolute double, "
+        "avg_gx double, avg_gy double, avg_gz double, n_samples bigint")
+    view = sinks.as_hash_view(win)
+    fields = view.first()["fields"]
+    assert fields["avg_absolute"] == "1.234568" and fields["avg_gx"] == "" and fields["n_samples"] == "3"
+    back = sinks.from_hash_view(view).first()
+    assert (back["fenster_start"], back["avg_absolute"], back["avg_gx"], back["n_samples"]) == \
+        (T0, 1.234568, None, 3)

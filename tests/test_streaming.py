@@ -172,3 +172,13 @@ def test_window_stream_equals_batch(spark, tmp):
     batch_in = spark.read.schema("zeit timestamp, gx double").json(os.path.join(tmp, "in"))
     batch = window_stats(batch_in, "zeit", "1 second", {"v": "gx"}, count_of="gx", end=None)
     assert streamed == sorted(_s(r) for r in batch.collect())
+
+
+def test_drop_repeated_samples(spark, tmp):
+    rep = [[(0, 1.0), (1, 2.0)], [(1, 2.0), (2, 3.0)]]  # second file repeats :01
+    _write_batches(os.path.join(tmp, "in"), rep)
+    src = streams.drop_repeated(_source(spark, os.path.join(tmp, "in")), [], "zeit", "10 seconds")
+    q = streams.to_memory(src, "dedup_mem", mode="append", available_now=True,
+                          checkpoint=os.path.join(tmp, "ck"))
+    q.awaitTermination()
+    assert spark.sql("SELECT count(*) FROM dedup_mem").first()[0] == 3

@@ -323,8 +323,10 @@ def rebase_start(df: DataFrame, ts: str, start_ms: int, out: str = "ts_rebased",
     then truncate to ``precision`` (the producers send whole milliseconds)."""
     from ..functions.timestamps import rebase_us
     us = F.unix_micros(as_instant(ts))
-    offset = us - min_of(df, F.unix_micros(as_instant(ts)))
-    return df.withColumn(out, rebase_us(offset, start_ms * 1000, precision))
+    off = "__sf_offset_us"
+    # the offset is a column of its own, so the scalar subquery is planned once
+    shifted = df.withColumn(off, us - min_of(df, F.unix_micros(as_instant(ts))))
+    return shifted.withColumn(out, rebase_us(off, start_ms * 1000, precision)).drop(off)
 
 
 def rebase_to_end(df: DataFrame, ts: str, target_ms: int, out: str = "ts_rebased") -> DataFrame:

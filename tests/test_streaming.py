@@ -182,3 +182,30 @@ def test_drop_repeated_samples(spark, tmp):
                           checkpoint=os.path.join(tmp, "ck"))
     q.awaitTermination()
     assert spark.sql("SELECT count(*) FROM dedup_mem").first()[0] == 3
+
+
+def test_table_sink_fan_out_and_bounded_topic_read(spark, tmp):
+    ev = spark.read.parquet(f"{SF_SMALL}/events.parquet")
+    from sensorflow.functions.formats import encode
+    msg = encode({"ts_ms": F.unix_millis(F.col("ts").cast("timestamp")), "gx": "value",
+                  "gy": "user_id", "gz": F.lit(0.0), "absolute": "value"}, "gyro")
+    topics = os.path.join(tmp, "topics")
+    write_messages(as_messages(ev, msg, "gyro", key="user_id"), "gyro", fmt="files", path=topics)
+    bounded = read_messages(spark, "gyro", fmt="files", path=topics, stream=False)
+    assert bounded.count() == ev.count()
+    # one user's messages share a partition number
+    assert bounded.groupBy("key").agg(F.countDistinct("partition").alias("p")).where("p > 1").count() == 0
+
+    src = read_messages(spark, "gyro", fmt="files", path=topics)
+    parsed, _ = parse_gyro(src)
+    q = streams.to_table(parsed, "parsed_table", os.path.join(tmp, "parsed"), available_now=True,
+                         checkpoint=os.path.join(tmp, "ck1"))
+    q.awaitTermination()
+    assert spark.read.parquet(os.path.join(tmp, "parsed")).count() == ev.count()
+
+    seen = []
+    q2 = streams.fan_out_stream(parsed, "fan", [
+        lambda d, e: d.write.mode("append").parquet(os.path.join(tmp, "copy")),
+        lambda d, e: seen.append(e)], available_now=True, checkpoint=os.path.join(tmp, "ck2"))
+    q2.awaitTermination()
+    assert spark.read.parquet(os.path.join(tmp, "copy")).count() == ev.count() and seen

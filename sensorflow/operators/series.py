@@ -149,16 +149,18 @@ def order_key(df: DataFrame, order: Sequence[str]) -> Column | None:
     if not 1 <= len(order) <= 2:
         return None
     first, rest = order[0], order[1:]
+    lo = F.lit(-(2 ** 63)).cast("bigint")
     if types.get(first) in _TIMES:
-        head = F.unix_micros(as_instant(first))
-    elif types.get(first) in _INTEGRAL:
-        head = F.col(first).cast("bigint")
+        # valid instants lie within +-2.6e17 us (years 1..9999); NULL sorts
+        # below them, and head * 1e20 + tie stays inside DECIMAL(38,0)
+        head = F.coalesce(F.unix_micros(as_instant(first)), F.lit(-(10 ** 17)).cast("bigint"))
+    elif types.get(first) in _INTEGRAL and not rest:
+        head = F.coalesce(F.col(first).cast("bigint"), lo)
     else:
         return None
     if rest and types.get(rest[0]) not in _INTEGRAL:
         return None
-    lo = F.lit(-(2 ** 63)).cast("bigint")
-    key = F.coalesce(head, lo).cast("decimal(38,0)")
+    key = head.cast("decimal(38,0)")
     if rest:
         tie = F.coalesce(F.col(rest[0]).cast("bigint"), lo).cast("decimal(38,0)")
         key = (key * F.lit(str(10 ** 20)).cast("decimal(38,0)")

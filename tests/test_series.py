@@ -125,3 +125,16 @@ def test_auto_bucket_narrows_for_a_hot_series(spark):
     want = df.select("id", F.lag("v").over(w).alias("p"))
     got = series.lag_stitched(df, "k", ["ts", "id"], ["v"], bucket="auto")
     assert rows(got, "id", "prev_v") == rows(want, "id", "p")
+
+
+def test_order_key_with_null_times_and_extremes(spark):
+    data = [(1, "a", None, 5, 1.0), (2, "a", T0, -(2 ** 63), 2.0), (3, "a", T0, 2 ** 63 - 1, 3.0),
+            (4, "a", dt.datetime(9999, 12, 31, 23, 59, 59), 0, 4.0), (5, "a", dt.datetime(1, 1, 1), 0, 5.0)]
+    df = spark.createDataFrame(data, "id int, k string, ts timestamp, tie bigint, v double")
+    got = series.first_last(df, "k", ["ts", "tie"], "v").first()
+    # NULL time sorts first, year 9999 last
+    assert (got["first_v"], got["last_v"]) == (1.0, 4.0)
+    w = Window.partitionBy("k").orderBy("ts", "tie")
+    want = df.select("id", F.lag("v").over(w).alias("p"))
+    got2 = series.lag_stitched(df, "k", ["ts", "tie"], ["v"], bucket="1 day")
+    assert rows(got2, "id", "prev_v") == rows(want, "id", "p")

@@ -56,19 +56,25 @@ def _bucket_of(ts: str, width_us: int) -> Column:
 
 
 def auto_bucket_us(df: DataFrame, by: Sequence[str], ts: str,
-                   target_rows: int = 1_000_000, base: str = "1 hour",
+                   target_rows: int | None = None, base: str = "1 hour",
                    min_us: int = 1_000, max_us: int = 366 * 86_400_000_000) -> int:
     """Bucket width such that the densest (series, bucket) holds about
     ``target_rows`` rows.
 
-    One pre-pass: rows per (series, ``base`` slice) as a hash aggregate, whose
-    maximum (a single number) comes back to the driver. A series holding a
-    third of all rows gets proportionally narrower buckets (more tasks);
+    One pre-pass: rows per (series, ``base`` slice) as a hash aggregate; its
+    maximum and total (two numbers) come back to the driver. A series holding
+    a third of all rows gets proportionally narrower buckets (more tasks);
     sparse series get wider ones (fewer buckets to stitch), up to ``max_us``.
+    By default the target is ~4 buckets' worth per shuffle partition, at most
+    1M rows, at least 50k: few series still spread over all cores.
     """
     base_us = _BUCKET_US[base]
     per = df.groupBy(*by, _bucket_of(ts, base_us).alias(_B)).count()
-    densest = per.agg(F.max("count")).first()[0] or 1
+    densest, total = per.agg(F.max("count"), F.sum("count")).first()
+    densest, total = densest or 1, total or 0
+    if target_rows is None:
+        parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+        target_rows = min(1_000_000, max(50_000, total // (4 * parts)))
     width = base_us * target_rows // densest
     return int(min(max(width, min_us), max_us))
 

@@ -209,3 +209,28 @@ def test_table_sink_fan_out_and_bounded_topic_read(spark, tmp):
         lambda d, e: seen.append(e)], available_now=True, checkpoint=os.path.join(tmp, "ck2"))
     q2.awaitTermination()
     assert spark.read.parquet(os.path.join(tmp, "copy")).count() == ev.count() and seen
+
+
+def test_on_change_stream_restart_equals_batch(spark, tmp):
+    ev = spark.read.parquet(f"{SF_SMALL}/events.parquet").withColumn("ts", F.col("ts").cast("timestamp"))
+    days = sorted(r[0] for r in ev.select(F.to_date("ts")).distinct().collect())
+    src_dir, out, ck = os.path.join(tmp, "src"), os.path.join(tmp, "out"), os.path.join(tmp, "ck")
+
+    def add(i, chunk):
+        ev.where(F.to_date("ts").isin(chunk)).coalesce(1).write.parquet(os.path.join(src_dir, f"p{i}"))
+        time.sleep(0.05)
+
+    def run():
+        src = (spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 1)
+               .option("recursiveFileLookup", True).parquet(src_dir))
+        q = streams.to_table(state.on_change_stream(src, "event_type", ["ts", "event_id"], "value"),
+                             "onchange_restart", out, available_now=True, checkpoint=ck)
+        q.awaitTermination()
+
+    add(0, days[:15])
+    run()                      # first run, then the query is gone (as after a failure)
+    add(1, days[15:])
+    run()                      # restart: state and progress come from the checkpoint
+    got = rows(spark.read.parquet(out), "event_id")
+    want = rows(series.on_change(ev, "event_type", ["ts", "event_id"], "value"), "event_id")
+    assert got == want

@@ -45,6 +45,8 @@ def test_location_layout_dispatch(spark):
     assert got[1] == (1, "fitness", None, 95.0, 21.5)
     # NaN parses; the coordinate filter drops it later
     assert got[2][:2] == (2, "walk")
+    from sensorflow.operators.clean import valid_coords
+    assert rows(valid_coords(ok), "id") == [(0,), (1,)]
     assert rows(bad, "id", "reason") == [(3, "fields=4"), (4, "bad:number")]
 
 

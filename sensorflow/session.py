@@ -79,3 +79,23 @@ def checkpoint_root(spark: SparkSession) -> str:
 def checkpoint_path(spark: SparkSession, name: str) -> str:
     """Per-query checkpoint folder under the shared checkpoint root."""
     return os.path.join(checkpoint_root(spark), name)
+
+
+def scale_conf(input_bytes: int, total_cores: int,
+               target_bytes: int = 512 * 1024 * 1024) -> dict[str, str]:
+    """Partition sizing for a job reading ``input_bytes`` on ``total_cores``.
+
+    Initial shuffle partitions ~ one per ``target_bytes`` of input, at least
+    2 per core and at most 50 per core; AQE then coalesces partitions that
+    came out small (partial aggregation and column pruning shrink most
+    shuffles) toward the advisory size. Scan splits stay at 256 MB so a task's
+    working set fits executor memory and spills are rare.
+    """
+    wanted = -(-input_bytes // target_bytes)
+    shuffle = int(min(max(wanted, 2 * total_cores), 50 * total_cores))
+    return {
+        "spark.sql.shuffle.partitions": str(shuffle),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(shuffle),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * 1024 * 1024),
+        "spark.sql.files.maxPartitionBytes": str(256 * 1024 * 1024),
+    }

@@ -102,3 +102,35 @@ def test_dump_readings_on_change(spark, tmp):
     changed, rejects = jobs.dump_readings(spark, d)
     assert rows(changed, "lx") == [(12.5,), (13.0,)]
     assert rejects.count() == 1
+
+
+def test_live_gyro_table_and_chart(spark, tmp):
+    """L2: topic -> window table in memory -> SQL chart of the last 2 minutes."""
+    base = 1_700_000_000_000
+    texts = [f"{base + 1000 * s},{s % 3}.0,0.5,0.25,1.0" for s in range(0, 600, 2)]
+    msgs = spark.createDataFrame([(t,) for t in texts], "value string")
+    write_messages(as_messages_df(msgs), "gyro", fmt="files", path=os.path.join(tmp, "t"))
+    src = read_messages(spark, "gyro", fmt="files", path=os.path.join(tmp, "t"))
+    q = jobs.stream_gyro(src, "gyro_results_test", available_now=True,
+                         checkpoint=os.path.join(tmp, "ck"))
+    q.awaitTermination()
+    assert spark.sql("SELECT count(*) FROM gyro_results_test").first()[0] == 300
+    chart = jobs.gyro_chart(spark, "gyro_results_test", minutes=2)
+    starts = [r["fenster_start"] for r in chart.collect()]
+    assert len(starts) == 61 and starts == sorted(starts)  # windows within 120 s of the newest
+
+
+def test_live_track_table(spark, tmp):
+    from sensorflow.plans.queries import geo_location_messages
+    src_df = geo_location_messages(spark, SF_SMALL)
+    write_messages(as_messages_df(src_df), "location", fmt="files", path=os.path.join(tmp, "t"))
+    src = read_messages(spark, "location", fmt="files", path=os.path.join(tmp, "t"))
+    q = jobs.stream_track(src, "track_test", available_now=True, checkpoint=os.path.join(tmp, "ck"))
+    q.awaitTermination()
+    batch = jobs.track_windows(src_df)
+    assert spark.table("track_test").count() == batch.count()
+
+
+def as_messages_df(df):
+    from sensorflow.sources.messages import as_messages
+    return as_messages(df, F.col("value").cast("string"), "t")

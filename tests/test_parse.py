@@ -104,3 +104,19 @@ def test_extract_value_and_normalise_line(spark):
     assert got == [12.5, 3.25, None, -4.0]
     line = spark.createDataFrame([("0,25;1,25E-2;-3",)], "l string")
     assert line.select(text.normalise_line("l")).first()[0] == "0.25,0.0125,-3.0"
+
+
+def test_small_helpers(spark):
+    from sensorflow.operators import clean
+    df = spark.createDataFrame([(1.0, 2.0), (None, 1.0), (float("nan"), 3.0)], "a double, b double")
+    kept, bad = clean.drop_missing(df, ["a"])
+    assert kept.count() == 1 and rows(bad, "reason") == [("missing:a",), ("missing:a",)]
+    arr = spark.createDataFrame([("1,2,3",), ("1,2,3,4,5,6",)], "v string").select(
+        parse.split_fields("v").alias("f"))
+    ok, short = clean.min_fields(arr, "f", 6)
+    assert ok.count() == 1 and short.count() == 1
+    assert not clean.is_empty(ok) and clean.is_empty(ok.where("false"))
+    r = df.select(parse.with_default("a", 0.0).alias("d"), timestamps.now_ns().alias("n"),
+                  timestamps.session_zone().alias("z")).collect()
+    assert [x["d"] for x in r][:2] == [1.0, 0.0]
+    assert r[0]["z"] == "UTC" and r[0]["n"] > 1_700_000_000 * 10 ** 9

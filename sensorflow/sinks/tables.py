@@ -75,17 +75,36 @@ def upsert_batch(batch: DataFrame, epoch_id: int, path: str, key_prefix: str,
 
 
 def compact_latest(spark: SparkSession, path: str, out_path: str,
-                   now: dt.datetime | Column | None = None) -> DataFrame:
-    """Rewrite the newest live version per key into ``out_path`` (a new folder;
-    the caller switches readers to it). Expired keys are dropped."""
+                   now: dt.datetime | Column | None = None,
+                   upto_epoch: int | None = None) -> DataFrame:
+    """Rewrite the newest live version per key of epochs <= ``upto_epoch`` (all
+    by default) into ``out_path``, a new folder: the live table is never
+    overwritten while it is read. Expired keys are dropped. Readers move over
+    with :func:`publish_latest`."""
     from ..operators.series import latest_by_key
-    newest = latest_by_key(spark.read.parquet(path), "key", ["epoch_id"])
+    versions = spark.read.parquet(path)
+    if upto_epoch is not None:
+        versions = versions.where(F.col("epoch_id") <= F.lit(upto_epoch))
+    newest = latest_by_key(versions, "key", ["epoch_id"])
     if now is not None:
         newest = not_expired(newest, now)
     newest.write.mode("overwrite").partitionBy("epoch_id").parquet(out_path)
     return spark.read.parquet(out_path)
 
 
+def publish_latest(spark: SparkSession, view: str, compacted_path: str, live_path: str,
+                   upto_epoch: int) -> None:
+    """Switch readers to ``compacted + live epochs > upto_epoch`` by replacing a
+    view definition (the pointer). Queries already running keep their files;
+    the next read sees the new layout. Newest epoch still wins per key."""
+    if "." in view:
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS `{view.split('.')[0]}`")
+    spark.sql(
+        f"CREATE OR REPLACE VIEW {view} AS "
+        f"SELECT * FROM parquet.`{compacted_path}` "
+        f"UNION ALL SELECT * FROM parquet.`{live_path}` WHERE epoch_id > {int(upto_epoch)}")
+
+
 def write_points(df: DataFrame, path: str, precision: str = "ms",
                  version: str | None = None, mode: str = "append") -> None:
     """K5: long points -> parquet partitioned by measurement.

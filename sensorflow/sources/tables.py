@@ -81,12 +81,14 @@ def read_latest(spark: SparkSession, path: str, prefix: str,
                 now: dt.datetime | Column) -> DataFrame:
     """Newest live version of every key starting with ``prefix``, by window start.
 
+    ``path`` is the table folder or a table / view name (see ``publish_latest``).
+
     The table holds one row per (key, epoch); newest epoch wins, then expiry
     is checked against ``now`` (an explicit instant, so reruns agree).
     """
     from ..operators.series import latest_by_key
     from ..sinks.tables import not_expired
-    versions = spark.read.parquet(path).where(F.col("key").startswith(prefix))
+    versions = read_table(spark, path).where(F.col("key").startswith(prefix))
     newest = latest_by_key(versions, "key", ["epoch_id"])
     return not_expired(newest, now).orderBy("fenster_start", "key")
 

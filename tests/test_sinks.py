@@ -168,3 +168,22 @@ def test_hash_view_roundtrip(spark):
     back = sinks.from_hash_view(view).first()
     assert (back["fenster_start"], back["avg_absolute"], back["avg_gx"], back["n_samples"]) == \
         (T0, 1.234568, None, 3)
+
+
+def test_compact_and_publish_keeps_newest(spark, tmp):
+    live, comp = os.path.join(tmp, "live"), os.path.join(tmp, "comp")
+    sch = ("fenster_start timestamp, fenster_ende timestamp, avg_absolute double, avg_gx double, "
+           "avg_gy double, avg_gz double, n_samples bigint")
+
+    def win(sec, n):
+        return spark.createDataFrame(
+            [(T0 + dt.timedelta(seconds=sec), T0 + dt.timedelta(seconds=sec + 1), 1.0, 0.0, 0.0, 0.0, n)], sch)
+    sinks.upsert_batch(win(0, 1), 0, live, "k", ttl_s=None)
+    sinks.upsert_batch(win(0, 2), 1, live, "k", ttl_s=None)
+    sinks.upsert_batch(win(1, 1), 2, live, "k", ttl_s=None)
+    sinks.compact_latest(spark, live, comp, upto_epoch=1)
+    assert spark.read.parquet(comp).count() == 1
+    sinks.upsert_batch(win(0, 3), 3, live, "k", ttl_s=None)  # after compaction
+    sinks.publish_latest(spark, "sfdemo.latest_view", comp, live, upto_epoch=1)
+    got = sources.read_latest(spark, "sfdemo.latest_view", "k", dt.datetime(2000, 1, 1))
+    assert rows(got, "key", "n_samples") == [("k:1704456000000", 3), ("k:1704456001000", 1)]

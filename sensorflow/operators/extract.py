@@ -85,7 +85,10 @@ def with_dump_value(dumps: DataFrame, text: str = "text", out: str = "value",
     look-ahead rule reads them; no shuffle.
     """
     facts = "__sf_facts"
-    staged = compute_once(dumps, **{facts: line_facts(text, sensor_pattern)})
+    t = F.col(text)
+    # a dump without any sensor-pattern match has no value: skip its line work
+    has_sensor = t.rlike("(?i)" + sensor_pattern)
+    staged = compute_once(dumps, **{facts: F.when(has_sensor, line_facts(text, sensor_pattern))})
     return staged.withColumn(out, value_from_facts(facts, span)).drop(facts)
 
 

@@ -54,17 +54,22 @@ def min_fields(df: DataFrame, fields: str, n: int) -> tuple[DataFrame, DataFrame
             df.where(short).withColumn("reason", F.lit(f"fields<{n}")))
 
 
-def split_rejects(df: DataFrame, typed: Mapping[str, str]) -> tuple[DataFrame, DataFrame]:
-    """``typed`` maps typed column -> raw text column. A row whose raw text
-    is non-blank but did not parse is a reject with ``reason='bad:<col>'``.
-    """
+def flag_rejects(df: DataFrame, typed: Mapping[str, str]) -> DataFrame:
+    """F4, one pass: add ``reason`` (NULL when the row is fine). ``typed`` maps
+    typed column -> raw text column; non-blank text that did not parse gives
+    ``reason='bad:<col>'``."""
     reason = None
     for out, raw in typed.items():
         r = F.col(raw)
         bad = r.isNotNull() & (F.trim(r) != F.lit("")) & F.col(out).isNull()
         hit = F.when(bad, F.lit("bad:" + out))
         reason = hit if reason is None else F.coalesce(reason, hit)
-    flagged = df.withColumn("reason", reason)
+    return df.withColumn("reason", reason)
+
+
+def split_rejects(df: DataFrame, typed: Mapping[str, str]) -> tuple[DataFrame, DataFrame]:
+    """``(kept rows, rejects with reason)`` -- see :func:`flag_rejects`."""
+    flagged = flag_rejects(df, typed)
     return (flagged.where(F.col("reason").isNull()).drop("reason"),
             flagged.where(F.col("reason").isNotNull()))
 

@@ -49,12 +49,14 @@ def parse_gyro(df: DataFrame, value: str = "value", resolution: str = "second",
     return parsed, rejects
 
 
-def parse_location(df: DataFrame, value: str = "value", resolution: str = "second",
-                   keep: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
-    """Location messages of both layouts -> (kind, zeit, lat, lon, alt, speed, hr, temp).
+def flag_location(df: DataFrame, value: str = "value", resolution: str = "second",
+                  keep: tuple[str, ...] = ()) -> DataFrame:
+    """Location messages of both layouts, one pass, every row kept:
+    (keep..., kind, zeit, lat, lon, alt, speed, hr, temp, raw, reason).
 
     5 fields -> ``kind='walk'`` with speed; 6 fields -> ``kind='fitness'`` with
-    hr and temp; any other count, a bad time or a non-numeric field -> reject.
+    hr and temp; any other count, a bad time or a non-numeric field -> ``reason``
+    is set and kind / values are NULL.
     """
     f = "__sf_f"
     split = compute_once(df.select(*keep, F.col(value).cast("string").alias("raw")),
@@ -67,18 +69,30 @@ def parse_location(df: DataFrame, value: str = "value", resolution: str = "secon
               .when(_bad_any(f, [1, 2, 3, 4]) | ((n == 6) & _bad_any(f, [5])),
                     F.lit("bad:number")))
     flagged = split.withColumn("kind", kind).withColumn("reason", reason)
+    ok = F.col("reason").isNull()
     walk = F.col("kind") == F.lit("walk")
-    parsed = flagged.where(F.col("reason").isNull()).select(
+
+    def v(c):
+        return F.when(ok, c)
+    return flagged.select(
         *keep,
-        "kind",
-        event_time(field(f, 0, "bigint"), resolution).alias("zeit"),
-        field(f, 1).alias("lat"),
-        field(f, 2).alias("lon"),
-        field(f, 3).alias("alt"),
-        F.when(walk, field(f, 4)).alias("speed"),
-        F.when(~walk, field(f, 4)).alias("hr"),
-        F.when(~walk, field(f, 5)).alias("temp"),
+        v(F.col("kind")).alias("kind"),
+        v(event_time(field(f, 0, "bigint"), resolution)).alias("zeit"),
+        v(field(f, 1)).alias("lat"),
+        v(field(f, 2)).alias("lon"),
+        v(field(f, 3)).alias("alt"),
+        v(F.when(walk, field(f, 4))).alias("speed"),
+        v(F.when(~walk, field(f, 4))).alias("hr"),
+        v(F.when(~walk, field(f, 5))).alias("temp"),
+        "raw", "reason",
     )
+
+
+def parse_location(df: DataFrame, value: str = "value", resolution: str = "second",
+                   keep: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
+    """Location messages of both layouts -> ``(rows, rejects)`` (see :func:`flag_location`)."""
+    flagged = flag_location(df, value, resolution, keep)
+    parsed = flagged.where(F.col("reason").isNull()).drop("raw", "reason")
     rejects = flagged.where(F.col("reason").isNotNull()).select(*keep, "raw", "reason")
     return parsed, rejects
 

@@ -22,12 +22,12 @@ from ..functions.timestamps import (as_instant, as_wall_clock, day_bucket, detec
                                     window_key, zone_offset_minutes)
 from ..operators import clean, series
 from ..operators.extract import with_dump_value
-from ..operators.messages import json_field, parse_gyro, parse_location
+from ..operators.messages import flag_location, json_field, parse_gyro
 from ..operators.reshape import to_points
 from ..operators.windows import track_summary, window_stats
 from ..sinks.tables import not_expired, with_ttl
 from ..operators.counts import load_counts
-from ..sources.tables import normalise_fit, time_range
+from ..sources.tables import flag_fit, time_range
 from .dumps import dumps_from_events
 from .tables import events, geo
 
@@ -211,13 +211,9 @@ def location_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def layout_dispatch(spark, sf_dir):
-    parsed, rejects = parse_location(location_messages(spark, sf_dir), keep=("event_id",))
-    ok = parsed.select("event_id", "kind", as_wall_clock("zeit").alias("zeit"),
-                       "speed", "hr", "temp")
-    bad = rejects.select("event_id", F.lit("reject").alias("kind"),
-                         F.lit(None).cast("timestamp_ntz").alias("zeit"),
-                         *[F.lit(None).cast("double").alias(c) for c in ("speed", "hr", "temp")])
-    return ok.unionByName(bad)
+    out = flag_location(location_messages(spark, sf_dir), keep=("event_id",))
+    return out.select("event_id", F.coalesce("kind", F.lit("reject")).alias("kind"),
+                      as_wall_clock("zeit").alias("zeit"), "speed", "hr", "temp")
 
 
 def rebase_query(spark, sf_dir):
@@ -250,9 +246,7 @@ def rejects_query(spark, sf_dir):
     raw = ev.select("event_id", F.when(F.col("event_id") % 7 == 0, F.lit("x"))
                     .otherwise(F.col("value").cast("string")).alias("raw"))
     typed = raw.withColumn("value", F.col("raw").try_cast("double"))
-    kept, bad = clean.split_rejects(typed, {"value": "raw"})
-    return (kept.select("event_id", "value", F.lit(None).cast("string").alias("reason"))
-            .unionByName(bad.select("event_id", "value", "reason")))
+    return clean.flag_rejects(typed, {"value": "raw"}).select("event_id", "value", "reason")
 
 
 def unseen_query(spark, sf_dir):
@@ -351,9 +345,8 @@ def fit_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def semicircles_query(spark, sf_dir):
     """Fitness records -> degrees, out-of-range positions rejected."""
-    kept, bad = normalise_fit(fit_records(spark, sf_dir), keep=("event_id",))
-    return (kept.select("event_id", "lat", "lon", F.lit(None).cast("string").alias("reason"))
-            .unionByName(bad.select("event_id", "lat", "lon", "reason")))
+    return flag_fit(fit_records(spark, sf_dir), keep=("event_id",)).select(
+        "event_id", "lat", "lon", "reason")
 
 
 def load_counts_query(spark, sf_dir):

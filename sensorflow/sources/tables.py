@@ -93,14 +93,9 @@ def read_latest(spark: SparkSession, path: str, prefix: str,
     return not_expired(newest, now).orderBy("fenster_start", "key")
 
 
-def normalise_fit(records: DataFrame, fill_zero: bool = False,
-                  keep: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
-    """Decoded fitness records -> location rows (zeit, lat, lon, alt, hr, temp).
-
-    Records without time or position are rejects; positions are converted from
-    semicircles and must be valid coordinates. ``fill_zero`` reproduces the
-    producers that send 0 for a missing altitude / heart rate / temperature.
-    """
+def flag_fit(records: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """S13, one pass: location rows of decoded fitness records with ``reason``
+    (NULL when the record is usable)."""
     out = records.select(
         *keep,
         as_instant("timestamp").alias("zeit"),
@@ -112,9 +107,19 @@ def normalise_fit(records: DataFrame, fill_zero: bool = False,
     )
     missing = F.col("zeit").isNull() | F.col("lat").isNull() | F.col("lon").isNull()
     in_range = F.col("lat").between(-90, 90) & F.col("lon").between(-180, 180)
-    reason = (F.when(missing, F.lit("missing:time,lat,lon"))
-              .when(~in_range, F.lit("coords out of range")))
-    flagged = out.withColumn("reason", reason)
+    return out.withColumn("reason", F.when(missing, F.lit("missing:time,lat,lon"))
+                          .when(~in_range, F.lit("coords out of range")))
+
+
+def normalise_fit(records: DataFrame, fill_zero: bool = False,
+                  keep: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
+    """Decoded fitness records -> location rows (zeit, lat, lon, alt, hr, temp).
+
+    Records without time or position are rejects; positions are converted from
+    semicircles and must be valid coordinates. ``fill_zero`` reproduces the
+    producers that send 0 for a missing altitude / heart rate / temperature.
+    """
+    flagged = flag_fit(records, keep)
     kept = flagged.where(F.col("reason").isNull()).drop("reason")
     if fill_zero:
         for c in ("alt", "hr", "temp"):

@@ -92,6 +92,27 @@ def fan_out_stream(df: DataFrame, name: str, sinks: Sequence[Callable[[DataFrame
     return for_each_batch(df, name, each, mode, trigger, available_now, checkpoint)
 
 
+def start(df: DataFrame, sink, name: str, mode: str = "update",
+          trigger: str | None = "1 second", checkpoint: str | None = None,
+          path: str | None = None, available_now: bool = False,
+          options: dict[str, str] | None = None) -> StreamingQuery:
+    """T3-T5, T7, T9 in one call: ``sink`` is 'memory', 'parquet' (needs
+    ``path``), 'kafka' (``options`` carry the servers and topic), 'noop', or a
+    ``fn(batch_df, epoch_id)`` callable run per micro-batch."""
+    if callable(sink):
+        return for_each_batch(df, name, sink, mode, trigger, available_now, checkpoint)
+    if sink == "memory":
+        return to_memory(df, name, mode, trigger, available_now, checkpoint)
+    if sink == "parquet":
+        if path is None:
+            raise ValueError("sink 'parquet' needs path")
+        return to_table(df, name, path, mode, trigger, available_now, checkpoint=checkpoint)
+    w = writer(df, name, mode, trigger, available_now, checkpoint).format(sink)
+    for k, v in (options or {}).items():
+        w = w.option(k, v)
+    return w.start()
+
+
 def drop_repeated(df: DataFrame, keys: Sequence[str], ts: str, watermark: str) -> DataFrame:
     """Q7 option: drop repeated samples (same keys and instant) of a stream.
 

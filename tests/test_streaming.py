@@ -234,3 +234,20 @@ def test_on_change_stream_restart_equals_batch(spark, tmp):
     got = rows(spark.read.parquet(out), "event_id")
     want = rows(series.on_change(ev, "event_type", ["ts", "event_id"], "value"), "event_id")
     assert got == want
+
+
+def test_start_dispatches_sinks(spark, tmp):
+    _write_batches(os.path.join(tmp, "in"), BATCHES)
+    agg = _agg(_source(spark, os.path.join(tmp, "in")))
+    q = streams.start(agg, "memory", "start_mem", mode="complete", available_now=True,
+                      checkpoint=os.path.join(tmp, "ck1"))
+    q.awaitTermination()
+    assert spark.table("start_mem").count() == 4
+    seen = []
+    q = streams.start(agg, lambda b, e: seen.append(e), "start_fn", available_now=True,
+                      checkpoint=os.path.join(tmp, "ck2"))
+    q.awaitTermination()
+    assert len(seen) == 3
+    q = streams.start(agg, "noop", "start_noop", available_now=True, checkpoint=os.path.join(tmp, "ck3"))
+    q.awaitTermination()
+    assert q.lastProgress is not None

@@ -68,7 +68,9 @@ def flag_location(df: DataFrame, value: str = "value", resolution: str = "second
               .when(field(f, 0, "bigint").isNull(), F.lit("bad:time"))
               .when(_bad_any(f, [1, 2, 3, 4]) | ((n == 6) & _bad_any(f, [5])),
                     F.lit("bad:number")))
-    flagged = split.withColumn("kind", kind).withColumn("reason", reason)
+    # stored once per row: filters on the values below (e.g. coordinates)
+    # then read a column instead of re-deriving the reason each time
+    flagged = compute_once(split, kind=kind, reason=reason)
     ok = F.col("reason").isNull()
     walk = F.col("kind") == F.lit("walk")
 

@@ -193,3 +193,28 @@ def fit_messages(records: DataFrame, topic: str = "location",
     msg = encode({"ts_ms": F.unix_millis("zeit"), "lat": "lat", "lon": "lon", "alt": "alt",
                   "hr": "hr", "temp": "temp"}, "fitness")
     return as_messages(rows, msg, topic), rejects
+
+
+def stream_dump_readings(spark: SparkSession, dumps_dir: str, readings_path: str,
+                         sensor_id: str = "light", name: str = "dump_readings",
+                         files_per_trigger: int = 100, available_now: bool = False,
+                         checkpoint: str | None = None) -> StreamingQuery:
+    """Dumps arriving in a folder -> sensor value (X1) -> only changes (T6) ->
+    readings table (K6), one version per micro-batch.
+
+    The stream form of polling a device and posting a value only when it
+    changed; the reading time is the dump file's modification time.
+    """
+    from ..operators.extract import with_dump_value
+    from ..streaming.state import on_change_stream
+
+    dumps = (spark.readStream.option("maxFilesPerTrigger", files_per_trigger)
+             .text(dumps_dir, wholetext=True)
+             .select(F.col("_metadata.file_path").alias("dump_id"), F.col("value").alias("text"),
+                     F.col("_metadata.file_modification_time").alias("ts")))
+    values = with_dump_value(dumps, "text", "lx").where(F.col("lx").isNotNull())
+    readings = values.select(F.lit(sensor_id).alias("sensor_id"), "ts", "lx", "dump_id")
+    changed = on_change_stream(readings, "sensor_id", ["ts", "dump_id"], "lx")
+    return streams.start(
+        changed, lambda b, e: write_readings(b.drop("dump_id"), readings_path, write_id=e),
+        name, mode="append", available_now=available_now, checkpoint=checkpoint)

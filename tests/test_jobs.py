@@ -134,3 +134,18 @@ def test_live_track_table(spark, tmp):
 def as_messages_df(df):
     from sensorflow.sources.messages import as_messages
     return as_messages(df, F.col("value").cast("string"), "t")
+
+
+def test_stream_dump_readings(spark, tmp):
+    d = os.path.join(tmp, "dumps")
+    os.makedirs(d)
+    vals = ["12.5", "12.5", "13", "x", "13", "9"]
+    for i, v in enumerate(vals):
+        p = _write(d, f"d{i}.txt", f"Light sensor\n  value: {v}\n")
+        os.utime(p, (1_700_000_000 + i, 1_700_000_000 + i))
+    out = os.path.join(tmp, "readings")
+    q = jobs.stream_dump_readings(spark, d, out, files_per_trigger=2, available_now=True,
+                                  checkpoint=os.path.join(tmp, "ck"))
+    q.awaitTermination()
+    got = rows(read_readings(spark, out), "ts", "lx")
+    assert [v for _, v in got] == [12.5, 13.0, 9.0]

@@ -218,3 +218,36 @@ def stream_dump_readings(spark: SparkSession, dumps_dir: str, readings_path: str
     return streams.start(
         changed, lambda b, e: write_readings(b.drop("dump_id"), readings_path, write_id=e),
         name, mode="append", available_now=available_now, checkpoint=checkpoint)
+
+
+def stream_payload_readings(spark: SparkSession, bodies_dir: str, readings_path: str,
+                            points_path: str, name: str = "payload_readings",
+                            files_per_trigger: int = 100, available_now: bool = False,
+                            checkpoint: str | None = None) -> StreamingQuery:
+    """Reading request bodies (JSON lines ``{id?, time_sec, lx}``) -> readings
+    table (K6) and points table (K5), both tried for every micro-batch (K7).
+
+    ``time_sec`` is float epoch seconds: the reading time is rounded to the
+    microsecond, the point keeps ns as BIGINT next to it.
+    """
+    from ..operators.messages import parse_payload
+
+    bodies = (spark.readStream.schema("body string")
+              .option("maxFilesPerTrigger", files_per_trigger).text(bodies_dir)
+              .withColumnRenamed("value", "body"))
+    rows = parse_payload(bodies, "reading").where(
+        F.col("time_sec").isNotNull() & F.col("lx").isNotNull())
+    us = F.round(F.col("time_sec") * F.lit(1e6)).cast("bigint")
+    readings = rows.select("sensor_id", F.timestamp_micros(us).alias("ts"), "lx",
+                           (F.col("time_sec") * F.lit(1e9)).cast("bigint").alias("time_ns"))
+
+    def sinks(batch: DataFrame, epoch_id: int) -> None:
+        fan_out(batch, [
+            lambda d: write_readings(d.drop("time_ns"), readings_path, write_id=epoch_id),
+            lambda d: write_points(
+                d.select(F.col("sensor_id").alias("measurement"), F.lit("lx").alias("field"),
+                         F.col("lx").alias("value"), F.col("ts").alias("time"), "time_ns"),
+                points_path, precision="us"),
+        ])
+    return streams.start(readings, sinks, name, mode="append", available_now=available_now,
+                         checkpoint=checkpoint)

@@ -149,3 +149,21 @@ def test_stream_dump_readings(spark, tmp):
     q.awaitTermination()
     got = rows(read_readings(spark, out), "ts", "lx")
     assert [v for _, v in got] == [12.5, 13.0, 9.0]
+
+
+def test_stream_payload_readings(spark, tmp):
+    d = os.path.join(tmp, "bodies")
+    os.makedirs(d)
+    _write(d, "b0.json", '{"time_sec": 1700000000.25, "lx": 12.5}\n{"id": "gyro_x", "time_sec": "1700000001", "lx": "3"}\n')
+    _write(d, "b1.json", '{"time_sec": 1700000002, "lx": null}\n{"lx": 4}\n{"time_sec": 1700086400, "lx": 7}\n')
+    rp, pp = os.path.join(tmp, "readings"), os.path.join(tmp, "points")
+    q = jobs.stream_payload_readings(spark, d, rp, pp, files_per_trigger=1, available_now=True,
+                                     checkpoint=os.path.join(tmp, "ck"))
+    q.awaitTermination()
+    got = rows(read_readings(spark, rp), "sensor_id", "ts", "lx")
+    assert got == [("gyro_x", dt.datetime(2023, 11, 14, 22, 13, 21), 3.0),
+                   ("light", dt.datetime(2023, 11, 14, 22, 13, 20, 250000), 12.5),
+                   ("light", dt.datetime(2023, 11, 15, 22, 13, 20), 7.0)]
+    assert spark.read.parquet(pp).count() == 3
+    assert {r[0] for r in spark.read.parquet(rp).select("day_bucket").distinct().collect()} == \
+        {dt.date(2023, 11, 14), dt.date(2023, 11, 15)}

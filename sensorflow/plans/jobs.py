@@ -251,3 +251,24 @@ def stream_payload_readings(spark: SparkSession, bodies_dir: str, readings_path:
         ])
     return streams.start(readings, sinks, name, mode="append", available_now=available_now,
                          checkpoint=checkpoint)
+
+
+def payload_messages(bodies: DataFrame, kind: str, topic: str, body: str = "body",
+                     now: Column | None = None) -> DataFrame:
+    """Gyroscope / location request bodies -> topic message rows.
+
+    Missing or NULL fields take the ingest defaults (time: ``now``, values: 0);
+    the gyroscope magnitude is computed here. Works on a batch or a stream.
+    """
+    from ..operators.messages import parse_payload
+    rows = parse_payload(bodies, kind, body, now)
+    ts_ms = F.unix_millis("zeit")
+    if kind == "gyro":
+        msg = encode({"ts_ms": ts_ms, "gx": "gx", "gy": "gy", "gz": "gz",
+                      "absolute": "absolute"}, "server_gyro")
+    elif kind == "location":
+        msg = encode({"ts_ms": ts_ms, "lat": "lat", "lon": "lon", "alt": "alt",
+                      "speed": "speed"}, "server_location")
+    else:
+        raise ValueError(f"no message layout for payload kind {kind!r}")
+    return as_messages(rows, msg, topic)

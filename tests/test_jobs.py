@@ -167,3 +167,17 @@ def test_stream_payload_readings(spark, tmp):
     assert spark.read.parquet(pp).count() == 3
     assert {r[0] for r in spark.read.parquet(rp).select("day_bucket").distinct().collect()} == \
         {dt.date(2023, 11, 14), dt.date(2023, 11, 15)}
+
+
+def test_payload_messages_round_trip(spark):
+    from sensorflow.operators.messages import parse_gyro
+    bodies = spark.createDataFrame([('{"time": 1700000000000, "x": 3, "y": 4}',), ('{}',)], "body string")
+    now = F.lit("2024-01-01 00:00:00").cast("timestamp")
+    msgs = jobs.payload_messages(bodies, "gyro", "gyro", now=now)
+    texts = sorted(r[0] for r in msgs.select(F.col("value").cast("string")).collect())
+    assert texts == ["1700000000000,3.0,4.0,0.0,5.000000", "1704067200000,0.0,0.0,0.0,0.000000"]
+    parsed, bad = parse_gyro(msgs)
+    assert bad.count() == 0 and rows(parsed, "absolute") == [(0.0,), (5.0,)]
+    loc = jobs.payload_messages(spark.createDataFrame([('{"time": 1, "lat": 47.5}',)], "body string"),
+                                "location", "location")
+    assert loc.select(F.col("value").cast("string")).first()[0] == "1,47.5,0.0,0.0,0.0"

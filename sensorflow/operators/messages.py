@@ -100,7 +100,7 @@ def parse_location(df: DataFrame, value: str = "value", resolution: str = "secon
 
 
 def parse_payload(df: DataFrame, kind: str, body: str = "body",
-                  now: Column | None = None) -> DataFrame:
+                  now: Column | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
     """JSON request bodies -> typed rows with the ingest defaults.
 
     ``kind`` is 'gyro' (time, x, y, z; default now, 0, 0, 0, plus the
@@ -116,17 +116,18 @@ def parse_payload(df: DataFrame, kind: str, body: str = "body",
         j = F.from_json(F.col(body), schemas.GYRO_PAYLOAD)
         x, y, z = [F.coalesce(j[c].try_cast("double"), F.lit(0.0)) for c in ("x", "y", "z")]
         t = F.coalesce(F.timestamp_millis(j["time"].try_cast("bigint")), now)
-        return df.select(t.alias("zeit"), x.alias("gx"), y.alias("gy"), z.alias("gz"),
+        return df.select(*keep, t.alias("zeit"), x.alias("gx"), y.alias("gy"), z.alias("gz"),
                          magnitude(x, y, z).alias("absolute"))
     if kind == "location":
         j = F.from_json(F.col(body), schemas.LOCATION_PAYLOAD)
         t = F.coalesce(F.timestamp_millis(j["time"].try_cast("bigint")), now)
         vals = [F.coalesce(j[c].try_cast("double"), F.lit(0.0)).alias(o)
                 for c, o in (("lat", "lat"), ("lon", "lon"), ("altitude", "alt"), ("speed", "speed"))]
-        return df.select(t.alias("zeit"), *vals)
+        return df.select(*keep, t.alias("zeit"), *vals)
     if kind == "reading":
         j = F.from_json(F.col(body), schemas.READING_PAYLOAD)
         return df.select(
+            *keep,
             F.coalesce(j["id"], F.lit("light")).alias("sensor_id"),
             j["time_sec"].try_cast("double").alias("time_sec"),
             j["lx"].try_cast("double").alias("lx"),

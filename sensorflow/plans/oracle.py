@@ -211,6 +211,12 @@ _SC = "(2147483648.0::double / 180.0::double)"
 _DEG = "(180.0::double / 2147483648.0::double)"
 
 ORACLE.update({
+    "payload_ingest": """
+        select event_id, make_timestamp((epoch_us(ts) // 1000) * 1000) as zeit,
+               value as gx, user_id::double as gy, 0.0::double as gz,
+               round(sqrt(value*value + user_id::double*user_id::double + 0.0::double), 6)
+                 as absolute
+        from events""",
     "last_k_per_key": """
         select user_id, event_id, ts, value from events
         qualify row_number() over (partition by user_id order by ts desc, event_id desc) <= 3""",

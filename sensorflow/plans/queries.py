@@ -417,7 +417,20 @@ def geo_location_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return g.select("event_id", text.cast("binary").alias("value"))
 
 
+def payload_ingest(spark, sf_dir):
+    """Events as gyroscope request bodies (no z: default 0) ->
+    typed rows with the magnitude."""
+    from ..operators.messages import parse_payload
+    body = F.to_json(F.struct(F.unix_millis(as_instant("ts")).alias("time"),
+                              F.col("value").alias("x"), F.col("user_id").alias("y")))
+    bodies = events(spark, sf_dir).select("event_id", body.alias("body"))
+    out = parse_payload(bodies, "gyro", keep=("event_id",))
+    return out.select("event_id", as_wall_clock("zeit").alias("zeit"), "gx", "gy", "gz",
+                      _r6("absolute").alias("absolute"))
+
+
 QUERIES.update({
+    "payload_ingest": payload_ingest,
     "last_k_per_key": last_k_per_key,
     "trailing_per_key": trailing_per_key,
     "semicircles": semicircles_query,

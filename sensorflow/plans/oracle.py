@@ -211,6 +211,7 @@ _SC = "(2147483648.0::double / 180.0::double)"
 _DEG = "(180.0::double / 2147483648.0::double)"
 
 ORACLE.update({
+    "extract_readings_long": f"select * from ({EXTRACT_SQL}) where lx is not null",
     "payload_ingest": """
         select event_id, make_timestamp((epoch_us(ts) // 1000) * 1000) as zeit,
                value as gx, user_id::double as gy, 0.0::double as gz,

@@ -417,6 +417,15 @@ def geo_location_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return g.select("event_id", text.cast("binary").alias("value"))
 
 
+def extract_readings_long_query(spark, sf_dir):
+    """X1 / J2 table form: dumps exploded to lines, look-ahead as an equi-join on
+    (dump, 25-line block) plus a line range; dumps with a value only."""
+    from ..operators.extract import explode_lines, extract_readings_long
+    lines = explode_lines(dumps_from_events(events(spark, sf_dir)), "event_id", "text")
+    out = extract_readings_long(lines, dump="event_id")
+    return out.select("event_id", F.col("value").alias("lx"))
+
+
 def payload_ingest(spark, sf_dir):
     """Events as gyroscope request bodies (no z: default 0) ->
     typed rows with the magnitude."""
@@ -430,6 +439,7 @@ def payload_ingest(spark, sf_dir):
 
 
 QUERIES.update({
+    "extract_readings_long": extract_readings_long_query,
     "payload_ingest": payload_ingest,
     "last_k_per_key": last_k_per_key,
     "trailing_per_key": trailing_per_key,

@@ -58,7 +58,12 @@ def gyro_windows(messages: DataFrame, size: str = "1 second",
 def stream_gyro(messages: DataFrame, name: str = "gyro_results", mode: str = "complete",
                 trigger: str = "5 seconds", available_now: bool = False,
                 checkpoint: str | None = None) -> StreamingQuery:
-    """Topic -> window table in memory, queryable as ``name``."""
+    """Topic -> window table in memory, queryable as ``name``.
+
+    The memory sink keeps the table on the driver: a dashboard for one device
+    or a few. For many sensors use :func:`serve_latest` (the executors write a
+    keyed table; nothing passes through the driver).
+    """
     return streams.to_memory(gyro_windows(messages), name, mode, trigger, available_now,
                              checkpoint)
 

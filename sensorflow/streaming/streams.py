@@ -11,6 +11,9 @@
   ``complete`` is for small bounded results only.
 * :func:`upsert_stream` is the keyed latest-window sink (K3): each micro-batch
   is written by the executors as its own version, idempotent per epoch.
+* The shuffle width of a stateful query (``spark.sql.shuffle.partitions`` at
+  its first start) is stored in its checkpoint and cannot change later: size
+  it for the expected number of series before the first run.
 """
 
 from __future__ import annotations

@@ -254,8 +254,10 @@ def latest_by_key(df: DataFrame, key, order) -> DataFrame:
     key, order = _names(key), _names(order)
     rest = [c for c in df.columns if c not in key]
     v = "__sf_row"
+    # fixed-width columns and a packable order: hash aggregate (last_of);
+    # rows carrying strings: max_by over structs, a sort-based aggregate
     return (df.groupBy(*key)
-            .agg(F.max_by(F.struct(*rest), F.struct(*order)).alias(v))
+            .agg(last_of(df, rest, order).alias(v))
             .select(*key, *[F.col(f"{v}.{c}").alias(c) for c in rest]))
 
 

@@ -86,7 +86,9 @@ def first_seen_stream(df: DataFrame, key: str | Sequence[str], order: str | Sequ
         state.update((True,))
         if expire_after_ms:
             last = pd.Timestamp(pdf[ts].max())
-            state.setTimeoutTimestamp(int(last.timestamp() * 1000) + expire_after_ms)
+            wanted = int(last.timestamp() * 1000) + expire_after_ms
+            # a timeout must lie after the current watermark
+            state.setTimeoutTimestamp(max(wanted, state.getCurrentWatermarkMs() + 1))
 
     return df.groupBy(*key).applyInPandasWithState(
         fn, outputStructType=schema, stateStructType="seen boolean",

@@ -251,3 +251,18 @@ def test_start_dispatches_sinks(spark, tmp):
     q = streams.start(agg, "noop", "start_noop", available_now=True, checkpoint=os.path.join(tmp, "ck3"))
     q.awaitTermination()
     assert q.lastProgress is not None
+
+
+def test_first_seen_stream_with_expiry(spark, tmp):
+    batches = [[(0, 1.0), (5, 2.0)], [(100, 3.0)], [(1, 9.0), (200, 4.0)]]
+    _write_batches(os.path.join(tmp, "in"), batches)
+    src = _source(spark, os.path.join(tmp, "in")).withColumn("k", F.lit("s")).withWatermark(
+        "zeit", "10 seconds")
+    q = streams.to_memory(state.first_seen_stream(src, "k", ["zeit"], expire_after_ms=30_000),
+                          "first_seen_exp", mode="append", available_now=True,
+                          checkpoint=os.path.join(tmp, "ck"))
+    q.awaitTermination()
+    got = sorted((r["zeit"] - T0).seconds for r in spark.table("first_seen_exp").collect())
+    # first row of the key, then -- after the key expired at :35 -- the next arrival
+    # is new again; the late :01 row is below the watermark and never shown
+    assert got[0] == 0 and 1 not in got and 5 not in got

@@ -155,23 +155,25 @@ def order_key(df: DataFrame, order: Sequence[str]) -> Column | None:
     if not 1 <= len(order) <= 2:
         return None
     first, rest = order[0], order[1:]
-    lo = F.lit(-(2 ** 63)).cast("bigint")
+    def dec(v) -> Column:
+        return F.lit(str(v)).cast("decimal(38,0)")
+
     if types.get(first) in _TIMES:
         # valid instants lie within +-2.6e17 us (years 1..9999); NULL sorts
         # below them, and head * 1e20 + tie stays inside DECIMAL(38,0)
-        head = F.coalesce(F.unix_micros(as_instant(first)), F.lit(-(10 ** 17)).cast("bigint"))
+        head = F.coalesce(F.unix_micros(as_instant(first)).cast("decimal(38,0)"), dec(-(10 ** 17)))
     elif types.get(first) in _INTEGRAL and not rest:
-        head = F.coalesce(F.col(first).cast("bigint"), lo)
+        # NULL just below the smallest BIGINT, so it never ties with a value
+        head = F.coalesce(F.col(first).cast("decimal(38,0)"), dec(-(2 ** 63) - 1))
     else:
         return None
     if rest and types.get(rest[0]) not in _INTEGRAL:
         return None
-    key = head.cast("decimal(38,0)")
+    key = head
     if rest:
-        tie = F.coalesce(F.col(rest[0]).cast("bigint"), lo).cast("decimal(38,0)")
-        key = (key * F.lit(str(10 ** 20)).cast("decimal(38,0)")
-               + (tie + F.lit(str(2 ** 63)).cast("decimal(38,0)")))
-        key = key.cast("decimal(38,0)")
+        # tie-breaker mapped to 1 .. 2^64 (NULL -> 0), below the 1e20 multiplier
+        tie = F.coalesce(F.col(rest[0]).cast("decimal(38,0)") + dec(2 ** 63 + 1), dec(0))
+        key = (key * dec(10 ** 20) + tie).cast("decimal(38,0)")
     return key
 
 

@@ -138,3 +138,19 @@ def test_order_key_with_null_times_and_extremes(spark):
     want = df.select("id", F.lag("v").over(w).alias("p"))
     got2 = series.lag_stitched(df, "k", ["ts", "tie"], ["v"], bucket="1 day")
     assert rows(got2, "id", "prev_v") == rows(want, "id", "p")
+
+
+def test_order_key_sorts_like_the_columns(spark):
+    rnd = random.Random(11)
+    data = []
+    for i in range(2000):
+        ts = None if rnd.random() < 0.05 else dt.datetime(rnd.choice([1000, 1969, 1970, 2024, 9999]), 1, 2) \
+            + dt.timedelta(microseconds=rnd.randint(0, 10 ** 12))
+        tie = None if rnd.random() < 0.05 else rnd.choice([-(2 ** 63), 2 ** 63 - 1, rnd.randint(-5, 5)])
+        data.append((i, ts if ts is None or ts.year <= 9999 else None, tie))
+    df = spark.createDataFrame(data, "id int, ts timestamp, tie bigint")
+    key = series.order_key(df, ["ts", "tie"])
+    by_key = [r["id"] for r in df.orderBy(key, "id").collect()]
+    by_cols = [r["id"] for r in df.orderBy(F.col("ts").asc_nulls_first(),
+                                           F.col("tie").asc_nulls_first(), "id").collect()]
+    assert by_key == by_cols

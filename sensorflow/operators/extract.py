@@ -16,9 +16,9 @@ Two forms with the same result:
   higher-order functions: every line's regexes run once, the look-ahead is a
   ``slice`` of at most ``span`` entries. Row-local, no shuffle.
 * :func:`extract_readings_long` is the table form (J2) for dumps too big for
-  one row: lines are exploded, the look-ahead becomes an equi-join on
-  ``(dump, block of span lines)`` plus a line-number range, so a huge dump is
-  spread over many tasks.
+  one row: lines are exploded and grouped by ``(dump, block of span lines)``
+  with each line also serving the block before, so a huge dump is spread
+  over many tasks and no group holds more than ``2 * span`` lines.
 """
 
 from __future__ import annotations
@@ -108,29 +108,41 @@ def extract_readings_long(lines: DataFrame, dump: str = "dump_id", line_no: str
     """X1 / J2 table form: ``lines`` has one row per (dump, 0-based line number, text).
 
     Returns ``(dump, value)`` for dumps with a value. Only lines that can
-    matter (sensor, keyword value, event, bracket value) survive the first
-    projection; candidate line j belongs to sensor line i when i <= j < i + span,
-    found by joining on (dump, j div span) with i's block and the block before.
+    matter (sensor, keyword value, event, bracket value) are kept. Every such
+    line goes to its own ``span``-line block and to the block before, so the
+    group (dump, block b) holds lines [b*span, (b+2)*span): the whole
+    look-ahead of each sensor line of block b. One shuffle, at most 2*span
+    lines per group however large the dump, no join; then the first sensor
+    line with a value wins per dump (an aggregate combined per map task).
     """
     f = _line_facts(F.col(line), sensor_pattern)
-    facts = (lines.select(dump, F.col(line_no).cast("bigint").alias("j"),
+    facts = (lines.select(dump, F.col(line_no).cast("bigint").alias("i"),
                           *[c.alias(k) for k, c in f.items()])
              .where(F.col("sensor") | F.col("kv").isNotNull() | F.col("ev")
                     | F.col("br").isNotNull()))
-    sensors = (facts.where("sensor").select(dump, F.col("j").alias("i"))
-               .withColumn("blk", F.explode(F.array(
-                   F.floor(F.col("i") / span), F.floor(F.col("i") / span) + 1).cast("array<bigint>"))))
-    cand = facts.withColumn("blk", F.floor(F.col("j") / span).cast("bigint"))
-    pairs = (sensors.join(cand, on=[dump, "blk"], how="inner")
-             .where((F.col("j") >= F.col("i")) & (F.col("j") < F.col("i") + span)))
-    per_sensor = (pairs.groupBy(dump, "i").agg(
-        F.min_by("kv", F.when(F.col("kv").isNotNull(), F.col("j"))).alias("p1"),
-        F.min(F.when(F.col("ev"), F.col("j"))).alias("first_ev"),
-        F.collect_list(F.when(~F.col("ev") & F.col("br").isNotNull(),
-                              F.struct("j", "br"))).alias("brs")))
-    per_sensor = per_sensor.withColumn(
-        "p2", F.array_min(F.filter("brs", lambda x: x["j"] > F.col("first_ev")))["br"])
-    valued = per_sensor.withColumn("value", F.coalesce("p1", "p2")).where(F.col("value").isNotNull())
+    own = F.floor(F.col("i") / F.lit(span)).cast("bigint")
+    spread = facts.withColumn("blk", F.explode(F.array(own, own - F.lit(1))))
+    blocks = spread.groupBy(dump, "blk").agg(
+        F.array_sort(F.collect_list(F.struct("i", "sensor", "kv", "ev", "br"))).alias("ls"))
+
+    none = F.lit(None).cast("double")
+    start = F.struct(none.alias("p1"), F.lit(False).alias("seen_ev"), none.alias("p2"))
+
+    def step(acc, x):
+        return F.struct(
+            F.coalesce(acc["p1"], x["kv"]).alias("p1"),
+            (acc["seen_ev"] | x["ev"]).alias("seen_ev"),
+            F.coalesce(acc["p2"], F.when(acc["seen_ev"] & ~x["ev"], x["br"])).alias("p2"))
+
+    def value_at(s):
+        win = F.filter("ls", lambda x: (x["i"] >= s["i"]) & (x["i"] < s["i"] + F.lit(span)))
+        r = F.aggregate(win, start, step)
+        return F.struct(s["i"].alias("i"), F.coalesce(r["p1"], r["p2"]).alias("value"))
+
+    mine = F.filter("ls", lambda x: x["sensor"]
+                    & (F.floor(x["i"] / F.lit(span)).cast("bigint") == F.col("blk")))
+    per_sensor = blocks.select(dump, F.explode(F.transform(mine, value_at)).alias("s"))
+    valued = per_sensor.select(dump, "s.i", "s.value").where(F.col("value").isNotNull())
     return valued.groupBy(dump).agg(F.min_by("value", "i").alias("value"))
 
 

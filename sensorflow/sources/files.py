@@ -130,7 +130,31 @@ def read_dumps(spark: SparkSession, path: str) -> DataFrame:
                     F.col("_metadata.file_modification_time").alias("modified")))
 
 
-def read_dump_lines(spark: SparkSession, path: str) -> DataFrame:
-    """S7 table form: ``(dump_id, line_no, line)`` for the long extraction."""
-    return read_dumps(spark, path).select(
-        "dump_id", F.posexplode(split_lines(F.col("text"))).alias("line_no", "line"))
+def read_dump_lines(spark: SparkSession, path: str, whole_files: bool = False) -> DataFrame:
+    """S7 table form: ``(dump_id, line_no, line)`` for the long extraction.
+
+    Lines are read with the plain text source, so one large dump is split over
+    many tasks; exact 0-based line numbers come from the row position inside
+    each (file, input partition) plus the line counts of the file's earlier
+    partitions (a running sum over a table of one row per file split). Line
+    breaks are ``\\n``, ``\\r\\n`` and ``\\r``. ``whole_files=True`` reads each file as
+    one row instead (all ``splitlines`` breaks; for dumps of bounded size).
+    """
+    if whole_files:
+        return read_dumps(spark, path).select(
+            "dump_id", F.posexplode(split_lines(F.col("text"))).alias("line_no", "line"))
+    from pyspark.sql import Window
+    raw = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("dump_id"), F.col("value").alias("line"),
+        F.monotonically_increasing_id().alias("__sf_id"))
+    raw = raw.withColumn("__sf_part", F.shiftright("__sf_id", 33))
+    splits = raw.groupBy("dump_id", "__sf_part").agg(
+        F.min("__sf_id").alias("__sf_first"), F.count(F.lit(1)).alias("__sf_n"))
+    before = Window.partitionBy("dump_id").orderBy("__sf_part").rowsBetween(
+        Window.unboundedPreceding, -1)
+    splits = splits.withColumn("__sf_before", F.coalesce(F.sum("__sf_n").over(before), F.lit(0)))
+    numbered = raw.join(splits, on=["dump_id", "__sf_part"])
+    return numbered.select(
+        "dump_id",
+        (F.col("__sf_before") + F.col("__sf_id") - F.col("__sf_first")).alias("line_no"),
+        "line")

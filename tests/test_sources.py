@@ -124,3 +124,24 @@ def test_fit_records_semicircles(spark):
     kept, rejects = normalise_fit(recs, fill_zero=True)
     assert rows(kept, "lat", "lon", "hr") == [(45.0, 45.0, 0.0), (90.0, 0.0, 95.0)]
     assert rows(rejects, "reason") == [("coords out of range",), ("missing:time,lat,lon",)]
+
+
+def test_dump_lines_numbered_across_splits(spark, tmp):
+    d = os.path.join(tmp, "big_dumps")
+    os.makedirs(d)
+    body = "\n".join(f"line {i}" for i in range(400)) + "\nLight sensor\n  value: 42\n"
+    _write(d, "a.txt", body)
+    _write(d, "b.txt", "\n".join(f"x{i}" for i in range(50)) + "\nilluminance\nevents\n  [ 7 ]\n")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "256")  # many splits per file
+    try:
+        lines = files.read_dump_lines(spark, d)
+        assert lines.rdd.getNumPartitions() > 4
+        got = {(r["dump_id"].rsplit("/", 1)[-1], r["line_no"]): r["line"] for r in lines.collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert got[("a.txt", 0)] == "line 0" and got[("a.txt", 399)] == "line 399"
+    assert got[("a.txt", 400)] == "Light sensor" and got[("b.txt", 50)] == "illuminance"
+    assert len([k for k in got if k[0] == "a.txt"]) == 402
+    vals = extract_readings_long(files.read_dump_lines(spark, d))
+    assert sorted(r["value"] for r in vals.collect()) == [7.0, 42.0]

@@ -26,8 +26,10 @@ def _num(pattern: str, line: str = "l") -> str:
     return f"try_cast(nullif(regexp_extract({line}, '{pattern}', 1), '') as double)"
 
 
-EXTRACT_SQL = f"""
-with d as {DUMPS_SQL},
+def extract_sql(source: str) -> str:
+    """The dump rule in DuckDB SQL over ``source`` (a relation with event_id, text)."""
+    return f"""
+with d as {source},
 f as (
   select event_id,
     list_transform(string_split(text, chr(10)), lambda l, i: struct_pack(
@@ -51,6 +53,9 @@ from f
 """
 
 
+EXTRACT_SQL = extract_sql(DUMPS_SQL)
+
+
 ORACLE: dict[str, str] = {
     "window_stats": """
         select date_trunc('hour', ts) as fenster_start,

@@ -145,3 +145,29 @@ def test_dump_lines_numbered_across_splits(spark, tmp):
     assert len([k for k in got if k[0] == "a.txt"]) == 402
     vals = extract_readings_long(files.read_dump_lines(spark, d))
     assert sorted(r["value"] for r in vals.collect()) == [7.0, 42.0]
+
+
+def test_extraction_forms_equal_sql_on_random_dumps(spark):
+    import random
+    rnd = random.Random(5)
+    pieces = ["filler text", "Light Sensor", "ILLUMINANCE meter", "recent events:", "  [ 3.5, 1]",
+              "  value: 12", "lx = 7.25", "reading = [ -2 ]", "x=1", "event log", "data: [ 9",
+              "accel", "  last value = 4", "[ 8 ]", ""]
+    dumps = []
+    for d in range(300):
+        n = rnd.randint(1, 80)
+        dumps.append((d, "\n".join(rnd.choice(pieces) for _ in range(n))))
+    df = spark.createDataFrame(dumps, "dump_id int, text string")
+    # oracle: the same rule in DuckDB SQL (list functions), run on the same texts
+    import duckdb
+    import pandas as pd
+    from sensorflow.plans.oracle import extract_sql
+    con = duckdb.connect()
+    con.register("random_dumps", pd.DataFrame(dumps, columns=["event_id", "text"]))
+    res = con.execute(extract_sql("(select event_id, text from random_dumps)")).fetchall()
+    want = {d: v for d, v in res}
+    from sensorflow.operators.extract import with_dump_value
+    arr = {r["dump_id"]: r["value"] for r in with_dump_value(df).collect()}
+    assert arr == want
+    lng = {r["dump_id"]: r["value"] for r in extract_readings_long(explode_lines(df)).collect()}
+    assert lng == {d: v for d, v in want.items() if v is not None}

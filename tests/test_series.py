@@ -154,3 +154,14 @@ def test_order_key_sorts_like_the_columns(spark):
     by_cols = [r["id"] for r in df.orderBy(F.col("ts").asc_nulls_first(),
                                            F.col("tie").asc_nulls_first(), "id").collect()]
     assert by_key == by_cols
+
+
+def test_window_mean_ordered(spark):
+    from sensorflow.operators.windows import window_mean
+    base = dt.datetime(2024, 1, 1)
+    df = spark.createDataFrame([(base + dt.timedelta(seconds=s), float(s)) for s in (3, 1, 2, 1)],
+                               "zeit timestamp, absolute double")
+    got = [(r["fenster_start"], r["avg_absolute"]) for r in window_mean(df, "zeit", "1 second",
+                                                                         ["absolute"]).collect()]
+    assert got == [(base + dt.timedelta(seconds=1), 1.0), (base + dt.timedelta(seconds=2), 2.0),
+                   (base + dt.timedelta(seconds=3), 3.0)]

@@ -216,6 +216,10 @@ _SC = "(2147483648.0::double / 180.0::double)"
 _DEG = "(180.0::double / 2147483648.0::double)"
 
 ORACLE.update({
+    "window_stats_by_series": """
+        select date_trunc('hour', ts) as fenster_start, user_id,
+               round(avg(value), 6) as v_mean, count(value) as n_samples
+        from events group by 1, 2""",
     "extract_readings_long": f"select * from ({EXTRACT_SQL}) where lx is not null",
     "payload_ingest": """
         select event_id, make_timestamp((epoch_us(ts) // 1000) * 1000) as zeit,

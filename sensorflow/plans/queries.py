@@ -417,6 +417,15 @@ def geo_location_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return g.select("event_id", text.cast("binary").alias("value"))
 
 
+def window_stats_by_series(spark, sf_dir):
+    """A3 per series: 1 h windows per user (a fleet of sensors), mean + count;
+    the aggregate is keyed on (window, series), combined per map task."""
+    out = window_stats(events(spark, sf_dir), "ts", "1 hour", {"v_mean": "value"},
+                       count_of="value", by="user_id", end=None)
+    return out.select(as_wall_clock("fenster_start").alias("fenster_start"), "user_id",
+                      _r6("v_mean").alias("v_mean"), "n_samples")
+
+
 def extract_readings_long_query(spark, sf_dir):
     """X1 / J2 table form: dumps exploded to lines, look-ahead as an equi-join on
     (dump, 25-line block) plus a line range; dumps with a value only."""
@@ -439,6 +448,7 @@ def payload_ingest(spark, sf_dir):
 
 
 QUERIES.update({
+    "window_stats_by_series": window_stats_by_series,
     "extract_readings_long": extract_readings_long_query,
     "payload_ingest": payload_ingest,
     "last_k_per_key": last_k_per_key,

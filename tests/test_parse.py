@@ -120,3 +120,11 @@ def test_small_helpers(spark):
                   timestamps.session_zone().alias("z")).collect()
     assert [x["d"] for x in r][:2] == [1.0, 0.0]
     assert r[0]["z"] == "UTC" and r[0]["n"] > 1_700_000_000 * 10 ** 9
+
+
+def test_half_second_window_of_truncated_event_time(spark):
+    from sensorflow.operators.windows import window_stats
+    ok, _ = parse_gyro(_msgs(spark, ["1700000000750,0.1,0.2,0.3,0.4"]))
+    w = window_stats(ok, "zeit", "500 milliseconds", count_of="gx").first()
+    assert (w["fenster_start"], w["fenster_ende"]) == (
+        dt.datetime(2023, 11, 14, 22, 13, 20), dt.datetime(2023, 11, 14, 22, 13, 20, 500000))

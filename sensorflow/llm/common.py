@@ -101,3 +101,8 @@ def joined(spans: Column) -> Column:
     """``kind:start:end`` of each span, comma-joined."""
     return F.concat_ws(",", F.transform(spans, lambda s: F.concat_ws(
         ":", s.kind, s.start.cast("string"), s.end.cast("string"))))
+
+
+def of_kind(spans: Column, kind: str) -> Column:
+    """Number of spans of a kind."""
+    return F.size(F.filter(spans, lambda s: s.kind == kind)).cast("long")

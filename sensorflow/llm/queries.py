@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from sensorflow.llm.pii import op1_pii
+from sensorflow.llm.secrets import op10_secret_scan
 from sensorflow.llm.url_filter import OP4_SQL, op4_url_filter
 
-QUERIES = {"op4_url_filter": op4_url_filter}
+QUERIES = {"op1_pii": op1_pii, "op4_url_filter": op4_url_filter, "op10_secret_scan": op10_secret_scan}
 ORACLE = {"op4_url_filter": OP4_SQL}

@@ -44,20 +44,29 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
+def spread_join(big: DataFrame, small: DataFrame, key: str, by: str, how: str = "inner") -> DataFrame:
+    """``big`` joined with ``small``, which has one row per ``key``; no key fills a task.
+
+    Each key is dealt over ``SALTS`` join keys by the hash of ``by``, and
+    ``small`` is repeated for the salts that occur. NULL keys match nothing.
+    """
+    salted = big.withColumn("_salt", F.pmod(F.xxhash64(F.col(by)), F.lit(SALTS)).cast("int"))
+    used = salted.where(F.col(key).isNotNull()).groupBy(key, "_salt").agg(F.lit(1).alias("_one")).drop("_one")
+    return salted.join(used.join(small, key), [key, "_salt"], how).drop("_salt")
+
+
 def group_min(df: DataFrame, key: str, value: str, out: str) -> DataFrame:
     """``df`` with the least ``value`` of its ``key`` group in ``out``.
 
-    Rows without a key or without a value get NULL. A group of any size is
-    spread over ``SALTS`` join keys, and each side of the join is aggregated
-    per (key, salt) first, so that no task gets a whole group.
+    Rows without a key get NULL, and rows without a value do not count. A group of any size is spread over
+    ``SALTS`` join keys, and aggregated per (key, salt) first, so that no task
+    gets a whole group.
     """
-    salt = F.pmod(F.xxhash64(F.col(value)), F.lit(SALTS)).cast("int")
-    keyed = df.withColumn("_salt", salt)
-    parts = (keyed.where(F.col(key).isNotNull() & F.col(value).isNotNull())
-             .groupBy(key, "_salt").agg(F.min(value).alias("_m")))
+    salted = df.withColumn("_salt", F.pmod(F.xxhash64(F.col(value)), F.lit(SALTS)).cast("int"))
+    parts = salted.where(F.col(key).isNotNull()).groupBy(key, "_salt").agg(F.min(value).alias("_m"))
     mins = (parts.groupBy(key).agg(F.min("_m").alias(out), F.collect_set("_salt").alias("_salts"))
             .select(key, out, F.explode("_salts").alias("_salt")))
-    return keyed.join(mins, [key, "_salt"], "left").drop("_salt")
+    return salted.join(mins, [key, "_salt"], "left").drop("_salt")
 
 
 def spans_of(text: Column, pattern: str, kind: str, keep: Callable[[Column], Column] | None = None,

@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 from sensorflow.llm.near_dup import op8_near_dup
+from sensorflow.llm.packing import op5_packing
 from sensorflow.llm.pii import op1_pii
 from sensorflow.llm.secrets import op10_secret_scan
 from sensorflow.llm.toxicity import op2_toxicity
 from sensorflow.llm.url_filter import OP4_SQL, op4_url_filter
 
-QUERIES = {"op1_pii": op1_pii, "op2_toxicity": op2_toxicity, "op4_url_filter": op4_url_filter, "op8_near_dup": op8_near_dup, "op10_secret_scan": op10_secret_scan}
+from sensorflow.llm.warc import op7_warc
+
+QUERIES = {"op1_pii": op1_pii, "op2_toxicity": op2_toxicity, "op4_url_filter": op4_url_filter, "op5_packing": op5_packing, "op7_warc": op7_warc, "op8_near_dup": op8_near_dup, "op10_secret_scan": op10_secret_scan}
 ORACLE = {"op4_url_filter": OP4_SQL}

@@ -81,9 +81,8 @@ class Shingler:
                 chunk, size = [], 0
         yield from self._chunk(chunk)
 
-    def _chunk(self, texts: list[bytes]) -> Iterator[np.ndarray]:
-        if not texts:
-            return
+    def hashed(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Word hashes of all texts, shingle hashes from each word on, and where each text's words begin."""
         raw = np.frombuffer(b"\n".join(texts) + b"\n", np.uint8)
         self._grow(len(raw))
         word = ~self.space[raw]
@@ -100,7 +99,13 @@ class Shingler:
         mixed = np.zeros(max(n, 0), _U)
         for k in range(w if n > 0 else 0):
             mixed += words[k:k + n] * self.mix[k]
-        mixed = self._stir(mixed)
+        return words, self._stir(mixed), cut
+
+    def _chunk(self, texts: list[bytes]) -> Iterator[np.ndarray]:
+        if not texts:
+            return
+        words, mixed, cut = self.hashed(texts)
+        w = self.width
         for a, b in zip(cut[:-1], cut[1:]):
             if b - a >= w:
                 s = np.sort(mixed[a:b - w + 1])

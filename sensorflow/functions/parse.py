@@ -39,7 +39,9 @@ def event_time(ms: ColumnOrName, resolution: str = "second") -> Column:
     ``resolution='second'`` truncates toward zero to whole seconds, the way the
     surveyed jobs build their event time; ``'ms'`` keeps the milliseconds.
     """
-    ms = _col(ms).try_cast("bigint")
+    # an instant outside the calendar (e.g. nanoseconds sent as milliseconds)
+    # is NULL, which the parsers reject; the conversion itself would abort
+    ms = within_calendar(_col(ms).try_cast("bigint"), 1000)
     if resolution == "second":
         # Integer division truncates toward zero, also for negative values.
         return F.timestamp_seconds(_div_trunc(ms, 1000))
@@ -48,14 +50,26 @@ def event_time(ms: ColumnOrName, resolution: str = "second") -> Column:
     raise ValueError(f"unknown resolution {resolution!r}")
 
 
+# Seconds of 0001-01-01 and 9999-12-31 23:59:59 UTC.
+FIRST_SECOND, LAST_SECOND = -62_135_596_800, 253_402_300_799
+
+
+def within_calendar(v: Column, per_second: int = 1) -> Column:
+    """``v`` (an epoch in units of 1/``per_second`` s) if it lies in years 1 to 9999, else NULL.
+
+    NaN sorts above every number, so it is NULL too.
+    """
+    return F.when(v.between(FIRST_SECOND * per_second, LAST_SECOND * per_second), v)
+
+
 def _div_trunc(c: Column, d: int) -> Column:
     # ``(c / d).cast('bigint')`` truncates toward zero, like Python's int().
     return (c / F.lit(d)).cast("bigint")
 
 
 def event_time_s(seconds: ColumnOrName) -> Column:
-    """Float epoch seconds -> TIMESTAMP truncated to whole seconds."""
-    return F.timestamp_seconds(_col(seconds).try_cast("double").cast("bigint"))
+    """Float epoch seconds -> TIMESTAMP truncated to whole seconds; NULL when not finite or out of range."""
+    return F.timestamp_seconds(within_calendar(_col(seconds).try_cast("double")).cast("bigint"))
 
 
 def with_default(c: ColumnOrName, default) -> Column:

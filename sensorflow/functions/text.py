@@ -24,8 +24,8 @@ LINE_BREAK = "\\r\\n|[\\n\\x0b\\x0c\\r\\x1c\\x1d\\x1e\\x85\\u2028\\u2029]"
 
 def first_number(line: ColumnOrName, pattern: str) -> Column:
     """Group 1 of the first case-insensitive match of ``pattern`` as DOUBLE, else NULL."""
-    hit = F.regexp_extract(_col(line), "(?i)" + pattern, 1)
-    return F.when(hit != F.lit(""), hit).try_cast("double")
+    # no match gives '', which try_cast turns into NULL
+    return F.regexp_extract(_col(line), "(?i)" + pattern, 1).try_cast("double")
 
 
 def extract_value(line: ColumnOrName) -> Column:
@@ -55,10 +55,11 @@ def normalise_line(line: ColumnOrName, sep: str = ";", decimal: str = ",",
                    out_sep: str = ",") -> Column:
     """``"0,25;1,5"`` -> ``"0.25,1.5"``: fields parsed as numbers and re-joined.
 
-    Unparsable fields become NULL and are dropped by ``array_join`` unless a
-    caller checks for them first (see ``operators.clean.split_rejects``).
+    NULL when any field is no number: no field is dropped, so none changes its
+    place (see ``operators.clean.normalise_lines`` for the rejects).
     """
     fields = F.split(_col(line), sep)
     numbers = F.transform(
         fields, lambda x: F.translate(F.trim(x), decimal, ".").try_cast("double"))
-    return F.array_join(F.transform(numbers, lambda x: x.cast("string")), out_sep)
+    joined = F.array_join(F.transform(numbers, lambda x: x.cast("string")), out_sep)
+    return F.when(F.forall(numbers, lambda x: x.isNotNull()), joined)

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .parse import ColumnOrName, _col
+from .parse import ColumnOrName, _col, within_calendar
 
 _UNIT_PER_SECOND = {"s": 1, "ms": 1_000, "us": 1_000_000, "ns": 1_000_000_000}
 
@@ -48,8 +48,12 @@ def to_epoch(ts: ColumnOrName, unit: str = "ms") -> Column:
 
 
 def from_epoch(value: ColumnOrName, unit: str = "ms") -> Column:
-    """Integer epoch in ``unit`` -> TIMESTAMP (ns truncated to µs)."""
+    """Integer epoch in ``unit`` -> TIMESTAMP (ns truncated to µs); NULL outside years 1 to 9999."""
+    if unit not in _UNIT_PER_SECOND:
+        raise ValueError(f"unknown unit {unit!r}")
     v = _col(value).try_cast("bigint")
+    if unit != "ns":  # every BIGINT of nanoseconds is in range
+        v = within_calendar(v, _UNIT_PER_SECOND[unit])
     if unit == "s":
         return F.timestamp_seconds(v)
     if unit == "ms":
@@ -79,10 +83,10 @@ def rebase(time_s: ColumnOrName, start_s: float | int, out: str = "ms") -> Colum
     """P5: relative seconds + start instant -> integer epoch (truncated).
 
     ``start_s`` is a parameter (never the wall clock), so a rerun gives the
-    same instants.
+    same instants. A time that is not finite, or too large, gives NULL.
     """
     scale = _UNIT_PER_SECOND[out]
-    return ((F.lit(float(start_s)) + _col(time_s).try_cast("double")) * F.lit(scale)).cast("bigint")
+    return ((F.lit(float(start_s)) + _col(time_s).try_cast("double")) * F.lit(scale)).try_cast("bigint")
 
 
 def rebase_us(offset_us: ColumnOrName, start_us: int, out: str = "ms") -> Column:

@@ -12,6 +12,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.parse import compute_once
+from ..functions.text import normalise_line
 from .series import _names
 
 
@@ -74,9 +76,26 @@ def split_rejects(df: DataFrame, typed: Mapping[str, str]) -> tuple[DataFrame, D
             flagged.where(F.col("reason").isNotNull()))
 
 
+def normalise_lines(df: DataFrame, line: str, sep: str = ";", decimal: str = ",",
+                    out_sep: str = ",") -> tuple[DataFrame, DataFrame]:
+    """P26 with rejects: ``(rows with the line rewritten, rejects)``; a line with a
+    field that is no number is a reject (``bad:number``), a NULL line ``empty``."""
+    out = "__sf_line"
+    flagged = compute_once(df, **{out: normalise_line(line, sep, decimal, out_sep)})
+    kept = flagged.where(F.col(out).isNotNull()).withColumn(line, F.col(out)).drop(out)
+    rejects = flagged.where(F.col(out).isNull()).drop(out).withColumn(
+        "reason", F.when(F.col(line).isNull(), F.lit("empty")).otherwise(F.lit("bad:number")))
+    return kept, rejects
+
+
 def skip_warmup(df: DataFrame, t: str, seconds: int = 1) -> DataFrame:
-    """keep ``int(t) >= seconds`` (relative seconds, truncated toward zero)."""
-    return df.where(F.col(t).cast("bigint") >= F.lit(seconds))
+    """keep ``int(t) >= seconds`` (relative seconds, truncated toward zero).
+
+    The comparison is on the column itself, so it reaches the scan. NaN and
+    NULL times are dropped.
+    """
+    enough = F.col(t) >= F.lit(seconds) if seconds > 0 else F.col(t) > F.lit(seconds - 1)
+    return df.where(enough & (F.col(t) <= F.lit(float("inf"))))
 
 
 def skip_zero(df: DataFrame, raw: str) -> DataFrame:

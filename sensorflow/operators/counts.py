@@ -17,6 +17,17 @@ def load_counts(kept: DataFrame, rejects: DataFrame, reason: str = "reason") ->
     return ok.unionByName(bad)
 
 
+def outcome_counts(flagged: DataFrame, reason: str = "reason") -> DataFrame:
+    """The same counts from one pass over flagged rows (reason NULL = kept).
+
+    A ``kept`` row is there even when nothing was kept.
+    """
+    per = flagged.groupBy(F.coalesce(F.col(reason), F.lit("kept")).alias("outcome")).agg(
+        F.count(F.lit(1)).alias("n"))
+    none = per.sparkSession.range(1).select(F.lit("kept").alias("outcome"), F.lit(0).cast("bigint").alias("n"))
+    return per.unionByName(none).groupBy("outcome").agg(F.sum("n").alias("n"))
+
+
 def observed(df: DataFrame, name: str, **conditions) -> tuple[DataFrame, Observation]:
     """Attach counters that are filled while ``df`` is consumed by its action.
 

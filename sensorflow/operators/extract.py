@@ -68,12 +68,13 @@ def value_from_facts(facts: str | Column, span: int = SENSOR_SPAN) -> Column:
             F.coalesce(acc["p2"], F.when(acc["seen_ev"] & ~x["ev"], x["br"])).alias("p2"))
 
     def value_at(s):
-        r = F.aggregate(F.slice(facts, s["i"] + 1, span), start, step)
-        return F.coalesce(r["p1"], r["p2"])
+        return F.aggregate(F.slice(facts, s["i"] + 1, span), start, step,
+                           lambda r: F.coalesce(r["p1"], r["p2"]))
 
     sensors = F.filter(facts, lambda x: x["sensor"])
-    found = F.filter(F.transform(sensors, value_at), lambda v: v.isNotNull())
-    return F.try_element_at(found, F.lit(1))
+    # in order; once a sensor line gave a value, later ones are not looked at
+    return F.aggregate(sensors, none,
+                       lambda acc, s: F.when(acc.isNotNull(), acc).otherwise(value_at(s)))
 
 
 def with_dump_value(dumps: DataFrame, text: str = "text", out: str = "value",
@@ -85,10 +86,8 @@ def with_dump_value(dumps: DataFrame, text: str = "text", out: str = "value",
     look-ahead rule reads them; no shuffle.
     """
     facts = "__sf_facts"
-    t = F.col(text)
-    # a dump without any sensor-pattern match has no value: skip its line work
-    has_sensor = t.rlike("(?i)" + sensor_pattern)
-    staged = compute_once(dumps, **{facts: F.when(has_sensor, line_facts(text, sensor_pattern))})
+    # the pattern is matched line by line: an anchored one means line ends
+    staged = compute_once(dumps, **{facts: line_facts(text, sensor_pattern)})
     return staged.withColumn(out, value_from_facts(facts, span)).drop(facts)
 
 
@@ -115,9 +114,10 @@ def extract_readings_long(lines: DataFrame, dump: str = "dump_id", line_no: str
     lines per group however large the dump, no join; then the first sensor
     line with a value wins per dump (an aggregate combined per map task).
     """
-    f = _line_facts(F.col(line), sensor_pattern)
-    facts = (lines.select(dump, F.col(line_no).cast("bigint").alias("i"),
-                          *[c.alias(k) for k, c in f.items()])
+    # stored once per line: the filter below reads columns, not the patterns again
+    staged = compute_once(lines.select(dump, F.col(line_no).cast("bigint").alias("i"), line),
+                          **_line_facts(F.col(line), sensor_pattern))
+    facts = (staged.drop(line)
              .where(F.col("sensor") | F.col("kv").isNotNull() | F.col("ev")
                     | F.col("br").isNotNull()))
     own = F.floor(F.col("i") / F.lit(span)).cast("bigint")
@@ -146,6 +146,12 @@ def extract_readings_long(lines: DataFrame, dump: str = "dump_id", line_no: str
     return valued.groupBy(dump).agg(F.min_by("value", "i").alias("value"))
 
 
+def long_rejects(lines: DataFrame, values: DataFrame, dump: str = "dump_id") -> DataFrame:
+    """Rejects of the table form: dumps of ``lines`` without a row in ``values``."""
+    seen = lines.groupBy(dump).agg(F.lit("no sensor value").alias("reason"))
+    return seen.join(values.select(dump), on=dump, how="left_anti")
+
+
 def explode_lines(dumps: DataFrame, dump: str = "dump_id", text: str = "text") -> DataFrame:
     """Dumps -> one row per line (0-based ``line_no``), for the table form."""
     return dumps.select(dump, F.posexplode(split_lines(F.col(text))).alias("line_no", "line"))

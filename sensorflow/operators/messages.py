@@ -12,7 +12,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from .. import schemas
+from ..functions.geo import magnitude
 from ..functions.parse import compute_once, event_time, field, raw_field, split_fields
 
 GYRO_FIELDS = ("gx", "gy", "gz", "absolute")
@@ -37,7 +40,7 @@ def parse_gyro(df: DataFrame, value: str = "value", resolution: str = "second",
                          **{f: split_fields("raw")})
     reason = (F.when(F.col("raw").isNull() | (F.trim("raw") == F.lit("")), F.lit("empty"))
               .when(F.size(f) < F.lit(5), F.lit("fields<5"))
-              .when(field(f, 0, "bigint").isNull(), F.lit("bad:time"))
+              .when(event_time(field(f, 0, "bigint"), resolution).isNull(), F.lit("bad:time"))
               .when(_bad_any(f, [1, 2, 3, 4]), F.lit("bad:number")))
     flagged = split.withColumn("reason", reason)
     parsed = flagged.where(F.col("reason").isNull()).select(
@@ -65,7 +68,7 @@ def flag_location(df: DataFrame, value: str = "value", resolution: str = "second
     kind = F.when(n == 5, F.lit("walk")).when(n == 6, F.lit("fitness"))
     reason = (F.when(F.col("raw").isNull() | (F.trim("raw") == F.lit("")), F.lit("empty"))
               .when(kind.isNull(), F.format_string("fields=%d", n))
-              .when(field(f, 0, "bigint").isNull(), F.lit("bad:time"))
+              .when(event_time(field(f, 0, "bigint"), resolution).isNull(), F.lit("bad:time"))
               .when(_bad_any(f, [1, 2, 3, 4]) | ((n == 6) & _bad_any(f, [5])),
                     F.lit("bad:number")))
     # stored once per row: filters on the values below (e.g. coordinates)
@@ -99,40 +102,79 @@ def parse_location(df: DataFrame, value: str = "value", resolution: str = "secon
     return parsed, rejects
 
 
-def parse_payload(df: DataFrame, kind: str, body: str = "body",
-                  now: Column | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
-    """JSON request bodies -> typed rows with the ingest defaults.
+_PAYLOADS = {
+    "gyro": (schemas.GYRO_PAYLOAD, {"x": "gx", "y": "gy", "z": "gz"}),
+    "location": (schemas.LOCATION_PAYLOAD, {"lat": "lat", "lon": "lon", "altitude": "alt", "speed": "speed"}),
+    "reading": (schemas.READING_PAYLOAD, {"time_sec": "time_sec", "lx": "lx"}),
+}
+
+
+def flag_payload(df: DataFrame, kind: str, body: str = "body", now: Column | None = None,
+                 keep: tuple[str, ...] = ()) -> DataFrame:
+    """S6 / P11, one pass: JSON request bodies -> typed rows, all kept, with ``raw`` and ``reason``.
 
     ``kind`` is 'gyro' (time, x, y, z; default now, 0, 0, 0, plus the
     magnitude), 'location' (time, lat, lon, altitude, speed) or 'reading'
-    (id default 'light', time_sec, lx). An explicit JSON null takes the
-    default like an absent key. Numbers may arrive as text.
+    (id default 'light', time_sec, lx: both required). A default stands for an
+    absent field or an explicit JSON null only. A body that is no JSON object
+    (``bad:json``; ``empty`` when blank), a value that is no finite number and
+    a time outside the calendar (``bad:<field>``) give a reason and NULL
+    values. Numbers may arrive as text. Each body is parsed once.
     """
-    from .. import schemas
-    from ..functions.geo import magnitude
-
-    now = now if now is not None else F.current_timestamp()
-    if kind == "gyro":
-        j = F.from_json(F.col(body), schemas.GYRO_PAYLOAD)
-        x, y, z = [F.coalesce(j[c].try_cast("double"), F.lit(0.0)) for c in ("x", "y", "z")]
-        t = F.coalesce(F.timestamp_millis(j["time"].try_cast("bigint")), now)
-        return df.select(*keep, t.alias("zeit"), x.alias("gx"), y.alias("gy"), z.alias("gz"),
-                         magnitude(x, y, z).alias("absolute"))
-    if kind == "location":
-        j = F.from_json(F.col(body), schemas.LOCATION_PAYLOAD)
-        t = F.coalesce(F.timestamp_millis(j["time"].try_cast("bigint")), now)
-        vals = [F.coalesce(j[c].try_cast("double"), F.lit(0.0)).alias(o)
-                for c, o in (("lat", "lat"), ("lon", "lon"), ("altitude", "alt"), ("speed", "speed"))]
-        return df.select(*keep, t.alias("zeit"), *vals)
+    if kind not in _PAYLOADS:
+        raise ValueError(f"unknown payload kind {kind!r}")
+    schema, fields = _PAYLOADS[kind]
+    corrupt = "__sf_corrupt"
+    parsed = T.StructType([*schema.fields, T.StructField(corrupt, T.StringType())])
+    j = "__sf_j"
+    staged = compute_once(
+        df.select(*keep, F.col(body).cast("string").alias("raw")),
+        **{j: F.from_json("raw", parsed, {"columnNameOfCorruptRecord": corrupt})})
+
+    def given(name: str) -> Column:
+        return F.col(f"{j}.{name}").cast("string")
+
+    def number(name: str) -> Column:
+        v = given(name).try_cast("double")
+        return F.when(F.abs(v) < F.lit(float("inf")), v)
+
+    blank = F.col("raw").isNull() | (F.trim("raw") == F.lit(""))
+    reason = (F.when(blank, F.lit("empty"))
+              .when(~F.ltrim("raw").startswith("{") | F.col(j).isNull()
+                    | F.col(f"{j}.{corrupt}").isNotNull(), F.lit("bad:json")))
+    if kind != "reading":
+        t = F.coalesce(event_time(given("time"), "ms"), event_time(F.floor(number("time")), "ms"))
+        reason = reason.when(given("time").isNotNull() & t.isNull(), F.lit("bad:time"))
+    for name in fields:
+        missing = number(name).isNull() if kind == "reading" else given(name).isNotNull() & number(name).isNull()
+        reason = reason.when(missing, F.lit(f"bad:{name}"))
+    flagged = compute_once(staged, reason=reason)
+    ok = F.col("reason").isNull()
+
+    def v(c: Column) -> Column:
+        return F.when(ok, c)
+
     if kind == "reading":
-        j = F.from_json(F.col(body), schemas.READING_PAYLOAD)
-        return df.select(
-            *keep,
-            F.coalesce(j["id"], F.lit("light")).alias("sensor_id"),
-            j["time_sec"].try_cast("double").alias("time_sec"),
-            j["lx"].try_cast("double").alias("lx"),
-        )
-    raise ValueError(f"unknown payload kind {kind!r}")
+        values = [v(F.coalesce(given("id"), F.lit("light"))).alias("sensor_id"),
+                  *[v(number(n)).alias(o) for n, o in fields.items()]]
+    else:
+        stamp = F.coalesce(t, now if now is not None else F.current_timestamp())
+        numbers = {o: F.coalesce(number(n), F.lit(0.0)) for n, o in fields.items()}
+        values = [v(stamp).alias("zeit"), *[v(c).alias(o) for o, c in numbers.items()]]
+        if kind == "gyro":
+            values.append(v(magnitude(*numbers.values())).alias("absolute"))
+    return flagged.select(*keep, *values, "raw", "reason")
+
+
+def parse_payload(df: DataFrame, kind: str, body: str = "body",
+                  now: Column | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
+    """The usable rows of :func:`flag_payload`."""
+    return flag_payload(df, kind, body, now, keep).where(F.col("reason").isNull()).drop("raw", "reason")
+
+
+def payload_rejects(df: DataFrame, kind: str, body: str = "body", keep: tuple[str, ...] = ()) -> DataFrame:
+    """Bodies that give no row, as ``raw`` and ``reason``."""
+    return flag_payload(df, kind, body, None, keep).where(F.col("reason").isNotNull()).select(*keep, "raw", "reason")
 
 
 def json_field(c: str | Column, name: str, dtype: str = "int") -> Column:

@@ -274,15 +274,16 @@ def min_of(df: DataFrame, c: str | Column) -> Column:
 
 
 def trailing(df: DataFrame, ts: str, interval: str, by=None) -> DataFrame:
-    """Rows with ``ts >= max(ts) - interval``, globally or per series."""
+    """Rows with ``ts >= max(ts) - interval``, globally or per series (a NULL key is a series)."""
     by = _names(by)
     span = F.expr(f"INTERVAL {interval}")
     if not by:
         return df.where(F.col(ts) >= max_of(df, ts) - span)
     m = "__sf_max"
-    tops = df.groupBy(*by).agg(F.max(ts).alias(m))
-    return (df.join(tops, on=by, how="inner")
-            .where(F.col(ts) >= F.col(m) - span).drop(m))
+    # one struct key: NULL-safe equality in a plain equi-join
+    tops = df.groupBy(F.struct(*by).alias(_K)).agg(F.max(ts).alias(m))
+    return (df.withColumn(_K, F.struct(*by)).join(tops, on=_K, how="inner")
+            .where(F.col(ts) >= F.col(m) - span).drop(_K, m))
 
 
 def unseen(new: DataFrame, seen: DataFrame, key) -> DataFrame:
@@ -292,7 +293,9 @@ def unseen(new: DataFrame, seen: DataFrame, key) -> DataFrame:
     key are not re-emitted.
     """
     key = _names(key)
-    return new.join(seen.select(*key).distinct(), on=key, how="left_anti")
+    # one struct key, so a NULL key that was seen is seen
+    shown = seen.select(F.struct(*key).alias(_K)).distinct()
+    return new.withColumn(_K, F.struct(*key)).join(shown, on=_K, how="left_anti").drop(_K)
 
 
 def time_bounds(df: DataFrame, ts: str, by=None) -> DataFrame:
@@ -329,6 +332,12 @@ def elapsed(df: DataFrame, ts: str, out: str = "elapsed_s") -> DataFrame:
     return df.withColumn(out, (us - t0) / F.lit(1e6))
 
 
+def after_warmup(df: DataFrame, ts: str, seconds: int = 1) -> DataFrame:
+    """F5 on instants: rows at least ``seconds`` after the first one. The stored
+    column is compared with one scalar, so the filter reaches the scan."""
+    return df.where(F.col(ts) >= min_of(df, ts) + F.make_dt_interval(secs=F.lit(seconds)))
+
+
 def rebase_start(df: DataFrame, ts: str, start_ms: int, out: str = "ts_rebased",
                  precision: str = "ms") -> DataFrame:
     """P5 on a table: shift the series so its first sample lands on ``start_ms``,

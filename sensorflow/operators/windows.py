@@ -38,6 +38,7 @@ def window_stats(
     end: str | None = "fenster_ende",
     count_name: str = "n_samples",
     extra: Sequence[Column] = (),
+    counts: bool = False,
 ) -> DataFrame:
     """A1-A4: per tumbling window (and per ``by`` series), the mean of each column
     in ``means`` and the non-NULL count of ``count_of``.
@@ -45,12 +46,16 @@ def window_stats(
     ``means`` is a list (output ``avg_<c>``) or a mapping output -> column. With
     ``watermark`` the frame must be streaming-capable: ``ts`` is TIMESTAMP and
     late rows beyond the watermark are dropped (update/append modes).
+    ``counts`` adds ``n_<mean>``, the non-NULL values behind each mean (the
+    weights of :func:`track_summary`).
     """
     if watermark:
         df = df.withWatermark(ts, watermark)
     pairs = (list(means.items()) if isinstance(means, Mapping)
              else [(f"avg_{c}", c) for c in means])
     aggs = [F.avg(c).alias(out) for out, c in pairs]
+    if counts:
+        aggs += [F.count(c).alias(f"n_{out}") for out, c in pairs]
     if count_of is not None:
         aggs.append(F.count(count_of).alias(count_name))
     aggs.extend(extra)
@@ -66,10 +71,12 @@ def window_mean(df: DataFrame, ts: str, size: str, cols: Sequence[str]) -> DataF
 
 def track_summary(df: DataFrame, cols: Sequence[str], n: str = "n_samples") -> DataFrame:
     """Mean of window means per column, unweighted (as the surveyed map
-    summary does) and weighted by the samples per window."""
+    summary does) and weighted by the values behind each mean: ``n_<column>``
+    where the windows have it, else ``n`` (right when no value is NULL)."""
     aggs = [F.count(F.lit(1)).alias("n_windows")]
     for c in cols:
-        w = F.when(F.col(c).isNotNull(), F.col(n))
+        weight = F.col(f"n_{c}" if f"n_{c}" in df.columns else n)
+        w = F.when(F.col(c).isNotNull(), weight)
         aggs.append(F.avg(c).alias(f"{c}_avg"))
-        aggs.append((F.sum(F.col(c) * F.col(n)) / F.sum(w)).alias(f"{c}_weighted"))
+        aggs.append((F.sum(F.col(c) * weight) / F.sum(w)).alias(f"{c}_weighted"))
     return df.agg(*aggs)

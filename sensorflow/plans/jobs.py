@@ -7,7 +7,7 @@ parameters (never the wall clock) so reruns give the same event times.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,7 +19,7 @@ from ..functions.timestamps import from_epoch, rebase
 from ..operators import clean, series
 from ..operators.counts import load_counts, observed
 from ..operators.extract import extract_readings
-from ..operators.messages import parse_gyro, parse_location
+from ..operators.messages import flag_location, parse_gyro, parse_location
 from ..operators.reshape import GYRO_POINT_MAPPING, to_points
 from ..operators.windows import track_summary, window_stats
 from ..sinks.tables import fan_out, write_points, write_readings
@@ -30,7 +30,7 @@ from ..streaming import streams
 
 GYRO_MEANS = ["absolute", "gx", "gy", "gz"]
 TRACK_MEANS = {"lat_mean": "lat", "lon_mean": "lon", "alt_mean": "alt",
-               "hr_mean": "hr", "temp_mean": "temp"}
+               "speed_mean": "speed", "hr_mean": "hr", "temp_mean": "temp"}
 
 
 # -- L1: batch analysis of a gyroscope recording -------------------------------
@@ -55,17 +55,36 @@ def gyro_windows(messages: DataFrame, size: str = "1 second",
                         watermark=watermark if messages.isStreaming else None)
 
 
-def stream_gyro(messages: DataFrame, name: str = "gyro_results", mode: str = "complete",
-                trigger: str = "5 seconds", available_now: bool = False,
-                checkpoint: str | None = None) -> StreamingQuery:
-    """Topic -> window table in memory, queryable as ``name``.
+def gyro_rejects(messages: DataFrame) -> DataFrame:
+    """What :func:`gyro_windows` leaves out: (raw, reason), of a batch or a stream."""
+    return parse_gyro(messages)[1]
 
-    The memory sink keeps the table on the driver: a dashboard for one device
-    or a few. For many sensors use :func:`serve_latest` (the executors write a
-    keyed table; nothing passes through the driver).
+
+def stream_gyro(messages: DataFrame, name: str = "gyro_results", path: str | None = None,
+                memory: bool = False, mode: str = "complete", trigger: str = "5 seconds",
+                available_now: bool = False, checkpoint: str | None = None) -> StreamingQuery:
+    """Topic -> window table: below ``path``, written by the executors in update
+    mode (:func:`serve_latest`, no expiry), or with ``memory`` in the driver's
+    memory, queryable as ``name`` (K2, S12): a dashboard for one device or a few.
     """
-    return streams.to_memory(gyro_windows(messages), name, mode, trigger, available_now,
-                             checkpoint)
+    return _window_sink(gyro_windows(messages), name, path, memory, "sensor:gyro", mode, trigger,
+                        available_now, checkpoint)
+
+
+def _window_sink(windows: DataFrame, name: str, path: str | None, memory: bool, key_prefix: str, mode: str,
+                 trigger: str, available_now: bool, checkpoint: str | None) -> StreamingQuery:
+    if memory:
+        return streams.to_memory(windows, name, mode, trigger, available_now, checkpoint)
+    if path is None:
+        raise ValueError("give the path of the window table, or memory=True")
+    return streams.upsert_stream(windows, name, path, key_prefix, None, trigger=trigger,
+                                 available_now=available_now, checkpoint=checkpoint)
+
+
+def stream_rejects(rejects: DataFrame, name: str, path: str, trigger: str = "5 seconds",
+                   available_now: bool = False, checkpoint: str | None = None) -> StreamingQuery:
+    """Reject rows of a stream (``gyro_rejects``, ``track_rejects``) -> parquet folder."""
+    return streams.to_table(rejects, name, path, "append", trigger, available_now, checkpoint=checkpoint)
 
 
 def gyro_chart(spark: SparkSession, name: str = "gyro_results",
@@ -94,14 +113,23 @@ def track_windows(messages: DataFrame, size: str = "500 milliseconds",
     parsed, _ = parse_location(messages)
     valid = clean.valid_coords(parsed)
     return window_stats(valid, "zeit", size, TRACK_MEANS, count_of="lat", by=list(by),
-                        watermark=watermark if messages.isStreaming else None, end=None)
+                        watermark=watermark if messages.isStreaming else None, end=None, counts=True)
 
 
-def stream_track(messages: DataFrame, name: str = "track_windows", mode: str = "complete",
-                 trigger: str = "1 second", available_now: bool = False,
-                 checkpoint: str | None = None) -> StreamingQuery:
-    return streams.to_memory(track_windows(messages), name, mode, trigger, available_now,
-                             checkpoint)
+def track_rejects(messages: DataFrame) -> DataFrame:
+    """What :func:`track_windows` leaves out: (raw, reason), of a batch or a stream."""
+    flagged = flag_location(messages)
+    outside = F.when(~F.coalesce(clean.coords_ok(), F.lit(False)), F.lit("coords out of range"))
+    return (flagged.select("raw", F.coalesce("reason", outside).alias("reason"))
+            .where(F.col("reason").isNotNull()))
+
+
+def stream_track(messages: DataFrame, name: str = "track_windows", path: str | None = None,
+                 memory: bool = False, mode: str = "complete", trigger: str = "1 second",
+                 available_now: bool = False, checkpoint: str | None = None) -> StreamingQuery:
+    """Location topic -> window table, as :func:`stream_gyro`."""
+    return _window_sink(track_windows(messages), name, path, memory, "sensor:track", mode, trigger,
+                        available_now, checkpoint)
 
 
 def track_view(windows: DataFrame, shown: DataFrame | None = None,
@@ -122,17 +150,17 @@ def track_view(windows: DataFrame, shown: DataFrame | None = None,
 # -- L4: points and readings ---------------------------------------------------------
 
 def gyro_points(spark: SparkSession, csv_path: str, start_s: float, out_path: str,
-                precision: str = "ms", warmup_s: int = 1) -> dict[str, int]:
+                precision: str = "ms", warmup_s: int = 1, write_id: int = 0) -> dict[str, int]:
     """Gyroscope CSV -> four measurements as points (R1) -> points table (K5).
 
     Returns the counts: rows read (including warm-up rows) and points written.
     """
     rows, rejects = files.read_sensor_csv(spark, csv_path)
-    counted, obs = observed(rows, "gyro_rows", warmup=F.col("time_s").cast("bigint") < warmup_s)
+    counted, obs = observed(rows, "gyro_rows", warmup=F.col("time_s").try_cast("bigint") < warmup_s)
     kept = clean.skip_warmup(counted, "time_s", warmup_s)
     timed = kept.withColumn("time", from_epoch(rebase("time_s", start_s, "us"), "us"))
     pts = to_points(timed, GYRO_POINT_MAPPING, "time")
-    write_points(pts, out_path, precision)
+    write_points(pts, out_path, write_id, precision)
     m = obs.get
     return {"rows": m["rows"], "warmup": m["warmup"], "points": 4 * (m["rows"] - m["warmup"]),
             "rejects": rejects.count()}
@@ -151,7 +179,7 @@ def light_readings(spark: SparkSession, csv_path: str, target_end_s: float,
         lambda d: write_points(
             d.select(F.col("sensor_id").alias("measurement"), F.lit("lx").alias("field"),
                      F.col("lx").alias("value"), F.col("ts").alias("time")),
-            points_path, precision="us"),
+            points_path, write_id, precision="us"),
     ])
 
 
@@ -200,28 +228,38 @@ def fit_messages(records: DataFrame, topic: str = "location",
     return as_messages(rows, msg, topic), rejects
 
 
+def _versions() -> Callable[[int], int]:
+    """Write ids of a run: epoch numbers after the run's start, above those of every earlier run."""
+    first = streams.run_start() * 1_000_000
+    return lambda epoch_id: first + epoch_id
+
+
 def stream_dump_readings(spark: SparkSession, dumps_dir: str, readings_path: str,
-                         sensor_id: str = "light", name: str = "dump_readings",
+                         sensor_id: str | None = None, name: str = "dump_readings",
                          files_per_trigger: int = 100, available_now: bool = False,
                          checkpoint: str | None = None) -> StreamingQuery:
     """Dumps arriving in a folder -> sensor value (X1) -> only changes (T6) ->
     readings table (K6), one version per micro-batch.
 
     The stream form of polling a device and posting a value only when it
-    changed; the reading time is the dump file's modification time.
+    changed; the reading time is the dump file's modification time. Each device
+    has a folder below ``dumps_dir`` whose name is its sensor id, so devices
+    are separate groups; ``sensor_id`` names the one device of a flat folder.
     """
     from ..operators.extract import with_dump_value
     from ..streaming.state import on_change_stream
 
     dumps = (spark.readStream.option("maxFilesPerTrigger", files_per_trigger)
-             .text(dumps_dir, wholetext=True)
+             .option("recursiveFileLookup", "true").text(dumps_dir, wholetext=True)
              .select(F.col("_metadata.file_path").alias("dump_id"), F.col("value").alias("text"),
                      F.col("_metadata.file_modification_time").alias("ts")))
     values = with_dump_value(dumps, "text", "lx").where(F.col("lx").isNotNull())
-    readings = values.select(F.lit(sensor_id).alias("sensor_id"), "ts", "lx", "dump_id")
+    device = F.lit(sensor_id) if sensor_id else F.regexp_extract("dump_id", "([^/]+)/[^/]+$", 1)
+    readings = values.select(device.alias("sensor_id"), "ts", "lx", "dump_id")
+    version_of = _versions()
     changed = on_change_stream(readings, "sensor_id", ["ts", "dump_id"], "lx")
     return streams.start(
-        changed, lambda b, e: write_readings(b.drop("dump_id"), readings_path, write_id=e),
+        changed, lambda b, e: write_readings(b.drop("dump_id"), readings_path, write_id=version_of(e)),
         name, mode="append", available_now=available_now, checkpoint=checkpoint)
 
 
@@ -246,13 +284,15 @@ def stream_payload_readings(spark: SparkSession, bodies_dir: str, readings_path:
     readings = rows.select("sensor_id", F.timestamp_micros(us).alias("ts"), "lx",
                            (F.col("time_sec") * F.lit(1e9)).cast("bigint").alias("time_ns"))
 
+    version_of = _versions()
+
     def sinks(batch: DataFrame, epoch_id: int) -> None:
         fan_out(batch, [
-            lambda d: write_readings(d.drop("time_ns"), readings_path, write_id=epoch_id),
+            lambda d: write_readings(d.drop("time_ns"), readings_path, write_id=version_of(epoch_id)),
             lambda d: write_points(
                 d.select(F.col("sensor_id").alias("measurement"), F.lit("lx").alias("field"),
                          F.col("lx").alias("value"), F.col("ts").alias("time"), "time_ns"),
-                points_path, precision="us"),
+                points_path, version_of(epoch_id), precision="us"),
         ])
     return streams.start(readings, sinks, name, mode="append", available_now=available_now,
                          checkpoint=checkpoint)

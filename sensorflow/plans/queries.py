@@ -26,7 +26,7 @@ from ..operators.messages import flag_location, json_field, parse_gyro
 from ..operators.reshape import to_points
 from ..operators.windows import track_summary, window_stats
 from ..sinks.tables import not_expired, with_ttl
-from ..operators.counts import load_counts
+from ..operators.counts import outcome_counts
 from ..sources.tables import flag_fit, time_range
 from .dumps import dumps_from_events
 from .tables import events, geo
@@ -232,8 +232,7 @@ def elapsed_query(spark, sf_dir):
 
 
 def skip_warmup_query(spark, sf_dir):
-    rel = series.elapsed(events(spark, sf_dir), "ts", out="t_rel")
-    return clean.skip_warmup(rel, "t_rel", 1).select("event_id", "ts")
+    return series.after_warmup(events(spark, sf_dir), "ts", 1).select("event_id", "ts")
 
 
 def skip_zero_query(spark, sf_dir):
@@ -355,8 +354,7 @@ def load_counts_query(spark, sf_dir):
     raw = ev.select("event_id", F.when(F.col("event_id") % 7 == 0, F.lit("x"))
                     .otherwise(F.col("value").cast("string")).alias("raw"))
     typed = raw.withColumn("value", F.col("raw").try_cast("double"))
-    kept, bad = clean.split_rejects(typed, {"value": "raw"})
-    return load_counts(kept, bad)
+    return outcome_counts(clean.flag_rejects(typed, {"value": "raw"}))
 
 
 def points_range(spark, sf_dir):

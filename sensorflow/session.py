@@ -8,7 +8,6 @@ streaming queries lives in RocksDB so it can spill past executor memory.
 from __future__ import annotations
 
 import os
-import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -58,19 +57,15 @@ def use_utc(spark: SparkSession) -> None:
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for checkpoints and lineage cuts.
 
-    On a cluster this comes from ``spark.checkpoint.dir`` (a folder every
-    executor can reach). Only when nothing is configured -- local tests --
-    a scratch folder is created and registered; on a cluster a missing
-    setting is an error rather than a machine-local folder.
+    It comes from ``spark.checkpoint.dir``, a folder every executor can reach.
+    A missing setting is an error, on every master: a folder made up for one
+    process would let a restarted query begin again from the earliest offset.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
-        root = tempfile.mkdtemp(prefix="sensorflow-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(root)
     return root
@@ -82,17 +77,17 @@ def checkpoint_path(spark: SparkSession, name: str) -> str:
 
 
 def scale_conf(input_bytes: int, total_cores: int,
-               target_bytes: int = 512 * 1024 * 1024) -> dict[str, str]:
+               target_bytes: int = 512 * 1024 * 1024, max_per_core: int = 50) -> dict[str, str]:
     """Partition sizing for a job reading ``input_bytes`` on ``total_cores``.
 
     Initial shuffle partitions ~ one per ``target_bytes`` of input, at least
-    2 per core and at most 50 per core; AQE then coalesces partitions that
+    2 and at most ``max_per_core`` per core; AQE then coalesces partitions that
     came out small (partial aggregation and column pruning shrink most
     shuffles) toward the advisory size. Scan splits stay at 256 MB so a task's
     working set fits executor memory and spills are rare.
     """
     wanted = -(-input_bytes // target_bytes)
-    shuffle = int(min(max(wanted, 2 * total_cores), 50 * total_cores))
+    shuffle = int(min(max(wanted, 2 * total_cores), max_per_core * total_cores))
     return {
         "spark.sql.shuffle.partitions": str(shuffle),
         "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(shuffle),

@@ -28,18 +28,23 @@ def _reason_any(checks: Sequence[tuple[Column, str]]) -> Column:
     return reason
 
 
+def _finite(v: Column) -> Column:
+    """NULL for NaN and infinities: they are no readings, and one would spoil every mean."""
+    return F.when(F.abs(v) < F.lit(float("inf")), v)
+
+
 def read_sensor_csv(spark: SparkSession, path: str, columns: Sequence[str] = schemas.GYRO_COLUMNS,
                     sep: str = ";", decimal: str = ",") -> tuple[DataFrame, DataFrame]:
     """Positional CSV with decimal comma -> ``(typed rows, rejects)``.
 
     The header line is skipped and never trusted for names: columns are named
     by position. Numbers may use an exponent (``1,25E-2``). A row with a
-    non-blank field that is not a number is a reject.
+    non-blank field that is not a finite number is a reject.
     """
     raw = (spark.read.schema(schemas.all_strings(*columns))
            .option("header", True).option("sep", sep).csv(path))
     typed = raw.select(*[F.col(c).alias(f"__raw_{c}") for c in columns],
-                       *[to_number(c, decimal).alias(c) for c in columns])
+                       *[_finite(to_number(c, decimal)).alias(c) for c in columns])
     checks = [(F.col(f"__raw_{c}").isNotNull() & (F.trim(f"__raw_{c}") != "") & F.col(c).isNull(),
                f"bad:{c}") for c in columns]
     flagged = typed.withColumn("reason", _reason_any(checks))
@@ -105,9 +110,9 @@ def read_light_csv(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame
     raw = spark.read.schema(schemas.LIGHT_CSV).option("header", True).csv(path)
     raw = raw.where(F.col("time_raw").isNull() | (F.col("time_raw") != F.lit("0")))
     t = F.trim("time_raw")
-    ns = F.coalesce(t.try_cast("bigint"), t.try_cast("double").cast("bigint"))
+    ns = F.coalesce(t.try_cast("bigint"), t.try_cast("double").try_cast("bigint"))
     typed = raw.select("time_raw", "lx_raw", ns.alias("time_ns"),
-                       F.trim("lx_raw").try_cast("double").alias("lx"))
+                       _finite(F.trim("lx_raw").try_cast("double")).alias("lx"))
     checks = [(F.col("time_ns").isNull(), "bad:time"),
               (F.col("lx").isNull() & F.col("lx_raw").isNotNull(), "bad:lx")]
     flagged = typed.withColumn("reason", _reason_any(checks))

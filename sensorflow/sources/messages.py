@@ -46,18 +46,21 @@ def as_messages(df: DataFrame, value: Column | str, topic: str,
     """Rows -> message rows: ``value`` text as bytes, optional key.
 
     With a key, the partition is the key's hash modulo ``partitions`` (one
-    series stays in one partition, in order); without one, rows are spread.
+    series stays in one partition, in order); without one, rows are spread by
+    a hash of the value. Works on a batch and on a stream: the offset is not
+    part of a row before it is published (a broker gives it on arrival, the
+    file stand-in in :func:`write_messages`).
     """
     v = F.col(value) if isinstance(value, str) else value
     k = None if key is None else (F.col(key) if isinstance(key, str) else key)
     part = (F.pmod(F.hash(k), F.lit(partitions)) if k is not None
-            else F.pmod(F.spark_partition_id(), F.lit(partitions)))
+            else F.pmod(F.hash(v.cast("string")), F.lit(partitions)))
     return df.select(
         (k.cast("string").cast("binary") if k is not None else F.lit(None).cast("binary")).alias("key"),
         v.cast("string").cast("binary").alias("value"),
         F.lit(topic).alias("topic"),
         part.cast("int").alias("partition"),
-        F.monotonically_increasing_id().alias("offset"),
+        F.lit(None).cast("bigint").alias("offset"),
         F.current_timestamp().alias("timestamp"),
         F.lit(0).alias("timestampType"),
     )
@@ -73,11 +76,23 @@ def write_messages(df: DataFrame, topic: str, servers: str | None = None, fmt: s
     if fmt == "files":
         if path is None:
             raise ValueError("fmt='files' needs path")
+        if "offset" in df.columns:
+            df = df.withColumn("offset", F.coalesce("offset", F.monotonically_increasing_id()))
         df.write.mode("append").parquet(f"{path.rstrip('/')}/{topic}")
         return
     raise ValueError(f"unknown message format {fmt!r}")
 
 
+def publish_stream(df: DataFrame, name: str, topic: str, servers: str | None = None, fmt: str = "kafka",
+                   path: str | None = None, trigger: str | None = "1 second", available_now: bool = False,
+                   checkpoint: str | None = None):
+    """K1 on a stream: message rows (:func:`as_messages`) to a topic, one append per micro-batch."""
+    from ..streaming.streams import for_each_batch
+
+    return for_each_batch(df, name, lambda b, e: write_messages(b, topic, servers, fmt, path), mode="append",
+                          trigger=trigger, available_now=available_now, checkpoint=checkpoint)
+
+
 def co_locate(df: DataFrame, key: str | list[str], ts: str,
               partitions: int | None = None) -> DataFrame:
     """M4: keep each series contiguous and in time order.

@@ -50,30 +50,35 @@ def read_points(spark: SparkSession, path: str, start, stop, measurement: str,
     """``(time, value)`` of one measurement (and field) in ``[start, stop)``.
 
     The points table is partitioned by measurement, so the measurement
-    equality prunes directories; the time range prunes row groups.
+    equality prunes directories; the time range prunes row groups. Of the
+    writes of a (field, time) the newest counts.
     """
+    from ..operators.series import latest_by_key
     pts = spark.read.parquet(path)
     eq = {"measurement": measurement}
     if field is not None:
         eq["field"] = field
-    return time_range(pts, "time", start, stop, eq).select("time", "value")
+    hits = time_range(pts, "time", start, stop, eq).select("field", "time", "value", "write_id")
+    return latest_by_key(hits, ["field", "time"], ["write_id"]).select("time", "value")
 
 
 def read_partition(spark: SparkSession, path: str, sensor_id: str, day: dt.date | str,
                    order: bool = True) -> DataFrame:
-    """All readings of one (sensor_id, day_bucket) partition, time ascending."""
-    df = spark.read.parquet(path)
-    day_lit = F.lit(str(day)).cast("date")
-    out = df.where((F.col("sensor_id") == F.lit(sensor_id)) & (F.col("day_bucket") == day_lit))
+    """The current readings of one (sensor_id, day_bucket), time ascending."""
+    from ..sinks.tables import read_readings
+    out = read_readings(spark, path, sensor_id, day)
     return out.orderBy("ts") if order else out
 
 
 def read_partition_sql(spark: SparkSession, table: str, sensor_id: str,
                        day: dt.date | str) -> DataFrame:
     """S10 / F12 in SQL with bound parameters (no string building of values)."""
+    from ..sinks.tables import SENSOR_BUCKETS
     return spark.sql(
-        f"SELECT sensor_id, day_bucket, ts, lx FROM {table} "
-        "WHERE sensor_id = :sensor AND day_bucket = :day ORDER BY ts",
+        f"SELECT sensor_id, day_bucket, ts, max_by(lx, write_id) AS lx FROM {table} "
+        f"WHERE sensor_bucket = pmod(xxhash64(:sensor), {SENSOR_BUCKETS}) "
+        "AND sensor_id = :sensor AND day_bucket = :day "
+        "GROUP BY sensor_id, day_bucket, ts ORDER BY ts",
         args={"sensor": sensor_id, "day": dt.date.fromisoformat(str(day))})
 
 
@@ -83,13 +88,13 @@ def read_latest(spark: SparkSession, path: str, prefix: str,
 
     ``path`` is the table folder or a table / view name (see ``publish_latest``).
 
-    The table holds one row per (key, epoch); newest epoch wins, then expiry
+    The table holds one row per (key, run, epoch); the newest version wins, then expiry
     is checked against ``now`` (an explicit instant, so reruns agree).
     """
     from ..operators.series import latest_by_key
     from ..sinks.tables import not_expired
     versions = read_table(spark, path).where(F.col("key").startswith(prefix))
-    newest = latest_by_key(versions, "key", ["epoch_id"])
+    newest = latest_by_key(versions, "key", ["run_id", "epoch_id"])
     return not_expired(newest, now).orderBy("fenster_start", "key")
 
 

@@ -83,13 +83,17 @@ def first_seen_stream(df: DataFrame, key: str | Sequence[str], order: str | Sequ
         if not state.exists:
             first = pdf.sort_values(order, kind="stable").head(1)
             yield first
-        state.update((True,))
+        before = state.get[0] if state.exists else None
+        last = pdf[ts].max()
+        newest = before if pd.isna(last) else int(pd.Timestamp(last).timestamp() * 1000)
+        if before is not None:  # a late batch never shortens the life of a key
+            newest = max(newest, before)
+        state.update((newest,))
         if expire_after_ms:
-            last = pd.Timestamp(pdf[ts].max())
-            wanted = int(last.timestamp() * 1000) + expire_after_ms
+            wanted = (newest or 0) + expire_after_ms
             # a timeout must lie after the current watermark
             state.setTimeoutTimestamp(max(wanted, state.getCurrentWatermarkMs() + 1))
 
     return df.groupBy(*key).applyInPandasWithState(
-        fn, outputStructType=schema, stateStructType="seen boolean",
+        fn, outputStructType=schema, stateStructType="newest_ms long",
         outputMode="append", timeoutConf=timeout)

@@ -20,8 +20,10 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
+import time
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery, StreamingQueryListener
 
 from ..session import checkpoint_path
 from ..sinks.tables import fan_out, upsert_batch
@@ -36,6 +38,7 @@ def writer(df: DataFrame, name: str, mode: str = "update",
     what is there in as many micro-batches as the source limits allow and
     stops (tests, backfills).
     """
+    count_late_rows(df.sparkSession)
     w = df.writeStream.queryName(name).outputMode(mode)
     w = w.option("checkpointLocation", checkpoint or checkpoint_path(df.sparkSession, name))
     if available_now:
@@ -77,12 +80,22 @@ def for_each_batch(df: DataFrame, name: str, fn: Callable[[DataFrame, int], None
     return writer(df, name, mode, trigger, available_now, checkpoint).foreachBatch(guarded).start()
 
 
+def run_start() -> int:
+    """Start of a run in epoch milliseconds, the first part of the versions it writes."""
+    return time.time_ns() // 1_000_000
+
+
 def upsert_stream(df: DataFrame, name: str, path: str, key_prefix: str, ttl_s: int | None = 120,
                   now: Column | None = None, trigger: str | None = "1 second",
                   available_now: bool = False, checkpoint: str | None = None) -> StreamingQuery:
-    """K3 + K4: changed windows of every micro-batch -> keyed latest-window table."""
+    """K3 + K4: changed windows of every micro-batch -> keyed latest-window table.
+
+    The run's start is the first part of the version: after a restart with a
+    new checkpoint, whose epochs begin at 0 again, the new windows still win.
+    """
+    run_id = run_start()
     return for_each_batch(
-        df, name, lambda b, e: upsert_batch(b, e, path, key_prefix, ttl_s, now),
+        df, name, lambda b, e: upsert_batch(b, e, path, key_prefix, ttl_s, now, run_id),
         mode="update", trigger=trigger, available_now=available_now, checkpoint=checkpoint)
 
 
@@ -142,11 +155,53 @@ def run_stream(query: StreamingQuery, on_stop: Callable[[], None] | None = None,
                 on_stop()
 
 
+class LateRows(StreamingQueryListener):
+    """Rows dropped by the watermark, per query run and micro-batch, from every progress report."""
+
+    def __init__(self) -> None:
+        self.dropped: dict[str, dict[int, int]] = {}
+
+    def onQueryStarted(self, event) -> None:  # noqa: N802 - the listener's interface
+        self.dropped.setdefault(str(event.runId), {})
+
+    def onQueryProgress(self, event) -> None:  # noqa: N802
+        p = event.progress
+        n = sum(int(op.numRowsDroppedByWatermark or 0) for op in p.stateOperators)
+        batches = self.dropped.setdefault(str(p.runId), {})
+        batches[p.batchId] = max(n, batches.get(p.batchId, 0))
+
+    def onQueryIdle(self, event) -> None:  # noqa: N802
+        pass
+
+    def onQueryTerminated(self, event) -> None:  # noqa: N802
+        pass
+
+
+_late: dict[int, LateRows] = {}
+
+
+def count_late_rows(spark: SparkSession) -> LateRows:
+    """The session's counter of late rows; queries started after its first use are counted."""
+    key = id(spark._jsparkSession)
+    if key not in _late:
+        _late[key] = LateRows()
+        spark.streams.addListener(_late[key])
+    return _late[key]
+
+
 def dropped_late_rows(query: StreamingQuery) -> int:
-    """T5: rows dropped by the watermark so far (from the recent progress reports)."""
-    total = 0
+    """T5: rows dropped by the watermark since this run of the query began.
+
+    :func:`writer` counts every progress report from the start; the retained
+    reports add those that the listener has not been told of yet.
+    """
+    run = str(query.runId)
+    seen: dict[int, int] = {}
+    for counter in _late.values():
+        seen |= counter.dropped.get(run, {})
     for p in query.recentProgress:
-        for op in p.get("stateOperators", []) if isinstance(p, dict) else p.stateOperators:
-            n = op.get("numRowsDroppedByWatermark", 0) if isinstance(op, dict) else op.numRowsDroppedByWatermark
-            total += int(n or 0)
-    return total
+        ops = p.get("stateOperators", []) if isinstance(p, dict) else p.stateOperators
+        batch = p["batchId"] if isinstance(p, dict) else p.batchId
+        n = sum(int((op.get("numRowsDroppedByWatermark", 0) if isinstance(op, dict) else op.numRowsDroppedByWatermark) or 0) for op in ops)
+        seen[batch] = max(n, seen.get(batch, 0))
+    return sum(seen.values())

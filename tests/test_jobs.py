@@ -111,7 +111,7 @@ def test_live_gyro_table_and_chart(spark, tmp):
     msgs = spark.createDataFrame([(t,) for t in texts], "value string")
     write_messages(as_messages_df(msgs), "gyro", fmt="files", path=os.path.join(tmp, "t"))
     src = read_messages(spark, "gyro", fmt="files", path=os.path.join(tmp, "t"))
-    q = jobs.stream_gyro(src, "gyro_results_test", available_now=True,
+    q = jobs.stream_gyro(src, "gyro_results_test", memory=True, available_now=True,
                          checkpoint=os.path.join(tmp, "ck"))
     q.awaitTermination()
     assert spark.sql("SELECT count(*) FROM gyro_results_test").first()[0] == 300
@@ -125,7 +125,7 @@ def test_live_track_table(spark, tmp):
     src_df = geo_location_messages(spark, SF_SMALL)
     write_messages(as_messages_df(src_df), "location", fmt="files", path=os.path.join(tmp, "t"))
     src = read_messages(spark, "location", fmt="files", path=os.path.join(tmp, "t"))
-    q = jobs.stream_track(src, "track_test", available_now=True, checkpoint=os.path.join(tmp, "ck"))
+    q = jobs.stream_track(src, "track_test", memory=True, available_now=True, checkpoint=os.path.join(tmp, "ck"))
     q.awaitTermination()
     batch = jobs.track_windows(src_df)
     assert spark.table("track_test").count() == batch.count()
@@ -144,7 +144,7 @@ def test_stream_dump_readings(spark, tmp):
         p = _write(d, f"d{i}.txt", f"Light sensor\n  value: {v}\n")
         os.utime(p, (1_700_000_000 + i, 1_700_000_000 + i))
     out = os.path.join(tmp, "readings")
-    q = jobs.stream_dump_readings(spark, d, out, files_per_trigger=2, available_now=True,
+    q = jobs.stream_dump_readings(spark, d, out, sensor_id="light", files_per_trigger=2, available_now=True,
                                   checkpoint=os.path.join(tmp, "ck"))
     q.awaitTermination()
     got = rows(read_readings(spark, out), "ts", "lx")

@@ -62,6 +62,7 @@ def fmt_num(c: ColumnOrName, decimals: int = 6) -> Column:
 
 def label(hr: ColumnOrName, alt: ColumnOrName, temp: ColumnOrName, n: ColumnOrName) -> Column:
     """P25: popup text of a track point."""
+    # Fixed value: the text of the surveyed map's popups.
     return F.format_string(
         "HR: %.0f bpm<br>Alt: %.0f m<br>Temp: %.1f °C<br>Samples: %d",
         _col(hr).cast("double"), _col(alt).cast("double"), _col(temp).cast("double"),

@@ -6,6 +6,8 @@ Spark results'; averages are rounded to 6 decimals the same way.
 
 from __future__ import annotations
 
+from ..functions.text import (DEFAULT_SENSOR_PATTERN, EQUALS_BRACKET_VALUE, EVENT_VALUE,
+                              KEYWORD_VALUE)
 from .dumps import DUMPS_SQL
 from .tables import GEO_SQL
 
@@ -14,12 +16,11 @@ W_TYPE = "(partition by event_type order by ts, event_id)"
 MIN_US = "(select min(epoch_us(ts)) from events)"
 MAX_US = "(select max(epoch_us(ts)) from events)"
 
-# The keyword / bracket patterns of the dump reader, as in
-# sensorflow.functions.text, in RE2 syntax.
-_KV = r"(?i)(?:lux|lx|illuminance|value|last(?:\s+value)?|data)\s*[:=]\s*\[?\s*(-?\d+(?:\.\d+)?)"
-_EB = r"(?i)=\s*\[\s*(-?\d+(?:\.\d+)?)"
-_BR = r"(?i)\[\s*(-?\d+(?:\.\d+)?)"
-_SENSOR = r"(?i)light|illuminance"
+# The patterns of the dump reader, in RE2 syntax.
+_KV = "(?i)" + KEYWORD_VALUE
+_EB = "(?i)" + EQUALS_BRACKET_VALUE
+_BR = "(?i)" + EVENT_VALUE
+_SENSOR = "(?i)" + DEFAULT_SENSOR_PATTERN
 
 
 def _num(pattern: str, line: str = "l") -> str:
@@ -273,3 +274,63 @@ ORACLE.update({
         where event_id % 3 < 2 and lat between -90 and 90 and lon between -180 and 180
         group by 1""",
 })
+
+ORACLE.update({
+    "event_seconds": """
+        select event_id, case when event_id % 11 > 3 then date_trunc('second', ts) end as zeit from events""",
+    "rebase_seconds": """
+        select event_id, case when event_id % 11 > 1 then 1700000000000.0::double + event_id * 250.0::double end as ts_ms
+        from events""",
+    "bad_times": """
+        select event_id,
+               case when event_id % 5 > 2 then make_timestamp((epoch_us(ts) // 1000) * 1000) end as zeit,
+               case event_id % 5 when 0 then 'bad:time' when 1 then 'bad:time' when 2 then 'empty' end as reason
+        from events""",
+    "fill_zero": """
+        select event_id, case when event_id % 7 < 2 then 0.0::double else value end as v from events""",
+    "number_text": """
+        select event_id, case when event_id % 7 = 0 then '' else printf('%.1f', user_id::double) end as txt from events""",
+    "drop_missing": """
+        select event_id, case when event_id % 7 < 2 then 'missing:v' end as reason from events""",
+    "min_fields": """
+        select event_id, case when event_id % 5 < 3 then 'fields<4' end as reason from events""",
+    "drop_incomplete": f"""
+        select * from (
+          select time_bucket(interval 10 minute, ts) as fenster_start,
+                 round(avg(case when lat < 60 then lat end), 6) as lat_mean,
+                 round(avg(case when lon > 120 then lon end), 6) as lon_mean, count(*) as n_samples
+          from {GEO_SQL} group by 1)
+        where lat_mean is not null and lon_mean is not null""",
+    "payload_rejects": """
+        select event_id,
+               case when event_id % 5 > 1 then make_timestamp((epoch_us(ts) // 1000) * 1000) end as zeit,
+               case when event_id % 5 > 1 then value end as lat,
+               case when event_id % 5 > 1 then user_id::double end as lon,
+               case when event_id % 5 > 1 then 0.0::double end as alt,
+               case when event_id % 5 > 1 then 0.0::double end as speed,
+               case event_id % 5 when 0 then 'bad:json' when 1 then 'bad:lon' end as reason
+        from events""",
+    "payload_readings": """
+        select event_id, 'light' as sensor_id, round((epoch_us(ts) // 1000) / 1000.0::double, 6) as time_sec, value as lx
+        from events where event_id % 5 > 1""",
+    "track_speed": f"""
+        select date_trunc('hour', ts) as fenster_start, round(avg(alt), 6) as alt_mean,
+               round(avg(case when event_id % 3 = 0 then alt end), 6) as speed_mean, count(*) as n_samples
+        from {GEO_SQL}
+        where event_id % 3 < 2 and lat between -90 and 90 and lon between -180 and 180
+        group by 1""",
+    "track_summary_gaps": """
+        select (select count(distinct date_trunc('hour', ts)) from events) as n_windows,
+               round(avg(case when event_id % 3 = 0 then value end), 6) as hr_mean_weighted,
+               round(avg(user_id::double), 6) as alt_mean_weighted
+        from events""",
+    "trailing_null_key": """
+        select event_id, ts from (
+          select *, max(ts) over (partition by case when event_type <> 'click' then event_type end) as m from events)
+        where ts >= m - interval 6 hours""",
+    "unseen_null_key": """
+        select e.event_id from events e where e.event_id % 2 = 0 and not exists (
+          select 1 from events s where s.event_id % 16 = 1 and s.user_id = e.user_id and s.ts::date = e.ts::date
+            and (case when s.event_type <> 'click' then s.event_type end)
+                is not distinct from (case when e.event_type <> 'click' then e.event_type end))""",
+})

@@ -14,15 +14,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.formats import encode, fixed
+from ..functions.formats import encode, fixed, fmt_num
 from ..functions.geo import magnitude
+from ..functions.parse import event_time_s
 from ..functions.text import normalise_line
 from ..functions.timestamps import (as_instant, as_wall_clock, day_bucket, detect_unit,
-                                    fmt_date, from_epoch, offset_text, rfc3339, to_zone,
+                                    fmt_date, from_epoch, offset_text, rebase, rfc3339, to_zone,
                                     window_key, zone_offset_minutes)
 from ..operators import clean, series
 from ..operators.extract import with_dump_value
-from ..operators.messages import flag_location, json_field, parse_gyro
+from ..operators.messages import (flag_location, flag_payload, json_field, parse_gyro,
+                                  parse_payload)
 from ..operators.reshape import to_points
 from ..operators.windows import track_summary, window_stats
 from ..sinks.tables import not_expired, with_ttl
@@ -436,7 +438,6 @@ def extract_readings_long_query(spark, sf_dir):
 def payload_ingest(spark, sf_dir):
     """Events as gyroscope request bodies (no z: default 0) ->
     typed rows with the magnitude."""
-    from ..operators.messages import parse_payload
     body = F.to_json(F.struct(F.unix_millis(as_instant("ts")).alias("time"),
                               F.col("value").alias("x"), F.col("user_id").alias("y")))
     bodies = events(spark, sf_dir).select("event_id", body.alias("body"))
@@ -458,3 +459,148 @@ QUERIES.update({
     "normalise_line": normalise_line_query,
     "track_windows": track_windows_query,
 })
+
+
+# -- rejects, gaps and NULL keys: the inputs are broken on purpose ----------------------
+def _broken_seconds(spark, sf_dir):
+    """Float epoch seconds as text; some not finite, some beyond the calendar, some no number."""
+    k = F.col("event_id") % 11
+    good = (F.unix_micros(as_instant("ts")) / F.lit(1e6)).cast("string")
+    text = (F.when(k == 0, F.lit("NaN")).when(k == 1, F.lit("1e300")).when(k == 2, F.lit("soon"))
+            .when(k == 3, F.lit("-Infinity")).otherwise(good))
+    return events(spark, sf_dir).select("event_id", text.alias("t"))
+
+
+def event_seconds(spark, sf_dir):
+    """Text of float epoch seconds -> second-truncated instant, NULL for what is none."""
+    return _broken_seconds(spark, sf_dir).select("event_id", as_wall_clock(event_time_s("t")).alias("zeit"))
+
+
+def rebase_seconds(spark, sf_dir):
+    """P5, column form: relative seconds (some not finite) on a start instant."""
+    k = F.col("event_id") % 11
+    t = F.when(k == 0, F.lit(float("nan"))).when(k == 1, F.lit(float("inf"))).otherwise(F.col("event_id") / F.lit(4.0))
+    return events(spark, sf_dir).select("event_id", rebase(t, 1_700_000_000, "ms").cast("double").alias("ts_ms"))
+
+
+def bad_times(spark, sf_dir):
+    """Gyroscope messages whose time is in ms, in ns by mistake, or no number."""
+    ev = events(spark, sf_dir)
+    ms = F.unix_millis(as_instant("ts"))
+    k = F.col("event_id") % 5
+    t = F.when(k == 0, (ms * F.lit(1_000_000)).cast("string")).when(k == 1, F.lit("now")).otherwise(ms.cast("string"))
+    value = F.when(k == 2, F.lit("")).otherwise(F.concat_ws(",", t, F.lit("1,2,3,4")))
+    msgs = ev.select("event_id", value.alias("value"))
+    parsed, rejects = parse_gyro(msgs, resolution="ms", keep=("event_id",))
+    none = F.lit(None)
+    return parsed.select("event_id", as_wall_clock("zeit").alias("zeit"), none.cast("string").alias("reason")).unionByName(
+        rejects.select("event_id", none.cast("timestamp_ntz").alias("zeit"), "reason"))
+
+
+def fill_zero_query(spark, sf_dir):
+    """NULL and NaN readings -> 0."""
+    k = F.col("event_id") % 7
+    v = F.when(k == 0, F.lit(None).cast("double")).when(k == 1, F.lit(float("nan"))).otherwise(F.col("value"))
+    return clean.fill_zero(events(spark, sf_dir).select("event_id", v.alias("v")), ["v"])
+
+
+def number_text(spark, sf_dir):
+    """Numbers as rounded text ('' for NULL)."""
+    v = F.when(F.col("event_id") % 7 != 0, F.col("user_id").cast("double"))
+    return events(spark, sf_dir).select("event_id", v.alias("v")).select("event_id", fmt_num("v", 2).alias("txt"))
+
+
+def drop_missing_query(spark, sf_dir):
+    """rows with a NULL or NaN reading go to the rejects."""
+    k = F.col("event_id") % 7
+    v = F.when(k == 0, F.lit(None).cast("double")).when(k == 1, F.lit(float("nan"))).otherwise(F.col("value"))
+    kept, bad = clean.drop_missing(events(spark, sf_dir).select("event_id", v.alias("v")), ["v"])
+    return kept.select("event_id", F.lit(None).cast("string").alias("reason")).unionByName(bad.select("event_id", "reason"))
+
+
+def min_fields_query(spark, sf_dir):
+    """messages with too few fields."""
+    k = (F.col("event_id") % 5).cast("int") + 1
+    msgs = events(spark, sf_dir).select("event_id", F.array_repeat(F.lit("1"), k).alias("f"))
+    kept, bad = clean.min_fields(msgs, "f", 4)
+    return kept.select("event_id", F.lit(None).cast("string").alias("reason")).unionByName(bad.select("event_id", "reason"))
+
+
+def drop_incomplete_query(spark, sf_dir):
+    """hourly means without a latitude or longitude are dropped."""
+    g = geo(spark, sf_dir).select("ts", F.when(F.col("lat") < 60, F.col("lat")).alias("lat"), F.when(F.col("lon") > 120, F.col("lon")).alias("lon"))
+    win = window_stats(g, "ts", "10 minutes", {"lat_mean": "lat", "lon_mean": "lon"}, count_of="ts", end=None)
+    return clean.drop_incomplete(win, ["lat_mean", "lon_mean"]).select(
+        as_wall_clock("fenster_start").alias("fenster_start"), _r6("lat_mean").alias("lat_mean"), _r6("lon_mean").alias("lon_mean"), "n_samples")
+
+
+def _bodies(spark, sf_dir, fields: dict) -> DataFrame:
+    """Request bodies of events: every fifth no JSON, every fifth with a text for the last field."""
+    k = F.col("event_id") % 5
+    last = list(fields)[-1]
+    good = F.to_json(F.struct(*[c.alias(n) for n, c in fields.items()]))
+    wrong = F.to_json(F.struct(*[(F.lit("abc") if n == last else c).alias(n) for n, c in fields.items()]))
+    return events(spark, sf_dir).select("event_id", F.when(k == 0, F.lit("{broken")).when(k == 1, wrong).otherwise(good).alias("body"))
+
+
+def payload_rejects_query(spark, sf_dir):
+    """Location bodies, bad ones with their reason."""
+    bodies = _bodies(spark, sf_dir, {"time": F.unix_millis(as_instant("ts")), "lat": F.col("value"), "lon": F.col("user_id")})
+    out = flag_payload(bodies, "location", keep=("event_id",))
+    return out.select("event_id", as_wall_clock("zeit").alias("zeit"), "lat", "lon", "alt", "speed", "reason")
+
+
+def payload_readings(spark, sf_dir):
+    """Reading bodies (id default 'light'); the usable ones."""
+    bodies = _bodies(spark, sf_dir, {"time_sec": F.unix_millis(as_instant("ts")) / F.lit(1000.0), "lx": F.col("value")})
+    return parse_payload(bodies, "reading", keep=("event_id",)).select("event_id", "sensor_id", _r6("time_sec").alias("time_sec"), "lx")
+
+
+def track_speed(spark, sf_dir):
+    """M2: location windows with altitude and speed."""
+    from .jobs import track_windows
+    out = track_windows(geo_location_messages(spark, sf_dir), size="1 hour")
+    return out.select(as_wall_clock("fenster_start").alias("fenster_start"), _r6("alt_mean").alias("alt_mean"),
+                      _r6("speed_mean").alias("speed_mean"), "n_samples")
+
+
+def track_summary_gaps(spark, sf_dir):
+    """A7 where values are missing: each mean is weighted by the values behind it."""
+    ev = events(spark, sf_dir).select("ts", F.when(F.col("event_id") % 3 == 0, F.col("value")).alias("hr"), F.col("user_id").alias("alt"))
+    win = window_stats(ev, "ts", "1 hour", {"hr_mean": "hr", "alt_mean": "alt"}, count_of="alt", counts=True)
+    return track_summary(win, ["hr_mean", "alt_mean"]).select(
+        "n_windows", _r6("hr_mean_weighted").alias("hr_mean_weighted"), _r6("alt_mean_weighted").alias("alt_mean_weighted"))
+
+
+def _null_keys(spark, sf_dir):
+    return events(spark, sf_dir).withColumn("k", F.when(F.col("event_type") != "click", F.col("event_type")))
+
+
+def trailing_null_key(spark, sf_dir):
+    """a NULL key is a series of its own."""
+    return series.trailing(_null_keys(spark, sf_dir), "ts", "6 hours", by="k").select("event_id", "ts")
+
+
+def unseen_null_key(spark, sf_dir):
+    """A NULL key that was seen is seen."""
+    ev = _null_keys(spark, sf_dir).withColumn("day_bucket", day_bucket("ts"))
+    out = series.unseen(ev.where("event_id % 2 = 0"), ev.where("event_id % 16 = 1"), ["k", "user_id", "day_bucket"])
+    return out.select("event_id")
+
+
+QUERIES.update({
+    "event_seconds": event_seconds,
+    "rebase_seconds": rebase_seconds,
+    "bad_times": bad_times,
+    "fill_zero": fill_zero_query,
+    "number_text": number_text,
+    "drop_missing": drop_missing_query,
+    "min_fields": min_fields_query,
+    "drop_incomplete": drop_incomplete_query,
+    "payload_rejects": payload_rejects_query,
+    "payload_readings": payload_readings,
+    "track_speed": track_speed,
+    "track_summary_gaps": track_summary_gaps,
+    "trailing_null_key": trailing_null_key,
+    "unseen_null_key": unseen_null_key,
+})

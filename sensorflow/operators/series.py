@@ -32,6 +32,8 @@ _B = "__sf_bucket"
 _FIRST = "__sf_first_in_bucket"
 _LAST = "__sf_last"
 _PREV = "__sf_prev"
+_US = "__sf_us"
+_CUTS = "__sf_cuts"
 
 # Bucket widths accepted by ``bucket=``; pick one that keeps the rows of the
 # busiest (series, bucket) well inside one task.
@@ -55,28 +57,29 @@ def _bucket_of(ts: str, width_us: int) -> Column:
     return F.floor(F.unix_micros(as_instant(ts)) / F.lit(width_us)).cast("bigint")
 
 
-def auto_bucket_us(df: DataFrame, by: Sequence[str], ts: str,
-                   target_rows: int | None = None, base: str = "1 hour",
-                   min_us: int = 1_000, max_us: int = 366 * 86_400_000_000) -> int:
-    """Bucket width such that the densest (series, bucket) holds about
-    ``target_rows`` rows.
+#: Rows of a series above which it is cut into buckets, and the buckets of such a series.
+SPLIT_ROWS, SPLITS = 200_000, 128
 
-    One pre-pass: rows per (series, ``base`` slice) as a hash aggregate; its
-    maximum and total (two numbers) come back to the driver. A series holding
-    a third of all rows gets proportionally narrower buckets (more tasks);
-    sparse series get wider ones (fewer buckets to stitch), up to ``max_us``.
-    By default the target is ~4 buckets' worth per shuffle partition, at most
-    1M rows, at least 50k: few series still spread over all cores.
+
+def with_even_buckets(df: DataFrame, ts: str, split_rows: int = SPLIT_ROWS, splits: int = SPLITS) -> DataFrame:
+    """Add the bucket of each row of ``df``, keyed by ``_K``, such that the buckets of a
+    long series hold about the same number of rows each.
+
+    Series of at most ``split_rows`` rows are one bucket. A longer one is cut at
+    the ``1 / splits`` quantiles of its own times, so a burst inside a second
+    is cut as finely as a slow year, and sparse series are not cut at all.
+    Only rows of one instant stay together. The quantiles are a table of one
+    row per long series, joined to the rows; nothing runs while planning.
     """
-    base_us = _BUCKET_US[base]
-    per = df.groupBy(*by, _bucket_of(ts, base_us).alias(_B)).count()
-    densest, total = per.agg(F.max("count"), F.sum("count")).first()
-    densest, total = densest or 1, total or 0
-    if target_rows is None:
-        parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-        target_rows = min(1_000_000, max(50_000, total // (4 * parts)))
-    width = base_us * target_rows // densest
-    return int(min(max(width, min_us), max_us))
+    us = F.unix_micros(as_instant(ts))
+    rows = df.select(_K, us.alias(_US))
+    long_ = rows.groupBy(_K).agg(F.count(F.lit(1)).alias("__sf_n")).where(F.col("__sf_n") > split_rows)
+    cuts = F.percentile_approx(_US, [i / splits for i in range(1, splits)])
+    bounds = rows.join(long_.select(_K), on=_K, how="left_semi").groupBy(_K).agg(cuts.alias(_CUTS))
+    bucket = F.size(F.filter(_CUTS, lambda c: c < us))
+    return (df.join(bounds, on=_K, how="left")
+            .withColumn(_B, F.coalesce(F.when(F.col(_CUTS).isNotNull(), bucket), F.lit(0)).cast("bigint"))
+            .drop(_CUTS))
 
 
 def lag_stitched(
@@ -94,10 +97,10 @@ def lag_stitched(
     Equal to ``lag(c) over (partition by by order by order)``. With ``bucket``
     set, the first ``order`` column must be a timestamp; the window is
     partitioned by ``(by, bucket)`` and stitched, so no task holds more than
-    one bucket of one series. ``bucket='auto'`` (default) sizes the buckets
-    from the data (:func:`auto_bucket_us`, one small pre-pass); a fixed width
-    such as ``'1 hour'`` skips the pre-pass; ``bucket=None`` is the plain
-    window, for inputs already small per series (e.g. daily aggregates).
+    one bucket of one series. ``bucket='auto'`` (default) cuts long series
+    into buckets of even size (:func:`with_even_buckets`); a fixed width such
+    as ``'1 hour'`` cuts by the clock; ``bucket=None`` is the plain window,
+    for inputs already small per series.
     """
     by, order, cols = _names(by), _names(order), _names(cols)
     if bucket is None:
@@ -107,12 +110,11 @@ def lag_stitched(
             out = out.withColumn(prefix + c, F.lag(c).over(w))
         return out.withColumn(has_prev, F.lag(F.lit(True)).over(w).isNotNull())
 
-    width = (auto_bucket_us(df, by, order[0]) if bucket == "auto"
-             else _BUCKET_US[bucket])
     # One struct key: NULL-safe equality in a plain equi-join, and the join
     # below keeps the (key, bucket) hash partitioning of the window.
-    keyed = (df.withColumn(_K, F.struct(*by) if by else F.lit(0))
-             .withColumn(_B, _bucket_of(order[0], width)))
+    keyed = df.withColumn(_K, F.struct(*by) if by else F.lit(0))
+    keyed = (with_even_buckets(keyed, order[0]) if bucket == "auto"
+             else keyed.withColumn(_B, F.coalesce(_bucket_of(order[0], _BUCKET_US[bucket]), F.lit(-(2 ** 62)))))
     w = Window.partitionBy(_K, _B).orderBy(*order)
     inner = keyed.withColumn(_FIRST, F.lag(F.lit(True)).over(w).isNull())
     for c in cols:
@@ -317,7 +319,7 @@ def first_last(df: DataFrame, by, order, col: str) -> DataFrame:
 
 
 def delta(df: DataFrame, by, order, col: str, out: str | None = None,
-          bucket: str | None = None) -> DataFrame:
+          bucket: str | None = "auto") -> DataFrame:
     """M1: difference of ``col`` to the previous row of the series (NULL for the first)."""
     out = out or f"d_{col}"
     lagged = lag_stitched(df, by, order, [col], bucket=bucket, prefix="__sf_lag_")

@@ -115,16 +115,25 @@ def test_window_stats_and_half_second_quirk(spark):
     assert (summ["n_windows"], summ["avg_gx_avg"], summ["avg_gx_weighted"]) == (2, 3.5, 3.5)
 
 
-def test_auto_bucket_narrows_for_a_hot_series(spark):
-    df = _series(spark, 600)
-    assert series.auto_bucket_us(df, ["k"], "ts") >= 86_400_000_000  # sparse: wide buckets
-    # a tiny target forces narrower buckets for the hot key, same result
-    width = series.auto_bucket_us(df, ["k"], "ts", target_rows=2)
-    assert width < 3_600_000_000
-    w = Window.partitionBy("k").orderBy("ts", "id")
-    want = df.select("id", F.lag("v").over(w).alias("p"))
-    got = series.lag_stitched(df, "k", ["ts", "id"], ["v"], bucket="auto")
-    assert rows(got, "id", "prev_v") == rows(want, "id", "p")
+def test_even_buckets_of_a_burst_and_a_sparse_series(spark):
+    t0 = dt.datetime(2024, 1, 1)
+    burst = spark.range(20_000).select(F.lit("burst").alias("k"), (F.lit(t0) + F.make_dt_interval(secs=F.col("id") / 20_000.0)).alias("ts"), F.col("id"))
+    sparse = spark.range(900).select(F.lit("sparse").alias("k"), (F.lit(t0) + F.make_dt_interval(days=F.col("id").cast("int"))).alias("ts"), (F.col("id") + 100_000).alias("id"))
+    none = spark.range(3).select(F.lit(None).cast("string").alias("k"), F.lit(None).cast("timestamp").alias("ts"), (F.col("id") + 200_000).alias("id"))
+    df = burst.unionByName(sparse).unionByName(none).withColumn("v", F.col("id"))
+    keyed = series.with_even_buckets(df.withColumn(series._K, F.struct("k")), "ts", split_rows=1000, splits=20)
+    per = {(r["k"], r["b"]): r["n"] for r in keyed.groupBy("k", F.col(series._B).alias("b")).agg(F.count("*").alias("n")).collect()}
+    assert per["sparse", 0] == 900 and per[None, 0] == 3 and len(per) == 22
+    assert max(n for (k, _), n in per.items() if k == "burst") <= 2 * 20_000 / 20
+    plain = series.lag_stitched(df, "k", ["ts", "id"], ["v"], bucket=None)
+    old, series.SPLIT_ROWS = series.SPLIT_ROWS, 1000
+    even = series.with_even_buckets.__defaults__
+    try:
+        series.with_even_buckets.__defaults__ = (1000, 20)
+        got = series.lag_stitched(df, "k", ["ts", "id"], ["v"])
+        assert rows(got, "id", "prev_v", "has_prev") == rows(plain, "id", "prev_v", "has_prev")
+    finally:
+        series.SPLIT_ROWS, series.with_even_buckets.__defaults__ = old, even
 
 
 def test_order_key_with_null_times_and_extremes(spark):

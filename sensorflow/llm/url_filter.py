@@ -15,7 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sensorflow.llm.common import table
+from sensorflow.llm.common import spread_join, table
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -29,8 +29,8 @@ LISTED_PARTS = ("adult", "ads", "bets", "casino", "pills", "spam")
 #: Bits per key of a level and its number of hash functions.
 BITS_PER_KEY, HASHES = 12, 4
 
-#: A level may have so many bits (32 MiB in each task) at most.
-MAX_LEVEL_BITS = 1 << 28
+#: Bits of a level at most: it is a literal of the plan (128 KiB). Longer lists are joined.
+MAX_LEVEL_BITS = 1 << 20
 
 
 def host_of(url: Column) -> Column:
@@ -69,6 +69,12 @@ class Cascade:
         return F.coalesce(out & key.isNotNull(), F.lit(False))
 
 
+class TooManyKeys(ValueError):
+    """A level would be larger than ``MAX_LEVEL_BITS``; ``listed`` has the listed keys."""
+
+    listed: DataFrame
+
+
 def _positions(key: Column, level: int, bits: int) -> list[Column]:
     return [F.pmod(F.xxhash64(F.lit(level * HASHES + k), key), F.lit(bits)) for k in range(HASHES)]
 
@@ -86,7 +92,7 @@ def _level(keys: DataFrame, n: int, level: int) -> tuple[int, list[int]]:
     """Bits of the given number of keys, put together by Spark 64 at a time."""
     bits = max(64, -(-n * BITS_PER_KEY // 64) * 64)
     if bits > MAX_LEVEL_BITS:
-        raise ValueError(f"{n} keys need {bits} bits; a level holds {MAX_LEVEL_BITS}")
+        raise TooManyKeys(f"{n} keys need {bits} bits; a level holds {MAX_LEVEL_BITS}")
     p = F.explode(F.array(*_positions(F.col("key"), level, bits))).alias("p")
     words = (keys.select(p).select(F.floor(F.col("p") / 64).cast("int").alias("w"),
                                    F.call_function("shiftleft", F.lit(1).cast("bigint"), (F.col("p") % 64).cast("int")).alias("b"))
@@ -105,7 +111,11 @@ def build_cascade(universe: DataFrame, key: str, listed: Column, name: str = "ur
     side = keys.where("listed")  # the keys that the next level encodes
     other = keys.where("not listed")
     while n := side.count():
-        levels.append(_level(side, n, len(levels)))
+        try:
+            levels.append(_level(side, n, len(levels)))
+        except TooManyKeys as e:
+            e.listed = keys.where("listed").select(F.col("key").alias(key))
+            raise
         wrong = other.where(_in_level(F.col("key"), len(levels) - 1, *levels[-1]))
         side, other = wrong, side
     return Cascade(levels)
@@ -122,16 +132,21 @@ def judge_urls(pages: DataFrame, url: str = "url", rules=RULES, listed=on_list)
     A URL that is NULL, empty or without ``://`` has an empty host and path, no
     rule, and the verdict of the empty key (allow). Repeated rows are judged
     alike. Columns of ``pages`` named like a result give way to it. An empty
-    table gives an empty cascade, which lists nothing.
+    table gives an empty cascade, which lists nothing. A list too long for the
+    cascade is joined instead, spread over the rows of each host.
     """
     old = [c for c in pages.columns if c.lower() not in ("host", "path", "rule", "verdict") or c == url]
     parsed = pages.select(*[F.col(f"`{c}`") for c in old], host_of(F.col(f"`{url}`")).alias("host"), path_of(F.col(f"`{url}`")).alias("path"))
-    cascade = build_cascade(parsed.select("host"), "host", listed(F.col("host")))
+    try:
+        hit = build_cascade(parsed.select("host"), "host", listed(F.col("host"))).has(F.col("host"))
+    except TooManyKeys as e:
+        parsed = spread_join(parsed, e.listed.withColumn("_listed", F.lit(True)), "host", url, "left")
+        hit = F.col("_listed").isNotNull()
     fit = rule_of(F.col("host"), F.col("path"), rules)
-    method = F.when(cascade.has(F.col("host")), "block").otherwise("allow")
-    return (parsed.withColumn("_fit", fit)
-            .withColumn("rule", F.col("_fit.rule"))
-            .withColumn("verdict", F.coalesce(F.col("_fit.verdict"), method)).drop("_fit"))
+    judged = (parsed.withColumn("_fit", fit)
+              .withColumn("rule", F.col("_fit.rule"))
+              .withColumn("verdict", F.coalesce(F.col("_fit.verdict"), F.when(hit, "block").otherwise("allow"))))
+    return judged.select(*[F.col(f"`{c}`") for c in old], "host", "path", "rule", "verdict")
 
 
 def op4_url_filter(spark, sf_dir: str) -> DataFrame:

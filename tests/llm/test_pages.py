@@ -90,6 +90,14 @@ def test_url_rules_and_parts(spark):
     assert url_filter.judge_urls(df.limit(0)).count() == 0
 
 
+def test_a_list_too_long_for_the_cascade_is_joined(spark, monkeypatch):
+    df = spark.createDataFrame([(i, f"http://h{i % 50}.{'spam' if i % 3 else 'ok'}.org/x") for i in range(300)] + [(300, None)], "page_id long, url string")
+    want = sorted(tuple(r) for r in url_filter.judge_urls(df).collect())
+    monkeypatch.setattr(url_filter, "MAX_LEVEL_BITS", 64)
+    assert sorted(tuple(r) for r in url_filter.judge_urls(df).collect()) == want
+    assert {r[-1] for r in want} == {"allow", "block"}
+
+
 def test_cascade_is_exact_over_its_universe(spark, monkeypatch):
     monkeypatch.setattr(url_filter, "BITS_PER_KEY", 2)  # many false positives, so many levels
     monkeypatch.setattr(url_filter, "HASHES", 1)

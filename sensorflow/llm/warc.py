@@ -140,7 +140,7 @@ def _file_system(uri: str) -> tuple[pafs.FileSystem, str]:
 def _store(folder: str, name: str, data: bytes) -> str:
     where, path = _file_system(folder)
     where.create_dir(path, recursive=True)
-    with where.open_output_stream(f"{path}/{name}") as f:
+    with where.open_output_stream(f"{path}/{name}", compression=None) as f:
         f.write(data)
     return f"{folder}/{name}"
 

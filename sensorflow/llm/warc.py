@@ -233,10 +233,11 @@ def _read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def read_warc(index: DataFrame) -> DataFrame:
     """All records of the bundles that ``index`` names, with checked payloads."""
-    bundles = index.select("bundle").distinct()
-    spark = index.sparkSession
-    n = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    return bundles.repartition(n, "bundle").mapInPandas(_read, RECORD)
+    bundles = table(index.select("bundle").distinct(), "warc-bundles")
+    count = bundles.count()
+    # a bundle is a task's work; its row is so small that the engine would read all of them in one
+    n = max(1, min(count, max(int(index.sparkSession.conf.get("spark.sql.shuffle.partitions")), count // 8)))
+    return bundles.repartition(n, F.xxhash64("bundle")).mapInPandas(_read, RECORD)
 
 
 def op7_warc(spark, sf_dir: str) -> DataFrame:

@@ -18,7 +18,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sensorflow.llm.common import table
@@ -29,6 +29,8 @@ SAMPLE, PART_ROWS, MIN_PARTS, MAX_PARTS = 8192, 512, 8, 256
 DEGREE, HELD_OUT, RECALL = 16, 512, 0.95
 #: Vectors and queries that meet in one task.
 VECTOR_BLOCK, QUERY_BLOCK = 8192, 2048
+#: Shares in which the hits of a query are merged before they meet.
+MERGE = 32
 
 
 def usable(v: Column) -> Column:
@@ -166,19 +168,20 @@ def _exact(q: np.ndarray, v: np.ndarray) -> np.ndarray:
 
 
 def nearest(qid: np.ndarray, q: np.ndarray, vid: np.ndarray, v: np.ndarray, k: int) -> pd.DataFrame:
-    """The k rows of v nearest to every row of q, but for rows of its own id; ties to the smaller id."""
-    order = np.argsort(vid, kind="stable")
-    vid, v = vid[order], np.ascontiguousarray(v[order])
-    # of equal vectors only the k + 1 smallest ids can count
+    """query_id, ids, scores: the k rows of v nearest to every row of q, but for rows of its own id; ties to the smaller id."""
+    v = np.ascontiguousarray(v)
     _, group = np.unique(v.view(np.dtype((np.void, v.dtype.itemsize * v.shape[1]))).ravel(), return_inverse=True)
-    by = np.argsort(group, kind="stable")
-    first = np.searchsorted(group[by], group[by])
-    keep = np.sort(by[np.arange(len(by)) - first <= k])
+    order = np.lexsort((vid, group))
+    vid, v, group = vid[order], v[order], group[order]
+    new = np.concatenate(([True], (group[1:] != group[:-1]) | (vid[1:] != vid[:-1])))
+    vid, v, group = vid[new], v[new], group[new]
+    # of equal vectors only the k + 1 smallest ids can count
+    keep = np.arange(len(group)) - np.searchsorted(group, group) <= k
     vid, v, group = vid[keep], v[keep], group[keep]
-    uniq, at = np.unique(group, return_index=True)
-    members = np.split(np.argsort(group, kind="stable"), np.searchsorted(np.sort(group), uniq)[1:])
+    at = np.flatnonzero(np.concatenate(([True], group[1:] != group[:-1])))
+    members = np.split(np.arange(len(group)), at[1:])
     table_ = v[at]
-    out_q, out_v, out_s = [], [], []
+    rows = []
     wide = min(len(table_), k + 13)  # rounding of the product may change near ties, so some more are checked
     for a in range(0, len(q), 256):
         s = q[a:a + 256] @ table_.T
@@ -190,11 +193,8 @@ def nearest(qid: np.ndarray, q: np.ndarray, vid: np.ndarray, v: np.ndarray, k: i
             mine = ids != qid[a + i]
             ids, score = ids[mine], score[mine]
             top = np.lexsort((ids, -score))[:k]
-            out_q.append(np.full(len(top), qid[a + i]))
-            out_v.append(ids[top])
-            out_s.append(score[top])
-    cat = lambda x, t: np.concatenate(x) if x else np.zeros(0, t)
-    return pd.DataFrame({"query_id": cat(out_q, "int64"), "vec_id": cat(out_v, "int64"), "score": cat(out_s, float)})
+            rows.append((qid[a + i], ids[top], score[top]))
+    return pd.DataFrame(rows, columns=["query_id", "ids", "scores"])
 
 
 def _matrix(column: pd.Series) -> np.ndarray:
@@ -206,8 +206,9 @@ def search(vectors: DataFrame, is_query: Column, id: str = "vec_id", vector: str
 
     Vectors that are NULL, zero, or hold NULL or non-finite components take no
     part, nor do rows without an id or of another dimension than most. Rows
-    that repeat an id count once, and never as a neighbour of that id. A table
-    of fewer rows gives fewer neighbours; an empty one gives no rows. Other
+    that repeat an id and its vector count once; with another vector they are
+    candidates of their own. No row is a neighbour of its own id. A table of
+    fewer rows gives fewer neighbours; an empty one gives no rows. Other
     columns are left out.
     """
     read = vectors.select(F.col(f"`{id}`").cast("long").alias("id"), F.col(f"`{vector}`").alias("v"), is_query.alias("q"))
@@ -243,20 +244,25 @@ def search(vectors: DataFrame, is_query: Column, id: str = "vec_id", vector: str
     v = (routed.where(F.col("home").isin(parts)).select(F.col("home").alias("part"), "id", "v")
          .withColumn("vb", F.pmod(F.xxhash64("id"), nv[F.col("part")]).cast("int"))
          .withColumn("qb", F.explode(F.sequence(F.lit(0), nq[F.col("part")] - 1))))
-    q = (routed.where(F.col("visit").isNotNull()).select("id", "v", F.explode("visit").alias("part")).where(F.col("part").isin(parts))
-         .withColumn("qb", F.pmod(F.xxhash64("id", F.lit(1)), nq[F.col("part")]).cast("int"))
+    q = (routed.where(F.col("visit").isNotNull()).select(F.col("id").alias("qid"), F.col("v").alias("qv"), F.explode("visit").alias("part")).where(F.col("part").isin(parts))
+         .withColumn("qb", F.pmod(F.xxhash64("qid", F.lit(1)), nq[F.col("part")]).cast("int"))
          .withColumn("vb", F.explode(F.sequence(F.lit(0), nv[F.col("part")] - 1))))
 
     def compare(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
         if not len(a) or not len(b):
-            return pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype({"query_id": "int64", "vec_id": "int64", "score": "float64"})
-        return nearest(b["id"].to_numpy(), _matrix(b["v"]), a["id"].to_numpy(), _matrix(a["v"]), k)
+            return pd.DataFrame({"query_id": np.zeros(0, "int64"), "ids": [], "scores": []})
+        return nearest(b["qid"].to_numpy(), _matrix(b["qv"]), a["id"].to_numpy(), _matrix(a["v"]), k)
 
     key = ["part", "vb", "qb"]
-    found = v.groupBy(*key).cogroup(q.groupBy(*key)).applyInPandas(compare, "query_id long, vec_id long, score double")
-    best = found.repartition("query_id").groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
-    w = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return best.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    found = v.groupBy(*key).cogroup(q.groupBy(*key)).applyInPandas(compare, "query_id long, ids array<long>, scores array<double>")
+    hits = found.select("query_id", F.arrays_zip(F.transform("scores", lambda s: -s).alias("far"), F.col("ids").alias("id")).alias("hits"),
+                        F.pmod(F.xxhash64("ids"), F.lit(MERGE)).alias("share"))
+    # k hits of every block become k hits of every share, then k hits
+    for keys in (["query_id", "share"], ["query_id"]):
+        merged = F.slice(F.array_sort(F.array_distinct(F.flatten(F.collect_list("hits")))), 1, k)
+        hits = hits.groupBy(*keys).agg(merged.alias("hits"))
+    ranked = hits.select("query_id", F.posexplode("hits").alias("at", "hit"))
+    return ranked.select("query_id", (F.col("at") + 1).alias("rank"), F.col("hit.id").alias("vec_id"), (-F.col("hit.far")).alias("score"))
 
 
 def op9_ann(spark, sf_dir: str) -> DataFrame:

@@ -248,7 +248,7 @@ def main_frame(rows: pd.DataFrame, pages: int) -> tuple[str, list[str]]:
     return ">".join(best), sorted({">".join(p) for p in other})
 
 
-def _template(key, rows: pd.DataFrame) -> pd.DataFrame:
+def _template(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
     frame, other = main_frame(rows, int(rows["pages"].iloc[0]))
     return pd.DataFrame({"host": [key[0]], "frame": [frame], "other": [other]})
 

@@ -1,4 +1,4 @@
-"""Print the plan shape of every registered query (exchanges, broadcasts,
+"""Print the plan shape of every registered query of ``plans.queries`` (exchanges, broadcasts,
 windows, generators, scalar subqueries, Python nodes, sort-based aggregates)
 as a markdown table; with ``--full DIR`` also write each physical plan.
 
@@ -13,7 +13,7 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-import __spark_entry__ as entry_mod  # noqa: E402
+from sensorflow.plans.queries import QUERIES  # noqa: E402
 from sensorflow.session import get_session  # noqa: E402
 
 COUNTS = {
@@ -40,7 +40,7 @@ def main() -> None:
     spark.sparkContext.setLogLevel("ERROR")
     print("| query | " + " | ".join(COUNTS) + " |")
     print("|---|" + "---|" * len(COUNTS))
-    for name, fn in entry_mod.queries().items():
+    for name, fn in QUERIES.items():
         df = fn(spark, sf_dir)
         plan = df._jdf.queryExecution().executedPlan().toString()
         cells = []

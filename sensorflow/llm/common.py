@@ -31,14 +31,26 @@ def work_dir(spark: SparkSession, name: str) -> str:
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def table(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: the lineage ends there."""
+def table(df: DataFrame, name: str, batch: int | None = None) -> DataFrame:
+    """Write ``df`` to the shared folder and read it back: the lineage ends there.
+
+    ``batch``: rows that go to a Python function at once while it is written.
+    """
     spark = df.sparkSession
     path = work_dir(spark, name)
-    df.write.parquet(path)
+    before = spark.conf.get(ARROW_ROWS)
+    try:
+        if batch:
+            spark.conf.set(ARROW_ROWS, str(batch))
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(ARROW_ROWS, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
+ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body(value)`` with ``value`` computed once per row."""
     return F.element_at(F.transform(F.array(value), body), 1)

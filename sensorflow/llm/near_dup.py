@@ -34,6 +34,8 @@ from sensorflow.llm.common import group_min, spread_join, table
 ROWS, MISS = 5, 1e-7
 #: Star rounds before the prefix filter; bytes of text that are hashed at once.
 STARS, CHUNK = 2, 1 << 20
+#: Rows that go to a Python function at once.
+BATCH = 1000
 SEED = 20240229
 
 _U = np.uint64
@@ -179,18 +181,21 @@ def merge(comps: DataFrame, links: DataFrame) -> DataFrame:
     round is a written table, and the rounds end when no label changes.
     """
     of = comps.select("node", "comp")
-    a = spread_join(links, of.withColumnRenamed("node", "u").withColumnRenamed("comp", "a"), "u", "v")
-    ab = spread_join(a, of.withColumnRenamed("node", "v").withColumnRenamed("comp", "b"), "v", "u").where("a <> b")
+    a = links.join(of.withColumnRenamed("node", "u").withColumnRenamed("comp", "a"), "u")
+    ab = a.join(of.withColumnRenamed("node", "v").withColumnRenamed("comp", "b"), "v").where("a <> b")
     edges = table(ab.select(F.explode(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))).alias("e"))
                   .select("e.a", "e.b").distinct(), "dup-edges")
+    if edges.isEmpty():
+        return comps
     labels = table(edges.groupBy("a").agg(F.least("a", F.min("b")).alias("label")), "dup-labels")
-    changed = labels.limit(1).count()
+    changed = True
     while changed:
-        near = (spread_join(edges, labels.withColumnRenamed("a", "b"), "b", "a").groupBy("a").agg(F.min("label").alias("near")))
+        # rows of two or three numbers: a hub's share of them is left to the engine's skew join
+        near = edges.join(labels.withColumnRenamed("a", "b"), "b").groupBy("a").agg(F.min("label").alias("near"))
         step = labels.join(near, "a").select("a", "label", F.least("label", "near").alias("new"))
-        jump = spread_join(step, labels.select(F.col("a").alias("new"), F.col("label").alias("far")), "new", "a", "left")
+        jump = step.join(labels.select(F.col("a").alias("new"), F.col("label").alias("far")), "new", "left")
         moved = table(jump.select("a", "label", F.least("new", F.coalesce("far", "new")).alias("new")), "dup-labels")
-        changed = moved.where("new <> label").limit(1).count()
+        changed = not moved.where("new <> label").isEmpty()
         labels = moved.select("a", F.col("new").alias("label"))
     out = spread_join(comps, labels.withColumnRenamed("a", "comp"), "comp", "node", "left")
     return table(out.select("node", "n", F.coalesce("label", "comp").alias("comp")), "dup-comps")
@@ -250,7 +255,7 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", wid
     """
     read = docs.select(F.col(f"`{id}`").cast("long").alias("id"), F.col(f"`{text}`").alias("text"))
     bands = bands_for(percent, rows)
-    signed = table(read.mapInPandas(_signed(width, rows, bands), "id long, n long, skey binary, bands array<long>"), "dup-signed")
+    signed = table(read.mapInPandas(_signed(width, rows, bands), "id long, n long, skey binary, bands array<long>"), "dup-signed", BATCH)
     known = table(group_min(signed.select("id", "n", F.expr("case when id is not null then skey end").alias("skey")), "skey", "id", "node"), "dup-known")
     firsts = signed.select("id", "n", "skey", "bands").join(
         known.where("id = node").select("id", "skey").distinct(), ["id", "skey"], "left_semi")
@@ -261,7 +266,7 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", wid
     size = known.where("id = node").groupBy("node").agg(F.max("n").alias("n"))
     comps = table(size.join(nodes, "node", "left_semi").select("node", "n", F.col("node").alias("comp")), "dup-comps")
     texts = read.join(nodes.withColumnRenamed("node", "id"), "id", "left_semi")
-    sets = table(texts.mapInPandas(_sets(width), "node long, s array<long>").distinct(), "dup-sets")
+    sets = table(texts.mapInPandas(_sets(width), "node long, s array<long>").distinct(), "dup-sets", BATCH)
     tested = None
     for k in range(STARS):
         pairs = table(_star(buckets, comps, tested, k, percent), "dup-pairs")

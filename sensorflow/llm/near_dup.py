@@ -229,15 +229,19 @@ def _rest(buckets: DataFrame, comps: DataFrame, sets: DataFrame, tested: DataFra
     held = spread_join(words, many, "w", "node")
     # the rarest n - ceil(percent * n / 100) + 1 shingles of a node; an array per document
     rare = (held.groupBy("node").agg(F.array_sort(F.collect_list(F.struct("df", "w"))).alias("all"))
-            .select("node", F.explode(F.slice("all", 1, (F.size("all") - F.ceil(F.size("all") * percent / 100) + 1).cast("int"))).alias("r"))
-            .where("r.df > 1").select("node", F.col("r.w").alias("w")))
+            .select("node", F.posexplode(F.slice("all", 1, (F.size("all") - F.ceil(F.size("all") * percent / 100) + 1).cast("int"))).alias("at", "r"))
+            .where("r.df > 1").select("node", "at", F.col("r.w").alias("w")))
     rare = table(rare.join(comps, "node"), "dup-rare")
     by_comp = rare.groupBy("w", "comp").agg(F.count(F.lit(1)).alias("k"))
     main = (by_comp.groupBy("w").agg(F.max(F.struct("k", "comp")).alias("m"), F.count(F.lit(1)).alias("c"))
             .where("c > 1").select("w", F.col("m.comp").alias("main")))
     mixed = table(spread_join(rare, main, "w", "node"), "dup-mixed")
-    few = mixed.where("comp <> main").select("w", F.col("node").alias("x"), F.col("comp").alias("cx"), F.col("n").alias("nx"))
-    pairs = (mixed.join(few, "w").where((F.col("comp") != F.col("cx")) & _fits("n", "nx", percent))
+    few = mixed.where("comp <> main").select("w", F.col("node").alias("x"), F.col("comp").alias("cx"), F.col("n").alias("nx"), F.col("at").alias("ax"))
+    # two sets that reach the threshold have this many shingles in common, so they
+    # share one of the first (size - common + 1) of either
+    common = F.ceil((F.col("n") + F.col("nx")) * percent / (100 + percent))
+    near = (F.col("at") <= F.col("n") - common) & (F.col("ax") <= F.col("nx") - common)
+    pairs = (mixed.join(few, "w").where((F.col("comp") != F.col("cx")) & _fits("n", "nx", percent) & near)
              .select(F.least("node", "x").alias("u"), F.greatest("node", "x").alias("v")).distinct())
     return pairs.join(tested, ["u", "v"], "left_anti")
 

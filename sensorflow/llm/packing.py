@@ -20,17 +20,14 @@ from pyspark.sql import functions as F
 
 #: Limits of a bin: tokens, segments, loss-bearing tokens; and the pieces that wait at most.
 TOKENS, SEGMENTS, LOSS, WINDOW = 1024, 64, 1024, 256
-#: Distinct words whose ids a task remembers.
-WORDS = 300_000
+#: Fixed value: how this vocabulary's tokenizer splits a text.
+PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 
 class Tokenizer:
     """Byte-level BPE ids of whole texts, ended by id 0.
 
-    ``path`` is the vocabulary in ranks (its ids equal those of the JSON form).
-    Between a character that is no white space and a space before another such
-    character there is always a token border, so the ids of a text are those
-    of its space-led words, and words are encoded once.
+    ``path`` is the vocabulary in ranks; its ids equal those of the JSON form.
     """
 
     def __init__(self, path: str):
@@ -40,28 +37,12 @@ class Tokenizer:
 
         with open(path, "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-        pattern = (r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+""")
-        encoding = tiktoken.Encoding("bytes", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
-        self.encode = encoding.encode_ordinary
-
-        class Words(dict):
-            def __missing__(cache, word: str) -> bytes:
-                out = np.array(encoding.encode_ordinary(" " + word), "<u4").tobytes()
-                if len(cache) >= WORDS:
-                    cache.clear()
-                cache[word] = out
-                return out
-
-        self.words = Words()
+        self.encoding = tiktoken.Encoding("bytes", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
 
     def ids(self, text: str) -> np.ndarray:
-        first, *rest = text.split(" ")
-        # white space beside a space: borders there depend on both, so the text is encoded whole
-        if rest and not any(not w or w[0].isspace() or w[-1].isspace() for w in rest) and first and not first[-1].isspace():
-            raw = np.array(self.encode(first), "<u4").tobytes() + b"".join(map(self.words.__getitem__, rest))
-        else:
-            raw = np.array(self.encode(text), "<u4").tobytes()
-        return np.frombuffer(raw + b"\0\0\0\0", "<u4")
+        ids = self.encoding.encode_ordinary(text)
+        ids.append(0)
+        return np.array(ids, "<u4")
 
 
 class Packer:

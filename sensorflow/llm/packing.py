@@ -11,6 +11,7 @@ Every partition packs its own rows in one streaming pass; nothing is shuffled.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,20 +28,23 @@ PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 class Tokenizer:
     """Byte-level BPE ids of whole texts, ended by id 0.
 
-    ``path`` is the vocabulary in ranks; its ids equal those of the JSON form.
+    ``path`` is the vocabulary in ranks, ``added`` the tokens that it lacks and
+    the JSON form has (text -> id): each stands for its id wherever a text holds
+    it. With them the ids equal those of the JSON form; without, an added token
+    is text like any other.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, added: dict[str, int] | None = None):
         import base64
 
         import tiktoken
 
         with open(path, "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-        self.encoding = tiktoken.Encoding("bytes", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+        self.encoding = tiktoken.Encoding("bytes", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=added or {})
 
     def ids(self, text: str) -> np.ndarray:
-        ids = self.encoding.encode_ordinary(text)
+        ids = self.encoding.encode(text, allowed_special="all")
         ids.append(0)
         return np.array(ids, "<u4")
 
@@ -148,12 +152,12 @@ class Packer:
 PIECES = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 
 
-def _pack(path: str, limits: tuple[int, int, int], window: int):
+def _pack(path: str, added: dict[str, int] | None, limits: tuple[int, int, int], window: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyspark import TaskContext
 
         sequence = TaskContext.get().partitionId() << 40
-        tokenizer, packer = Tokenizer(path), Packer(*limits, window)
+        tokenizer, packer = Tokenizer(path, added), Packer(*limits, window)
         rows: list[tuple] = []
         size = 0
 
@@ -186,19 +190,21 @@ def _pack(path: str, limits: tuple[int, int, int], window: int):
 
 
 def pack(docs: DataFrame, tokenizer: str, id: str = "doc_id", text: str = "text", tokens: int = TOKENS,
-         segments: int = SEGMENTS, loss: int = LOSS, window: int = WINDOW) -> DataFrame:
+         segments: int = SEGMENTS, loss: int = LOSS, window: int = WINDOW,
+         added: dict[str, int] | None = None) -> DataFrame:
     """One row per piece: doc_id, start, length, ids (little-endian 32-bit), doc_tokens, sequence_id, offset.
 
     A document is its ids and a last id 0, so a NULL or empty text is that one
     id. Every id is in exactly one piece; the pieces of a sequence lie without
     gaps from offset 0. All tokens of a document bear loss. Rows are packed one
     by one, whether they repeat or have no id; other columns are left out.
-    ``tokenizer`` is a path of the ranks file that every executor can read.
+    ``tokenizer`` is a path of the ranks file that every executor can read,
+    ``added`` the tokens of the JSON form that the ranks lack (``added_tokens``).
     """
     if tokens & (tokens - 1):
         raise ValueError("tokens must be a power of two")
     read = docs.select(F.col(f"`{id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
-    out = read.mapInPandas(_pack(tokenizer, (tokens, segments, loss), window), PIECES)
+    out = read.mapInPandas(_pack(tokenizer, added, (tokens, segments, loss), window), PIECES)
     return out.withColumnRenamed("doc_id", id)
 
 
@@ -207,12 +213,20 @@ def digest_pieces(pieces: DataFrame) -> DataFrame:
 
 
 def tokenizer_path() -> str:
-    """The public byte-level vocabulary as ranks, the same ids as its JSON form."""
+    """The public byte-level vocabulary as ranks, the same ids as its JSON form but for ``added_tokens``."""
     import public_tokenizers
 
     return public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
+def added_tokens() -> dict[str, int]:
+    """Text -> id of the tokens that the vocabulary's JSON form adds to the ranks."""
+    import public_tokenizers
+
+    with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as f:
+        return {t["content"]: t["id"] for t in json.load(f)["added_tokens"]}
+
+
 def op5_packing(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    return digest_pieces(pack(docs, tokenizer_path()))
+    return digest_pieces(pack(docs, tokenizer_path(), added=added_tokens()))

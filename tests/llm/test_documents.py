@@ -245,3 +245,18 @@ def test_pieces_are_the_public_tokenizers_ids(spark):
         by_seq[r["sequence_id"]] = r["offset"] + r["length"]
     assert all(n <= 1024 for n in by_seq.values())
     assert packing.pack(df.limit(0), packing.tokenizer_path()).count() == 0
+
+
+def test_added_tokens_are_the_contracts_ids(spark):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    plain = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    texts = ["x <|endoftext|> y", "<|endoftext|>", "a  <|endoftext|><|endoftext|>\n\nb <|endoftext|", "<|endof<|endoftext|>text|>", "none 123"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = packing.pack(df.coalesce(1), packing.tokenizer_path(), added=packing.added_tokens()).collect()
+    for i, t in enumerate(texts):
+        mine = sorted((r for r in rows if r["doc_id"] == i), key=lambda r: r["start"])
+        got = np.frombuffer(b"".join(bytes(r["ids"]) for r in mine), "<u4").tolist()
+        assert got == [*plain.encode(t, add_special_tokens=False).ids, 0]
+    assert [87, 220, 50256, 331, 0] == [*plain.encode(texts[0], add_special_tokens=False).ids, 0]

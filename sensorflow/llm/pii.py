@@ -1,13 +1,14 @@
 """Personal data: base formats, and identifiers found through learned contexts.
 
-The base formats give the seeds. Every identifier-like token (it has a digit or
-an ``@``) is an instance; the word before it, and the two words before it, are
+The base formats give the seeds, whole spans of one word or more. They and every
+identifier-like token (a run of adjoining digit words, or a word with a digit or
+an ``@``) are instances; the word before one, and the two words before it, are
 its lexical patterns. A pattern's score is the mean score of its distinct
 instances, smoothed; an instance's score is 1 for seeds, else the noisy-or of
 its trusted patterns. After ``ROUNDS`` rounds over this graph, instances of a
 high score that are no seeds are reported as ``context`` spans.
 
-DataFrame functions only. Texts without a digit or ``@`` take one cheap scan.
+DataFrame functions only.
 """
 
 from __future__ import annotations
@@ -26,10 +27,12 @@ PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 TOKEN, ANY = r"(?<!\S)[^\s0-9@]*+[0-9@]\S*+", "[0-9@]"
 KINDS = ("email", "ip", "card", "phone")
 
+#: A run of digit words with single spaces between, else a word as above.
+_DIGITS = r"\(?+[0-9](?:[0-9()/.-]*[0-9)])?"
+RUN = rf"(?<!\S)(?>\+?+{_DIGITS})(?:\x20(?>{_DIGITS})(?=[^\s\w(+]*+(?!\S)))++\S*+|{TOKEN}"
+
 #: Rounds, instances that a pattern needs, and the least scores of patterns and instances.
 ROUNDS, MIN_SUPPORT, PATTERN_SCORE, INSTANCE_SCORE = 3, 5, 0.9, 0.95
-
-
 def _octets(hit: Column) -> Column:
     """All parts at most 255, whatever their leading zeros."""
     return F.forall(F.split(hit, r"\."), lambda p: let(
@@ -57,7 +60,7 @@ def base_spans(text: Column) -> Column:
     )).otherwise(F.array().cast(SPANS))
 
 
-CONTEXT = "array<struct<start:int,end:int,hit:string,one:string,two:string>>"
+CONTEXT = "array<struct<start:int,end:int,hit:string,one:string,two:string,seed:boolean>>"
 
 
 def _word(w: Column) -> Column:
@@ -65,21 +68,46 @@ def _word(w: Column) -> Column:
     return F.when(w.rlike("[0-9@]"), "<id>").otherwise(F.regexp_replace(F.lower(w), r"[^\p{L}]", ""))
 
 
-def identifiers(text: Column) -> Column:
-    """Identifier-like words with the one and the two words before them."""
-    def context(s: Column) -> Column:
+def _name(hit: Column) -> Column:
+    """An instance in lower case, without marks at its ends."""
+    return F.regexp_replace(F.lower(hit), r"^[^\p{L}\p{N}+]+|[^\p{L}\p{N}]+$", "")
+
+
+def _patterns(one: Column, two: Column) -> Column:
+    return F.array(F.concat(F.lit("1 "), one), F.concat(F.lit("2 "), two))
+
+
+def _blank(text: Column, base: Column) -> Column:
+    """``text`` with a control character in place of each one inside a base span, so that no run of words crosses it."""
+    def step(a: Column, s: Column) -> Column:
+        return F.when(s.end <= a.at, a).otherwise(F.struct(
+            F.concat(a.out, F.substring(text, a.at + 1, F.greatest(s.start - a.at, F.lit(0))),
+                     F.repeat(F.lit("\x01"), s.end - F.greatest(s.start, a.at))).alias("out"), s.end.alias("at")))
+    order = F.array_sort(F.transform(base, lambda s: F.struct(s.start.alias("start"), s.end.alias("end"))))
+    return F.when(F.size(base) > 0, F.aggregate(
+        order, F.struct(F.lit("").alias("out"), F.lit(0).alias("at")), step,
+        lambda a: F.concat(a.out, F.substring(text, a.at + 1, F.length(text))))).otherwise(text)
+
+
+def identifiers(text: Column, base: Column) -> Column:
+    """Base spans (seeds) and the identifier-like tokens beside them, with the one and the two words before their first word."""
+    def context(s: Column, seed: bool) -> Column:
         # two words of ordinary length fit in 80 characters
-        left = F.split(F.trim(F.substring(text, F.greatest(s.start - 79, F.lit(1)), F.least(s.start, F.lit(80)))), r"\s+")
-        one = _word(F.element_at(left, -1))
-        return F.struct(s.start.alias("start"), s.end.alias("end"),
-                        F.regexp_replace(F.lower(s.hit), r"^[^\p{L}\p{N}+]+|[^\p{L}\p{N}]+$", "").alias("hit"),
-                        one.alias("one"),
-                        F.concat(F.when(F.size(left) > 1, _word(F.element_at(left, -2))).otherwise(""), F.lit(" "), one).alias("two"))
-    return F.when(text.rlike(ANY), F.transform(spans_of(text, TOKEN, "context"), context)).otherwise(F.array().cast(CONTEXT))
+        left = F.regexp_replace(F.substring(text, F.greatest(s.start - 79, F.lit(1)), F.least(s.start, F.lit(80))), r"\S+\z", "")
+        return let(F.split(F.regexp_replace(left, r"^\s+|\s+\z", ""), r"\s+"), lambda w: let(
+            _word(F.element_at(w, -1)), lambda one: F.struct(
+                s.start.alias("start"), s.end.alias("end"), _name(s.hit).alias("hit"), one.alias("one"),
+                F.concat(F.when(F.size(w) > 1, _word(F.try_element_at(w, F.lit(-2)))).otherwise(""), F.lit(" "), one).alias("two"),
+                F.lit(seed).alias("seed"))))
+    beside = lambda t: ~F.exists(base, lambda b: (b.start < t.end) & (b.end > t.start))
+    tokens = let(_blank(text, base), lambda x: spans_of(x, RUN, "context"))
+    return F.when(text.rlike(ANY), F.concat(
+        F.transform(base, lambda s: context(s, True)),
+        F.transform(F.filter(tokens, beside), lambda s: context(s, False))).cast(CONTEXT)).otherwise(F.array().cast(CONTEXT))
 
 
-def _learn(edges: DataFrame) -> DataFrame:
-    """Instances of a high score that are no seeds, from edges(pattern, instance, seed).
+def _learn(edges: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Instances of a high score that are no seeds, and the trusted patterns, from edges(pattern, instance, seed, times).
 
     One row per pattern and instance, so common patterns do not repeat. Scores
     move over the edges with two grouped sums a round.
@@ -87,23 +115,32 @@ def _learn(edges: DataFrame) -> DataFrame:
     scored = edges.withColumn("score", F.col("seed").cast("double"))
     for _ in range(ROUNDS):
         patterns = (scored.groupBy("pattern").agg(
-            (F.sum("score") / (F.count(F.lit(1)) + 0.5)).alias("trust"), F.count(F.lit(1)).alias("n"),
+            (F.sum("score") / (F.count(F.lit(1)) + 0.5)).alias("trust"), F.sum("score").alias("sum"),
+            F.count(F.lit(1)).alias("n"),
             F.sum(F.col("seed").cast("int")).alias("seeds"))
             .where((F.col("trust") >= PATTERN_SCORE) & (F.col("n") >= MIN_SUPPORT) & (F.col("seeds") > 0)))
+        patterns = table(patterns, "pii-patterns")
         linked = edges.join(patterns.select("pattern", "trust"), "pattern", "left")
         instances = linked.groupBy("instance").agg(
             F.max("seed").alias("seed"),
-            (1 - F.exp(F.sum(F.log(1 - F.least(F.coalesce("trust", F.lit(0.0)), F.lit(0.999)))))).alias("score"))
+            _noisy_or(F.coalesce("trust", F.lit(0.0))).alias("score"))
         instances = table(instances.withColumn("score", F.when(F.col("seed"), 1.0).otherwise(F.col("score"))), "pii-instances")
         scored = edges.join(instances.select("instance", "score"), "instance")
-    return instances.where(~F.col("seed") & (F.col("score") >= INSTANCE_SCORE)).select("instance", "score")
+    # a word with an @ or four digits is an identifier by its form wherever it stands
+    form = F.col("instance").contains("@") | (F.length(F.regexp_replace("instance", "[^0-9]", "")) >= 4)
+    found = instances.where(~F.col("seed") & (F.col("score") >= INSTANCE_SCORE) & form)
+    return found.select("instance", "score"), patterns
+
+
+def _noisy_or(trust: Column) -> Column:
+    return 1 - F.exp(F.sum(F.log(1 - F.least(trust, F.lit(0.999)))))
 
 
 def _scan(docs: DataFrame, id: str, text: str) -> DataFrame:
     body = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     scanned = docs.select(F.col(f"`{id}`").alias("id"), body.alias("_text")).select(
-        "id", row_key(F.col("id"), F.col("_text")).alias("row"),
-        base_spans(F.col("_text")).alias("base"), identifiers(F.col("_text")).alias("tokens"))
+        "id", "_text", row_key(F.col("id"), F.col("_text")).alias("row"), base_spans(F.col("_text")).alias("base")).select(
+        "id", "row", "base", identifiers(F.col("_text"), F.col("base")).alias("tokens"))
     return table(scanned, "pii-scan")
 
 
@@ -111,24 +148,18 @@ def row_key(id: Column, text: Column) -> Column:
     return F.concat_ws("-", id.cast("string"), F.xxhash64(text), F.length(text))
 
 
-def _context(scanned: DataFrame) -> DataFrame:
-    """row -> spans of discovered identifiers."""
-    covers = lambda b: (b.start < F.col("t.end")) & (b.end > F.col("t.start"))
-    begins = lambda b: (b.start >= F.col("t.start")) & (b.start < F.col("t.end"))
-    seen = (scanned.where(F.size("tokens") > 0).select("row", "base", F.explode("tokens").alias("t"))
-            .select("row", "t", F.exists("base", covers).alias("known"), F.exists("base", begins).alias("seed"))
-            .where(F.col("seed") | ~F.col("known")))  # the rest of a seed of several words is no instance
-    edges = (seen.select(F.explode(F.array(F.concat(F.lit("1 "), "t.one"), F.concat(F.lit("2 "), "t.two"))).alias("pattern"),
-                         F.col("t.hit").alias("instance"), "seed")
-             .where(F.length("instance") > 0).groupBy("pattern", "instance").agg(F.max("seed").alias("seed")))
-    known = seen.groupBy(F.col("t.hit").alias("instance")).agg(F.max("seed").alias("seed"))
-    edges = table(edges.drop("seed").join(known, "instance"), "pii-edges")
-    # an identifier has four digits or more, or an @
-    shaped = F.col("instance").contains("@") | (F.length(F.regexp_replace("instance", "[^0-9]", "")) >= 4)
-    found = _learn(edges).where(shaped)
-    span = F.struct(F.lit("context").alias("kind"), F.col("t.start").alias("start"), F.col("t.end").alias("end"), F.col("instance").alias("hit"))
-    return (seen.where(~F.col("known")).withColumn("instance", F.col("t.hit")).join(found, "instance")
-            .groupBy("row").agg(F.array_sort(F.collect_set(span)).cast(SPANS).alias("more")))
+def _context(scanned: DataFrame, docs: DataFrame, id: str, text: str) -> tuple[DataFrame, bool]:
+    """row -> spans of discovered identifiers, and whether texts without a digit or ``@`` may have some."""
+    seen = scanned.where(F.size("tokens") > 0).select("row", F.explode("tokens").alias("t"))
+    edges = (seen.select(F.explode(_patterns(F.col("t.one"), F.col("t.two"))).alias("pattern"),
+                         F.col("t.hit").alias("instance"))
+             .where(F.length("instance") > 0).groupBy("pattern", "instance").agg(F.count(F.lit(1)).alias("times")))
+    known = seen.groupBy(F.col("t.hit").alias("instance")).agg(F.max("t.seed").alias("seed"))
+    found, patterns = _learn(table(edges.join(known, "instance"), "pii-edges"))
+    hits = (seen.where(~F.col("t.seed")).select("row", "t.start", "t.end", F.col("t.hit").alias("instance"))
+            .join(found.select("instance"), "instance").select("row", "start", "end", "instance"))
+    span = F.struct(F.lit("context").alias("kind"), "start", "end", F.col("instance").alias("hit"))
+    return hits.groupBy("row").agg(F.array_sort(F.collect_set(span)).cast(SPANS).alias("more")), False
 
 
 def find_pii(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -139,8 +170,10 @@ def find_pii(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFra
     of ``docs`` are left out.
     """
     scanned = _scan(docs, id, text)
-    rest = scanned.where(F.size("tokens") > 0).join(_context(scanned), "row", "left")
-    plain = scanned.where(F.size("tokens") == 0).withColumn("more", F.array().cast(SPANS))
+    context, anywhere = _context(scanned, docs, id, text)
+    may = F.lit(True) if anywhere else F.size("tokens") > 0
+    rest = scanned.where(may).join(context, "row", "left")
+    plain = scanned.where(~may).withColumn("more", F.array().cast(SPANS))
     out = plain.select("id", "base", "more").unionByName(rest.select("id", "base", "more"))
     return out.select(F.col("id").alias(id), "base", F.concat("base", F.coalesce("more", F.array().cast(SPANS))).alias("spans"))
 
@@ -153,9 +186,12 @@ def redact(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame
     """
     body = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     touched = F.coalesce(F.col(f"`{text}`").rlike(ANY), F.lit(False))
+    scanned = _scan(docs.where(touched), id, text)
+    context, anywhere = _context(scanned, docs, id, text)
+    if anywhere:
+        touched = F.col(f"`{text}`").isNotNull()
     hits = docs.where(touched)
-    scanned = _scan(hits, id, text)
-    spans = (scanned.join(_context(scanned), "row", "left")
+    spans = (scanned.join(context, "row", "full" if anywhere else "left").withColumn("base", F.coalesce("base", F.array().cast(SPANS)))
              .groupBy("row").agg(F.first(F.concat("base", F.coalesce("more", F.array().cast(SPANS)))).alias("_spans"))
              .where(F.size("_spans") > 0).withColumnRenamed("row", "_row"))
     by_start = lambda s: F.transform(F.array_sort(F.transform(s, lambda x: F.struct(

@@ -65,6 +65,21 @@ def test_contexts_find_unseen_identifiers(spark):
     assert got[102] == "" and got[0] == "email:25:42"
 
 
+def _spans(spark, rows):
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    return {r["doc_id"]: r["s"] for r in pii.find_pii(df).select("doc_id", joined(F.col("spans")).alias("s")).collect()}
+
+
+def test_identifiers_of_several_words_are_whole_instances(spark):
+    rows = [(i, f"please ring hotline +1 (487) 555-{7200 + i} if so") for i in range(20)]
+    rows += [(100, "the hotline 0171 234 5678, they say"), (101, "rooms 12 14 of the house"), (102, "hotline 0171 234 5678 +1 (487) 555-7201 x")]
+    got = _spans(spark, rows)
+    assert got[0] == "phone:20:37"
+    assert got[100] == "context:12:26" and got[101] == "" and got[102] == "phone:22:39,context:8:21"
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r["doc_id"]: r["text"] for r in pii.redact(df).collect()}[100] == "the hotline [CONTEXT] they say"
+
+
 def test_redaction_keeps_the_rest(spark):
     rows = [(1, "call +1 (743) 555-3824 or 4111 1111 1111 1111.", "en", 10), (2, "nothing", None, 7), (3, None, "de", None), (None, "at 1.2.3.4", "en", 99)]
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string, n_chars long")

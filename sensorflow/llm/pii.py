@@ -8,6 +8,11 @@ instances, smoothed; an instance's score is 1 for seeds, else the noisy-or of
 its trusted patterns. After ``ROUNDS`` rounds over this graph, instances of a
 high score that are no seeds are reported as ``context`` spans.
 
+A pattern that identifiers follow most of the time, and that stays trusted when
+all words after it count, opens to words without a digit or ``@`` too. Such
+words, and tokens of under four digits, are ordinary words in many places, so
+most of their occurrences must follow trusted patterns.
+
 DataFrame functions only.
 """
 
@@ -30,9 +35,16 @@ KINDS = ("email", "ip", "card", "phone")
 #: A run of digit words with single spaces between, else a word as above.
 _DIGITS = r"\(?+[0-9](?:[0-9()/.-]*[0-9)])?"
 RUN = rf"(?<!\S)(?>\+?+{_DIGITS})(?:\x20(?>{_DIGITS})(?=[^\s\w(+]*+(?!\S)))++\S*+|{TOKEN}"
+#: Where a word begins after white space.
+WORDS = r"(?<=\s)(?=\S)"
 
 #: Rounds, instances that a pattern needs, and the least scores of patterns and instances.
 ROUNDS, MIN_SUPPORT, PATTERN_SCORE, INSTANCE_SCORE = 3, 5, 0.9, 0.95
+#: Share of a pattern's occurrences that identifiers take if it opens to any word, and
+#: share of an ordinary-looking instance's occurrences that follow trusted patterns.
+OPEN_SHARE, INSTANCE_SHARE = 0.5, 0.5
+
+
 def _octets(hit: Column) -> Column:
     """All parts at most 255, whatever their leading zeros."""
     return F.forall(F.split(hit, r"\."), lambda p: let(
@@ -116,19 +128,21 @@ def _learn(edges: DataFrame) -> tuple[DataFrame, DataFrame]:
     for _ in range(ROUNDS):
         patterns = (scored.groupBy("pattern").agg(
             (F.sum("score") / (F.count(F.lit(1)) + 0.5)).alias("trust"), F.sum("score").alias("sum"),
-            F.count(F.lit(1)).alias("n"),
+            F.count(F.lit(1)).alias("n"), F.sum("times").alias("times"),
             F.sum(F.col("seed").cast("int")).alias("seeds"))
             .where((F.col("trust") >= PATTERN_SCORE) & (F.col("n") >= MIN_SUPPORT) & (F.col("seeds") > 0)))
         patterns = table(patterns, "pii-patterns")
         linked = edges.join(patterns.select("pattern", "trust"), "pattern", "left")
         instances = linked.groupBy("instance").agg(
             F.max("seed").alias("seed"),
-            _noisy_or(F.coalesce("trust", F.lit(0.0))).alias("score"))
+            _noisy_or(F.coalesce("trust", F.lit(0.0))).alias("score"), _after(F.col("trust").isNotNull()).alias("after"),
+            F.sum(F.when(F.col("pattern").startswith("1 "), F.col("times"))).alias("times"))
         instances = table(instances.withColumn("score", F.when(F.col("seed"), 1.0).otherwise(F.col("score"))), "pii-instances")
         scored = edges.join(instances.select("instance", "score"), "instance")
     # a word with an @ or four digits is an identifier by its form wherever it stands
     form = F.col("instance").contains("@") | (F.length(F.regexp_replace("instance", "[^0-9]", "")) >= 4)
-    found = instances.where(~F.col("seed") & (F.col("score") >= INSTANCE_SCORE) & form)
+    found = instances.where(~F.col("seed") & (F.col("score") >= INSTANCE_SCORE)
+                            & (form | (F.col("after") >= INSTANCE_SHARE * F.col("times"))))
     return found.select("instance", "score"), patterns
 
 
@@ -136,6 +150,67 @@ def _noisy_or(trust: Column) -> Column:
     return 1 - F.exp(F.sum(F.log(1 - F.least(trust, F.lit(0.999)))))
 
 
+def _after(trusted: Column) -> Column:
+    """Occurrences of an instance after trusted patterns; each has one pattern of one word and one of two."""
+    of = lambda k: F.sum(F.when(trusted & F.col("pattern").startswith(k), F.col("times")).otherwise(0))
+    return F.greatest(of("1 "), of("2 "))
+
+
+def _starts(pieces: Column) -> Column:
+    """Offset of each piece, summed in chunks, so that long texts do not copy long arrays."""
+    size = 64
+
+    def sums(lengths: Column, at: Column) -> Column:
+        return F.aggregate(lengths, F.struct(at.alias("at"), F.array().cast("array<int>").alias("all")),
+                           lambda a, n: F.struct((a.at + n).alias("at"), F.concat(a.all, F.array(a.at)).alias("all")), lambda a: a.all)
+
+    def build(n: Column) -> Column:
+        chunks = F.transform(F.sequence(F.lit(0), F.floor((F.size(n) - 1) / size).cast("int")), lambda c: F.slice(n, c * size + 1, F.lit(size)))
+        return let(chunks, lambda x: F.flatten(F.zip_with(
+            x, sums(F.transform(x, lambda c: F.aggregate(c, F.lit(0), lambda a, b: a + b)), F.lit(0)), sums)))
+    return let(F.transform(pieces, F.length), build)
+
+
+def _words(docs: DataFrame, id: str, text: str, start: Column | None = None) -> DataFrame:
+    """row, word, one, two (and start) of every word of every text."""
+    body = F.coalesce(F.col(f"`{text}`"), F.lit(""))
+    split = docs.select(row_key(F.col(f"`{id}`"), body).alias("row"), F.split(body, WORDS).alias("pieces"))
+    norm = split.select("row", "pieces", F.transform("pieces", _word).alias("norm"))
+    parts = [F.col("pieces").alias("piece"), F.concat(F.array(F.lit("")), "norm").alias("one"),
+             F.concat(F.array(F.lit(""), F.lit("")), "norm").alias("before")]
+    if start is not None:
+        parts.append(start.alias("start"))
+    word = norm.select("row", F.explode(F.arrays_zip(*parts)).alias("w")).select("row", "w.*").where(F.col("piece").isNotNull())
+    return (word.withColumn("word", F.regexp_extract("piece", r"^\S*", 0)).where("word != ''")
+            .withColumn("two", F.concat("before", F.lit(" "), "one")).drop("piece", "before"))
+
+
+def _open(docs: DataFrame, id: str, text: str, patterns: DataFrame) -> DataFrame | None:
+    """row, start, end, instance of words without a digit or ``@`` that trusted patterns vouch for; None without such patterns."""
+    if patterns.isEmpty():
+        return None
+    at = _patterns(F.col("one"), F.col("two"))
+    count = F.count(F.lit(1))
+    all_ = _words(docs, id, text).select(F.explode(at).alias("pattern")).join(patterns.select("pattern"), "pattern")
+    opened = all_.groupBy("pattern").agg(count.alias("all")).join(patterns, "pattern").where(F.col("times") >= OPEN_SHARE * F.col("all"))
+    opened = table(opened.drop("all"), "pii-opened")
+    if opened.isEmpty():
+        return None
+    plain = lambda w: w.where(~F.col("word").rlike(ANY)).withColumn("instance", _name(F.col("word"))).where("instance != ''")
+    words = plain(_words(docs, id, text))
+    edges = table(words.select(F.explode(at).alias("pattern"), "instance").join(opened.select("pattern"), "pattern")
+                  .groupBy("pattern", "instance").agg(count.alias("times")), "pii-open-edges")
+    more = edges.groupBy("pattern").agg(count.alias("more"))
+    sure = (opened.join(more, "pattern").withColumn("trust", F.col("sum") / (F.col("n") + F.col("more") + 0.5))
+            .where(F.col("trust") >= PATTERN_SCORE).select("pattern", "trust"))
+    likely = table(edges.join(sure, "pattern").groupBy("instance").agg(_noisy_or(F.col("trust")).alias("score"), _after(F.lit(True)).alias("after"))
+                   .where(F.col("score") >= INSTANCE_SCORE), "pii-likely")
+    total = words.select("instance").join(likely.select("instance"), "instance").groupBy("instance").agg(count.alias("all"))
+    found = table(likely.join(total, "instance").where(F.col("after") >= INSTANCE_SHARE * F.col("all")).select("instance"), "pii-open-found")
+    placed = plain(_words(docs, id, text, _starts(F.col("pieces"))))
+    return placed.join(found, "instance").select("row", "start", (F.col("start") + F.length("word")).alias("end"), "instance")
+
+
 def _scan(docs: DataFrame, id: str, text: str) -> DataFrame:
     body = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     scanned = docs.select(F.col(f"`{id}`").alias("id"), body.alias("_text")).select(
@@ -158,8 +233,11 @@ def _context(scanned: DataFrame, docs: DataFrame, id: str, text: str) -> tuple[D
     found, patterns = _learn(table(edges.join(known, "instance"), "pii-edges"))
     hits = (seen.where(~F.col("t.seed")).select("row", "t.start", "t.end", F.col("t.hit").alias("instance"))
             .join(found.select("instance"), "instance").select("row", "start", "end", "instance"))
+    more = _open(docs, id, text, patterns)
+    if more is not None:
+        hits = hits.unionByName(more)
     span = F.struct(F.lit("context").alias("kind"), "start", "end", F.col("instance").alias("hit"))
-    return hits.groupBy("row").agg(F.array_sort(F.collect_set(span)).cast(SPANS).alias("more")), False
+    return hits.groupBy("row").agg(F.array_sort(F.collect_set(span)).cast(SPANS).alias("more")), more is not None
 
 
 def find_pii(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -80,6 +80,31 @@ def test_identifiers_of_several_words_are_whole_instances(spark):
     assert {r["doc_id"]: r["text"] for r in pii.redact(df).collect()}[100] == "the hotline [CONTEXT] they say"
 
 
+def test_trusted_patterns_admit_any_word(spark):
+    rows = [(i, f"text to write to mailbox user{i}@example.com now and then") for i in range(60)]
+    rows += [(100, "please write to mailbox user77[at]example now"), (101, "please write to mailbox jane[at]host, as said"),
+             (102, "write to mailbox K-412 please"), (103, "write to mailbox please"), (104, "only jane[at]host")]
+    rows += [(200 + i, f"chapter {i} now please and write to") for i in range(9)]
+    got = _spans(spark, rows)
+    assert got[100] == "context:24:41" and got[101] == "context:24:37" and got[102] == "context:17:22" and got[104] == "context:5:17"
+    assert got[103] == "" and all(got[200 + i] == "" for i in range(9))
+    df = spark.createDataFrame([*rows, (None, None)], "doc_id long, text string")
+    out = {r["doc_id"]: r["text"] for r in pii.redact(df).collect()}
+    assert out[101] == "please write to mailbox [CONTEXT] as said" and out[104] == "only [CONTEXT]" and out[103] == "write to mailbox please" and out[None] is None
+    assert len(out) == len(rows) + 1
+
+
+def test_offsets_of_words(spark):
+    texts = ["a", "  a bb\n ccc ", "é😀 x", "w " * 1000, ""]
+    df = _docs(spark, texts)
+    got: dict = {}
+    for r in pii._words(df.withColumn("doc_id", F.col("doc_id")), "doc_id", "text", pii._starts(F.col("pieces"))).collect():
+        got.setdefault(r["row"].split("-")[0], []).append((r["start"], r["word"]))
+    import re
+    for i, t in enumerate(texts):
+        assert sorted(got.get(str(i), [])) == [(m.start(), m[0]) for m in re.finditer(r"\S+", t)]
+
+
 def test_redaction_keeps_the_rest(spark):
     rows = [(1, "call +1 (743) 555-3824 or 4111 1111 1111 1111.", "en", 10), (2, "nothing", None, 7), (3, None, "de", None), (None, "at 1.2.3.4", "en", 99)]
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string, n_chars long")

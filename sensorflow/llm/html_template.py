@@ -10,8 +10,8 @@
    their paths they are the template. What lies between two neighbours of a
    template is a slot.
 3. Slots are judged by their role: tag and class names, text mass, share of
-   link text, share of text that repeats over the pages. The frame around the
-   main slot, and the frames inside it that hold other matter, go to the
+   link text. The frame around the main slot, the frames inside it that hold
+   other matter, and the classes of text that repeat over the pages go to the
    extraction, which reads every page once more.
 
 A host with few pages takes the template of all pages together; a page that
@@ -53,6 +53,8 @@ MAIN_WORDS = frozenset("article post entry content main story text".split())
 
 #: Pages that a host needs for a template of its own, and the share of them that a frame needs.
 MIN_PAGES, SUPPORT = 3, 0.6
+#: Share of the main frame's text from which repeated text is copies of an article, no template.
+COPIED = 0.5
 #: Host under which the template of all pages goes.
 ALL = "*"
 
@@ -177,6 +179,11 @@ def _outer(path: tuple[str, ...]) -> bool:
     return False
 
 
+def text_token(text: str) -> int:
+    """Token of a text: an odd number, so never 0."""
+    return xxhash.xxh3_64_intdigest(text.encode("utf-8", "surrogatepass")) >> 1 | 1
+
+
 TOKENS = "host string, page long, path string, token long, n int, chars long, linked long, place int"
 
 
@@ -195,11 +202,11 @@ def _tokens(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for path, text in blocks(page or ""):
                 chars[path] += len(text)
                 linked[path] += len(text) if any(s.partition(".")[0] == "a" for s in path) else 0
-                texts[path, xxhash.xxh3_64_intdigest(text.encode("utf-8", "surrogatepass")) >> 1 | 1] += 1
+                texts[path, text_token(text), len(text)] += 1
             for path, n in starts.items():
                 rows.append((host, key, ">".join(path), 0, n, chars[path], linked[path], first[path]))
-            for (path, h), n in texts.items():
-                rows.append((host, key, ">".join(path), h, n, 0, 0, first.get(path, 0)))
+            for (path, h, size), n in texts.items():
+                rows.append((host, key, ">".join(path), h, n, n * size, 0, first.get(path, 0)))
         yield pd.DataFrame(rows, columns=[c.split()[0] for c in TOKENS.split(", ")])
 
 
@@ -218,13 +225,10 @@ def main_frame(rows: pd.DataFrame, pages: int) -> tuple[str, list[str]]:
         return "", []
     mass: dict[tuple[str, ...], float] = {}
     link: dict[tuple[str, ...], float] = {}
-    fixed: dict[tuple[str, ...], float] = defaultdict(float)
     for r in rows.itertuples():
         path = tuple(r.path.split(">"))
         if r.token == 0:
             mass[path], link[path] = r.chars, r.linked
-        elif r.df >= max(MIN_PAGES, SUPPORT * pages):  # a text on most pages is the template's
-            fixed[path] += r.total
 
     def held(p: tuple[str, ...]) -> float:
         """Text in the slots of a frame, but for links and barred parts."""
@@ -244,17 +248,36 @@ def main_frame(rows: pd.DataFrame, pages: int) -> tuple[str, list[str]]:
     best = named[-1] if best_role else max((p for p in rich if held(p) >= 0.9 * whole), key=len)
     other = [p for p in nested if p[:len(best)] == best and len(p) > len(best)
              and (barred(p[-1]) or mass.get(p, 0) and link.get(p, 0) > 0.8 * mass[p] and p[-1].split(".")[0] in ("div", "section", "ul", "ol"))]
-    other += [p for p in fixed if p[:len(best)] == best and len(p) > len(best) and barred(p[-1])]
     return ">".join(best), sorted({">".join(p) for p in other})
 
 
+def constant(rows: pd.DataFrame, pages: int, frame: str) -> list[str]:
+    """Text tokens of the template, as ``token path``: classes of texts on most pages.
+
+    A class that is half of the text of the frame or more, by page, is an
+    article that the host has several times, and so are classes that are half
+    of it together.
+    """
+    inside = (rows["path"] == frame) | rows["path"].str.startswith(f"{frame}>") if frame else rows["path"].notna()
+    mass = rows.loc[inside & (rows["token"] == 0), "chars"].sum() / pages
+    texts = rows[(rows["token"] != 0) & (rows["df"] >= max(MIN_PAGES, SUPPORT * pages))].assign(inside=inside)
+    out, held = [], 0.0
+    for (df, _, _), g in texts.groupby(["df", "total", "fp"]):
+        size = g.loc[g["inside"], "chars"].sum() / df
+        if size < COPIED * mass or size == 0:
+            held += size
+            out += [(bool(i), f"{t} {p}") for t, p, i in zip(g["token"], g["path"], g["inside"])]
+    return sorted(x for i, x in out if not i or held < COPIED * mass)
+
+
 def _template(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-    frame, other = main_frame(rows, int(rows["pages"].iloc[0]))
-    return pd.DataFrame({"host": [key[0]], "frame": [frame], "other": [other]})
+    pages = int(rows["pages"].iloc[0])
+    frame, other = main_frame(rows, pages)
+    return pd.DataFrame({"host": [key[0]], "frame": [frame], "other": [other], "same": [constant(rows, pages, frame)]})
 
 
 def templates(pages: DataFrame) -> DataFrame:
-    """host, frame, other for each host of pages(host, key, html) with ``MIN_PAGES`` pages, and for ``ALL``.
+    """host, frame, other, same for each host of pages(host, key, html) with ``MIN_PAGES`` pages, and for ``ALL``.
 
     Tokens are counted over all pages. Only those on enough pages reach the
     deduction of a host, so its group is bounded by the length of a page.
@@ -272,12 +295,16 @@ def templates(pages: DataFrame) -> DataFrame:
     counts = counts.where(F.col("pages") >= MIN_PAGES).unionByName(total.where("pages > 0"))
     frequent = by_host.unionByName(of_all).join(counts, "host").where(
         (F.col("df") >= SUPPORT * F.col("pages")) | (F.col("token") == 0) & (F.col("chars") * 100 * F.col("pages") >= F.col("df")) & (F.col("df") * 20 >= F.col("pages")))
-    return frequent.groupBy("host").applyInPandas(_template, "host string, frame string, other array<string>")
+    return frequent.groupBy("host").applyInPandas(_template, "host string, frame string, other array<string>, same array<string>")
 
 
-def extract(page: str | None, frame: str | None, other) -> str:
-    """Text of the slots inside ``frame`` but those in ``other`` frames; without the frame, what the page's own tags give."""
-    found = list(blocks(page or ""))
+def extract(page: str | None, frame: str | None, other, same=None) -> str:
+    """Text of the slots inside ``frame`` but those in ``other`` frames; without the frame, what the page's own tags give.
+
+    Texts in ``same`` belong to the template and are left out wherever they lie.
+    """
+    fixed = frozenset(same if same is not None else ())
+    found = [(p, t) for p, t in blocks(page or "") if not fixed or f"{text_token(t)} {'>'.join(p)}" not in fixed]
     if not found:
         return ""
     cut = [tuple(x.split(">")) for x in (other if other is not None else [])]
@@ -309,11 +336,11 @@ def main_text(pages: DataFrame, id: str = "page_id", url: str = "url", html: str
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            text = [extract(h, f if isinstance(f, str) else fallback and fallback["frame"], o if isinstance(f, str) else fallback and fallback["other"])
-                    for h, f, o in zip(pdf["html"], pdf["frame"], pdf["other"])]
+            text = [extract(h, f, o, s) if isinstance(f, str) else extract(h, fallback and fallback["frame"], fallback and fallback["other"])
+                    for h, f, o, s in zip(pdf["html"], pdf["frame"], pdf["other"], pdf["same"])]
             yield pd.DataFrame({"id": pdf["id"].astype("Int64"), "url": pdf["url"], "text": text})
 
-    out = own.select(F.col("id").cast("long").alias("id"), "url", "html", "frame", "other").mapInPandas(run, "id long, url string, text string")
+    out = own.select(F.col("id").cast("long").alias("id"), "url", "html", "frame", "other", "same").mapInPandas(run, "id long, url string, text string")
     return out.select(F.col("id").alias(id), F.col("url").alias(url), "text")
 
 

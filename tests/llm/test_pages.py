@@ -46,6 +46,17 @@ def test_frame_of_a_host_without_telling_names(spark):
     assert all(f"Long story {i} with many words in it.\nAnd more {i} of it." in t for i, t in got.items())
 
 
+def test_text_that_repeats_over_the_pages_is_template(spark):
+    page = ("<html><body><div><div><p>Read our terms.<p>Long story {n} with many words in it.<p>And more {n} of it.</div></div>"
+            "<div>same line</div></body></html>")
+    copy = page.format(n="copied")
+    rows = [(i, "http://z.org/", page.format(n=i)) for i in range(8)] + [(8 + i, "http://y.org/", copy if i < 7 else page.format(n=i)) for i in range(9)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r["page_id"]: r["text"] for r in html_template.main_text(df).collect()}
+    assert {i: got[i] for i in range(8)} == {i: f"Long story {i} with many words in it.\nAnd more {i} of it." for i in range(8)}
+    assert all(got[8 + i] == "Long story {0} with many words in it.\nAnd more {0} of it.".format("copied" if i < 7 else i) for i in range(9))
+
+
 def test_main_text_of_odd_rows(spark):
     rows = [(None, None, None), (1, "http://a.org", ""), (2, "x", "plain text"), (3, "http://a.org", "<p>a<p>b < c"), (3, "http://a.org", "<p>a<p>b < c"),
             (4, "http://b.org", "<article>" + "<p>" + "word " * 40000 + "</article>"), (5, "http://c.org", "<nav>only menu</nav><script>x"),

@@ -127,3 +127,25 @@ def joined(spans: Column) -> Column:
 def of_kind(spans: Column, kind: str) -> Column:
     """Number of spans of a kind."""
     return F.size(F.filter(spans, lambda s: s.kind == kind)).cast("long")
+
+
+def components(links: DataFrame) -> DataFrame:
+    """node and comp (the least node reachable) of every node that ``links(u, v)`` name.
+
+    Labels are lowered to the least label of the neighbours and jump to the
+    label of their label, until none changes; each round is a written table. A
+    node with a third of all links, and a label that a third of all nodes have,
+    are spread over join keys.
+    """
+    both = F.array(F.struct(F.col("u").alias("a"), F.col("v").alias("b")), F.struct(F.col("v").alias("a"), F.col("u").alias("b")))
+    edges = table(links.where("u <> v").select(F.explode(both).alias("e")).select("e.a", "e.b").distinct(), "links")
+    labels = table(edges.groupBy("a").agg(F.least("a", F.min("b")).alias("label")), "labels")
+    while True:
+        near = spread_join(edges, labels.withColumnRenamed("a", "b"), "b", "a").groupBy("a").agg(F.min("label").alias("near"))
+        step = labels.join(near, "a").select("a", "label", F.least("label", "near").alias("new"))
+        far = labels.select(F.col("a").alias("new"), F.col("label").alias("far"))
+        moved = table(spread_join(step, far, "new", "a", "left").select(
+            "a", "label", F.least("new", F.coalesce("far", "new")).alias("new")), "labels")
+        labels = moved.select("a", F.col("new").alias("label"))
+        if moved.where("new <> label").isEmpty():
+            return labels.select(F.col("a").alias("node"), F.col("label").alias("comp"))

@@ -149,6 +149,9 @@ def _stage(last: int, k: int):
         for x in here["floors"] if here["floors"] is not None else ():
             floor[x["slot"]] = max(1, x["floor"])
         kept = (sums > 0) & (sums + rest[:, None] >= floor[:, None])
+        for i in np.flatnonzero(rest == 0):  # final sums: the k best of a block are enough
+            kept[i], best = False, best_of(sums[i], k)
+            kept[i, best] = True
         at, place = np.nonzero(kept)
         tops = [(i, best_of(sums[i], k)) for i in np.unique(at)]
         return pd.DataFrame([(key[0], key[1], at.astype("int32").tobytes(), place.astype("int32").tobytes(), sums[at, place].tobytes(),

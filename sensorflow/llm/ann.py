@@ -182,11 +182,15 @@ def nearest(qid: np.ndarray, q: np.ndarray, vid: np.ndarray, v: np.ndarray, k: i
     members = np.split(np.arange(len(group)), at[1:])
     table_ = v[at]
     rows = []
-    wide = min(len(table_), k + 13)  # rounding of the product may change near ties, so some more are checked
+    # the k + 1 best vectors (one may be the query's own), and all that the rounding of the product cannot tell from the last of them
+    wide = min(len(table_), k + 1)
+    longest = np.sqrt((table_ * table_).sum(axis=1).max())
     for a in range(0, len(q), 256):
         s = q[a:a + 256] @ table_.T
-        cand = np.argpartition(-s, wide - 1, axis=1)[:, :wide] if wide < len(table_) else np.tile(np.arange(len(table_)), (len(s), 1))
-        for i, c in enumerate(cand):
+        last = np.partition(s, len(table_) - wide, axis=1)[:, len(table_) - wide]
+        slack = 4 * table_.shape[1] * np.finfo(float).eps * longest * np.sqrt((q[a:a + 256] ** 2).sum(axis=1))
+        for i in range(len(s)):
+            c = np.flatnonzero(s[i] >= last[i] - slack[i])
             exact = _exact(q[a + i], table_[c])
             ids = np.concatenate([vid[members[j]] for j in c])
             score = np.repeat(exact, [len(members[j]) for j in c])

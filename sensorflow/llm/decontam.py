@@ -21,6 +21,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sensorflow.llm.common import tidy
 from sensorflow.llm.near_dup import Shingler
 
 #: Words of a seed (the least tile), first search length, and the share of an item that condemns a document.
@@ -147,6 +148,7 @@ PAIRS = "doc_id long, item_id long, item_words long, covered long, n_tiles long,
 
 
 def _scan(items, least_share: float):
+    @tidy
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         bench, folder = Items(*items.value), Words()
         for pdf in batches:
@@ -196,6 +198,7 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id: str = "doc_id",
 
     def clean(items):
         @F.pandas_udf("boolean")
+        @tidy
         def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
             bench, folder = Items(*items.value), Words()
             for texts in batches:

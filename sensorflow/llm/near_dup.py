@@ -28,7 +28,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sensorflow.llm.common import group_min, spread_join, table
+from sensorflow.llm.common import group_min, spread_join, table, tidy
 
 #: Signature values of a band, and the chance to miss a pair at the threshold.
 ROWS, MISS = 5, 1e-7
@@ -143,25 +143,33 @@ class Signer:
 
 
 def _signed(width: int, rows: int, bands: int):
+    @tidy
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         shingler, signer = Shingler(width), Signer(rows, bands)
         for pdf in batches:
             n, key, keys = [], [], []
             for s in shingler.sets(pdf["text"].tolist()):
                 n.append(len(s))
-                key.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None)
+                key.append(_key(s) if len(s) else None)
                 keys.append(signer.keys(s) if len(s) else None)
             yield pd.DataFrame({"id": pdf["id"].astype("Int64"), "n": n, "skey": key, "bands": keys})
     return run
 
 
-def _sets(width: int):
+def _key(s: np.ndarray) -> bytes:
+    return hashlib.blake2b(s.tobytes(), digest_size=16).digest()
+
+
+def _sets(width: int, keyed: bool = False):
+    @tidy
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         shingler = Shingler(width)
         for pdf in batches:
             for at in range(0, len(pdf), 500):
                 part = pdf.iloc[at:at + 500]
-                yield pd.DataFrame({"node": part["id"].to_numpy(), "s": [s.view(np.int64) for s in shingler.sets(part["text"].tolist())]})
+                sets = list(shingler.sets(part["text"].tolist()))
+                out = pd.DataFrame({"node": part["id"].to_numpy(), "s": [s.view(np.int64) for s in sets]})
+                yield out.assign(skey=[_key(s) if len(s) else None for s in sets]) if keyed else out
     return run
 
 
@@ -254,23 +262,44 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", wid
     words than ``width`` has its whole sequence as its one shingle, and a NULL,
     empty or blank text has none and is linked with nothing. Two documents are
     linked if 100 * intersection >= percent * union. component_id is the least
-    id reachable. Rows that repeat an id are one document (linked if any of its
-    texts is). A row with a NULL id is linked with nothing and kept.
+    id reachable. Rows that repeat an id are one document, whose texts are linked
+    with each other; n_shingles is that of the row. A row with a NULL id is
+    linked with nothing and kept. An empty table gives no rows; texts of any
+    length are read whole; other columns are left out.
     """
     read = docs.select(F.col(f"`{id}`").cast("long").alias("id"), F.col(f"`{text}`").alias("text"))
     bands = bands_for(percent, rows)
     signed = table(read.mapInPandas(_signed(width, rows, bands), "id long, n long, skey binary, bands array<long>"), "dup-signed", BATCH)
-    known = table(group_min(signed.select("id", "n", F.expr("case when id is not null then skey end").alias("skey")), "skey", "id", "node"), "dup-known")
-    firsts = signed.select("id", "n", "skey", "bands").join(
-        known.where("id = node").select("id", "skey").distinct(), ["id", "skey"], "left_semi")
-    exploded = firsts.select(F.col("id").alias("node"), F.explode("bands").alias("band"))
+    known = table(group_min(signed.select("id", "n", F.expr("case when id is not null then skey end").alias("skey")), "skey", "id", "least")
+                  .withColumn("node", F.col("least")), "dup-known")
+    # an id with several sets would name several nodes: the sets that it is the least id of get numbers of their own
+    several = table(known.where("skey is not null").groupBy("id").agg(F.min("skey").alias("a"), F.max("skey").alias("b")).where("a <> b").select("id"), "dup-several")
+    repeats = not several.isEmpty()
+    if repeats:
+        own = F.when(F.col("own"), F.xxhash64("skey").bitwiseOR(F.lit(-2**63))).otherwise(F.col("least"))
+        known = table(spread_join(known, several.select(F.col("id").alias("least"), F.lit(True).alias("own")), "least", "skey", "left")
+                      .select("id", "n", "skey", "least", own.alias("node")), "dup-known")
+    heads = known.where("id = least").select("id", "skey", "node").distinct()
+    firsts = signed.select("id", "n", "skey", "bands").join(heads, ["id", "skey"])
+    exploded = firsts.select("node", F.explode("bands").alias("band"))
     shared = exploded.groupBy("band").agg(F.min("node").alias("a"), F.max("node").alias("b")).where("a < b").select("band")
     buckets = table(exploded.join(shared, "band", "left_semi").distinct(), "dup-buckets")
-    nodes = table(buckets.select("node").distinct(), "dup-nodes")
-    size = known.where("id = node").groupBy("node").agg(F.max("n").alias("n"))
+    nodes = buckets.select("node")
+    if repeats:
+        texts_of = known.join(several, "id", "left_semi").select("id", "node").distinct()
+        same = table(texts_of.join(texts_of.groupBy("id").agg(F.min("node").alias("u")), "id").where("u <> node").select("u", F.col("node").alias("v")).distinct(), "dup-same")
+        nodes = nodes.union(same.select("u")).union(same.select("v"))
+    nodes = table(nodes.distinct(), "dup-nodes")
+    size = known.where("id = least").groupBy("node").agg(F.max("n").alias("n"))
     comps = table(size.join(nodes, "node", "left_semi").select("node", "n", F.col("node").alias("comp")), "dup-comps")
-    texts = read.join(nodes.withColumnRenamed("node", "id"), "id", "left_semi")
-    sets = table(texts.mapInPandas(_sets(width), "node long, s array<long>").distinct(), "dup-sets", BATCH)
+    if repeats:
+        comps = merge(comps, same)
+        wanted = heads.join(nodes, "node", "left_semi")
+        found = read.join(wanted.select("id").distinct(), "id", "left_semi").mapInPandas(_sets(width, keyed=True), "node long, s array<long>, skey binary")
+        sets = table(found.withColumnRenamed("node", "id").join(wanted, ["id", "skey"]).select("node", "s").dropDuplicates(["node"]), "dup-sets", BATCH)
+    else:
+        texts = read.join(nodes.withColumnRenamed("node", "id"), "id", "left_semi")
+        sets = table(texts.mapInPandas(_sets(width), "node long, s array<long>").distinct(), "dup-sets", BATCH)
     tested = None
     for k in range(STARS):
         pairs = table(_star(buckets, comps, tested, k, percent), "dup-pairs")
@@ -279,14 +308,25 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", wid
     pairs = table(_rest(buckets, comps, sets, tested, percent), "dup-pairs")
     comps = merge(comps, table(_confirmed(pairs, sets, percent), "dup-links"))
     comp = comps.groupBy("node").agg(F.min("comp").alias("comp"))
-    out = spread_join(known, comp, "node", "id", "left").withColumn("component_id", F.coalesce("comp", "node", "id"))
-    # rows that repeat an id with other texts follow the least component
+    out = spread_join(known, comp, "node", "id", "left")
+    if repeats:  # labels are not ids then
+        out = group_min(out, "comp", "id", "root").drop("comp").withColumnRenamed("root", "comp")
+    out = out.withColumn("component_id", F.coalesce("comp", "least", "id"))
+    # a row without words of an id that has others is in their component
+    blank = known.where("id is not null and skey is null").select("id").distinct()
+    mixed = table(known.where("skey is not null").join(blank, "id", "left_semi").select("id").distinct(), "dup-mixed-ids")
+    if not mixed.isEmpty():
+        theirs = out.where("skey is not null").join(mixed, "id", "left_semi").groupBy("id").agg(F.min("component_id").alias("theirs"))
+        out = spread_join(out, theirs, "id", "node", "left").withColumn("component_id", F.coalesce("theirs", "component_id"))
     return out.select(F.col("id").alias(id), F.col("n").alias("n_shingles"), "component_id",
                       F.coalesce(F.col("id") == F.col("component_id"), F.lit(True)).alias("kept"))
 
 
 def drop_near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of ``docs`` but those of documents that are in the component of a lesser doc_id."""
+    """The rows of ``docs``, whole, but those of documents that are in the component of a lesser doc_id.
+
+    Rows without an id or a text stay; all rows of an id stay or go together.
+    """
     gone = near_duplicates(docs, width=width, percent=percent).where(~F.col("kept")).select("doc_id").distinct()
     return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
 

@@ -19,6 +19,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sensorflow.llm.common import tidy
+
 #: Limits of a bin: tokens, segments, loss-bearing tokens; and the pieces that wait at most.
 TOKENS, SEGMENTS, LOSS, WINDOW = 1024, 64, 1024, 256
 #: Fixed value: how this vocabulary's tokenizer splits a text.
@@ -31,10 +33,12 @@ class Tokenizer:
     ``path`` is the vocabulary in ranks, ``added`` the tokens that it lacks and
     the JSON form has (text -> id): each stands for its id wherever a text holds
     it. With them the ids equal those of the JSON form; without, an added token
-    is text like any other.
+    is text like any other. The ranks library gives up on runs of about a
+    million white-space characters; such a text is encoded by the JSON form
+    at ``whole``, which is slower and has no such limit.
     """
 
-    def __init__(self, path: str, added: dict[str, int] | None = None):
+    def __init__(self, path: str, added: dict[str, int] | None = None, whole: str | None = None):
         import base64
 
         import tiktoken
@@ -42,12 +46,32 @@ class Tokenizer:
         with open(path, "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         self.encoding = tiktoken.Encoding("bytes", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=added or {})
+        self.added, self.path, self.whole = added, whole, None
 
     def ids(self, text: str) -> np.ndarray:
-        ids = self.encoding.encode(text, allowed_special="all")
+        try:
+            ids = self.encoding.encode(text, allowed_special="all")
+        except ValueError:
+            if self.path is None:
+                raise
+            ids = self._by_whole(text)
         ids.append(0)
         return np.array(ids, "<u4")
 
+    def _by_whole(self, text: str) -> list[int]:
+        if self.whole is None:
+            import tokenizers
+
+            self.whole = tokenizers.Tokenizer.from_file(self.path)
+            self.whole.encode_special_tokens = not self.added
+        return self.whole.encode(text, add_special_tokens=False).ids
+
+    def bears_loss(self, ids: np.ndarray, prompt: str) -> np.ndarray:
+        """Running count (one longer than ``ids``) of the tokens that do not lie whole in ``prompt``, the beginning of their text."""
+        ends = np.cumsum([len(self.encoding.decode_single_token_bytes(i)) for i in ids[:-1].tolist()])
+        free = np.append(ends <= len(prompt.encode()), False)
+        return np.concatenate(([0], np.cumsum(~free)))
+
 
 class Packer:
     """Places pieces into bins; closed bins come out as lists of (key, start, length).
@@ -152,12 +176,13 @@ class Packer:
 PIECES = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 
 
-def _pack(path: str, added: dict[str, int] | None, limits: tuple[int, int, int], window: int):
+def _pack(path: str, added: dict[str, int] | None, whole: str | None, limits: tuple[int, int, int], window: int):
+    @tidy
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyspark import TaskContext
 
         sequence = TaskContext.get().partitionId() << 40
-        tokenizer, packer = Tokenizer(path, added), Packer(*limits, window)
+        tokenizer, packer = Tokenizer(path, added, whole), Packer(*limits, window)
         rows: list[tuple] = []
         size = 0
 
@@ -177,9 +202,10 @@ def _pack(path: str, added: dict[str, int] | None, limits: tuple[int, int, int],
                 sequence += 1
 
         for pdf in batches:
-            for doc, text in zip(pdf["doc_id"], pdf["text"]):
+            for doc, text, prompt in zip(pdf["doc_id"], pdf["text"], pdf["prompt"]):
                 ids = tokenizer.ids(text or "")
-                closed(packer.add((None if pd.isna(doc) else int(doc), ids), 0, len(ids)))
+                running = None if pd.isna(prompt) else tokenizer.bears_loss(ids, (text or "")[:max(0, int(prompt))])
+                closed(packer.add((None if pd.isna(doc) else int(doc), ids), 0, len(ids), running))
                 if size > 1 << 20:
                     yield out()
                     rows, size = [], 0
@@ -191,20 +217,25 @@ def _pack(path: str, added: dict[str, int] | None, limits: tuple[int, int, int],
 
 def pack(docs: DataFrame, tokenizer: str, id: str = "doc_id", text: str = "text", tokens: int = TOKENS,
          segments: int = SEGMENTS, loss: int = LOSS, window: int = WINDOW,
-         added: dict[str, int] | None = None) -> DataFrame:
+         added: dict[str, int] | None = None, whole: str | None = None, prompt: str | None = None) -> DataFrame:
     """One row per piece: doc_id, start, length, ids (little-endian 32-bit), doc_tokens, sequence_id, offset.
 
     A document is its ids and a last id 0, so a NULL or empty text is that one
     id. Every id is in exactly one piece; the pieces of a sequence lie without
-    gaps from offset 0. All tokens of a document bear loss. Rows are packed one
-    by one, whether they repeat or have no id; other columns are left out.
-    ``tokenizer`` is a path of the ranks file that every executor can read,
-    ``added`` the tokens of the JSON form that the ranks lack (``added_tokens``).
+    gaps from offset 0. Rows are packed one by one, whether they repeat or have
+    no id; an empty table gives no rows; texts of any length are packed whole;
+    other columns are left out. ``tokenizer`` is a path of the ranks file that
+    every executor can read, ``added`` the tokens of the JSON form that the ranks
+    lack (``added_tokens``), ``whole`` the path of the JSON form, for texts that
+    the ranks library cannot encode. ``prompt`` names a column with the number of
+    leading code points of a row that bear no loss (a prompt); NULL, or no such
+    column: all tokens bear loss. The last id of a document bears loss.
     """
     if tokens & (tokens - 1):
         raise ValueError("tokens must be a power of two")
-    read = docs.select(F.col(f"`{id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
-    out = read.mapInPandas(_pack(tokenizer, added, (tokens, segments, loss), window), PIECES)
+    read = docs.select(F.col(f"`{id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"),
+                       (F.col(f"`{prompt}`") if prompt else F.lit(None)).cast("long").alias("prompt"))
+    out = read.mapInPandas(_pack(tokenizer, added, whole, (tokens, segments, loss), window), PIECES)
     return out.withColumnRenamed("doc_id", id)
 
 
@@ -219,14 +250,19 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
-def added_tokens() -> dict[str, int]:
-    """Text -> id of the tokens that the vocabulary's JSON form adds to the ranks."""
+def whole_path() -> str:
+    """The JSON form of the vocabulary."""
     import public_tokenizers
 
-    with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as f:
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def added_tokens() -> dict[str, int]:
+    """Text -> id of the tokens that the vocabulary's JSON form adds to the ranks."""
+    with open(whole_path(), encoding="utf-8") as f:
         return {t["content"]: t["id"] for t in json.load(f)["added_tokens"]}
 
 
 def op5_packing(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    return digest_pieces(pack(docs, tokenizer_path(), added=added_tokens()))
+    return digest_pieces(pack(docs, tokenizer_path(), added=added_tokens(), whole=whole_path()))

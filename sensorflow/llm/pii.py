@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sensorflow.llm.common import SPANS, joined, let, of_kind, spans_of, table
+from sensorflow.llm.common import SPANS, cut, joined, let, of_kind, outside, pieces_of, replaced, running, spans_of, table
 
 #: Possessive forms of the base patterns: the same matches in linear time.
 EMAIL = r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++"
@@ -91,31 +91,31 @@ def _patterns(one: Column, two: Column) -> Column:
 
 def _blank(text: Column, base: Column) -> Column:
     """``text`` with a control character in place of each one inside a base span, so that no run of words crosses it."""
-    def step(a: Column, s: Column) -> Column:
-        return F.when(s.end <= a.at, a).otherwise(F.struct(
-            F.concat(a.out, F.substring(text, a.at + 1, F.greatest(s.start - a.at, F.lit(0))),
-                     F.repeat(F.lit("\x01"), s.end - F.greatest(s.start, a.at))).alias("out"), s.end.alias("at")))
-    order = F.array_sort(F.transform(base, lambda s: F.struct(s.start.alias("start"), s.end.alias("end"))))
-    return F.when(F.size(base) > 0, F.aggregate(
-        order, F.struct(F.lit("").alias("out"), F.lit(0).alias("at")), step,
-        lambda a: F.concat(a.out, F.substring(text, a.at + 1, F.length(text))))).otherwise(text)
+    return replaced(text, base, lambda s, at: F.repeat(F.lit("\x01"), F.greatest(s.end - F.greatest(s.start, at), F.lit(0))))
+
+
+def _before(pieces: Column, start: Column) -> Column:
+    """Text before ``start`` from at least the two words on that end there, if there are two; the word around ``start`` is left out."""
+    def left(width: int, more: Column) -> Column:
+        a = F.greatest(start - width, F.lit(0))
+        return let(cut(pieces, a, start), lambda x: F.when((a == 0) | x.rlike(r"\s\S++\s++\S++\s++\S*+\z"), x).otherwise(more))
+    # most often a few characters hold both words
+    whole = left(128, left(4096, cut(pieces, F.lit(0), start)))
+    return F.regexp_replace(whole, r"\S+\z", "")
 
 
 def identifiers(text: Column, base: Column) -> Column:
     """Base spans (seeds) and the identifier-like tokens beside them, with the one and the two words before their first word."""
-    def context(s: Column, seed: bool) -> Column:
-        # two words of ordinary length fit in 80 characters
-        left = F.regexp_replace(F.substring(text, F.greatest(s.start - 79, F.lit(1)), F.least(s.start, F.lit(80))), r"\S+\z", "")
-        return let(F.split(F.regexp_replace(left, r"^\s+|\s+\z", ""), r"\s+"), lambda w: let(
+    def context(pieces: Column, s: Column, seed: bool) -> Column:
+        return let(F.split(F.regexp_replace(_before(pieces, s.start), r"^\s+|\s+\z", ""), r"\s+"), lambda w: let(
             _word(F.element_at(w, -1)), lambda one: F.struct(
                 s.start.alias("start"), s.end.alias("end"), _name(s.hit).alias("hit"), one.alias("one"),
                 F.concat(F.when(F.size(w) > 1, _word(F.try_element_at(w, F.lit(-2)))).otherwise(""), F.lit(" "), one).alias("two"),
                 F.lit(seed).alias("seed"))))
-    beside = lambda t: ~F.exists(base, lambda b: (b.start < t.end) & (b.end > t.start))
-    tokens = let(_blank(text, base), lambda x: spans_of(x, RUN, "context"))
-    return F.when(text.rlike(ANY), F.concat(
-        F.transform(base, lambda s: context(s, True)),
-        F.transform(F.filter(tokens, beside), lambda s: context(s, False))).cast(CONTEXT)).otherwise(F.array().cast(CONTEXT))
+    tokens = outside(let(_blank(text, base), lambda x: spans_of(x, RUN, "context")), base, inside=False)
+    return F.when(text.rlike(ANY), let(pieces_of(text), lambda p: F.concat(
+        F.transform(base, lambda s: context(p, s, True)), F.transform(tokens, lambda s: context(p, s, False))))
+        .cast(CONTEXT)).otherwise(F.array().cast(CONTEXT))
 
 
 def _learn(edges: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -157,18 +157,8 @@ def _after(trusted: Column) -> Column:
 
 
 def _starts(pieces: Column) -> Column:
-    """Offset of each piece, summed in chunks, so that long texts do not copy long arrays."""
-    size = 64
-
-    def sums(lengths: Column, at: Column) -> Column:
-        return F.aggregate(lengths, F.struct(at.alias("at"), F.array().cast("array<int>").alias("all")),
-                           lambda a, n: F.struct((a.at + n).alias("at"), F.concat(a.all, F.array(a.at)).alias("all")), lambda a: a.all)
-
-    def build(n: Column) -> Column:
-        chunks = F.transform(F.sequence(F.lit(0), F.floor((F.size(n) - 1) / size).cast("int")), lambda c: F.slice(n, c * size + 1, F.lit(size)))
-        return let(chunks, lambda x: F.flatten(F.zip_with(
-            x, sums(F.transform(x, lambda c: F.aggregate(c, F.lit(0), lambda a, b: a + b)), F.lit(0)), sums)))
-    return let(F.transform(pieces, F.length), build)
+    """Offset of each piece."""
+    return running(F.transform(pieces, F.length), F.lit(0), lambda a, b: a + b)
 
 
 def _words(docs: DataFrame, id: str, text: str, start: Column | None = None) -> DataFrame:
@@ -262,33 +252,27 @@ def redact(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame
     Overlapping spans become one, named after the first. A NULL text stays
     NULL. ``n_chars``, if there is one, is counted anew for changed texts.
     """
-    body = F.coalesce(F.col(f"`{text}`"), F.lit(""))
-    touched = F.coalesce(F.col(f"`{text}`").rlike(ANY), F.lit(False))
-    scanned = _scan(docs.where(touched), id, text)
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("r"))  # helper columns beside it clash with none of its names
+    was = F.col("r").getField(text)
+    touched = F.coalesce(was.rlike(ANY), F.lit(False))
+    scanned = _scan(docs.where(F.coalesce(F.col(f"`{text}`").rlike(ANY), F.lit(False))), id, text)
     context, anywhere = _context(scanned, docs, id, text)
     if anywhere:
-        touched = F.col(f"`{text}`").isNotNull()
-    hits = docs.where(touched)
-    spans = (scanned.join(context, "row", "full" if anywhere else "left").withColumn("base", F.coalesce("base", F.array().cast(SPANS)))
-             .groupBy("row").agg(F.first(F.concat("base", F.coalesce("more", F.array().cast(SPANS)))).alias("_spans"))
-             .where(F.size("_spans") > 0).withColumnRenamed("row", "_row"))
-    by_start = lambda s: F.transform(F.array_sort(F.transform(s, lambda x: F.struct(
-        x.start.alias("start"), x.end.alias("end"), x.kind.alias("kind")))), lambda x: x)
-    acc = F.struct(F.lit("").alias("out"), F.lit(0).alias("at"))
-
-    def step(a: Column, s: Column) -> Column:
-        return F.when(s.start < a.at, F.struct(a.out.alias("out"), F.greatest(a.at, s.end).alias("at"))).otherwise(
-            F.struct(F.concat(a.out, F.substring(F.col(f"`{text}`"), a.at + 1, s.start - a.at), F.lit("["), F.upper(s.kind), F.lit("]")).alias("out"),
-                     s.end.alias("at")))
-
-    masked = F.aggregate(by_start(F.col("_spans")), acc, step,
-                         lambda a: F.concat(a.out, F.substring(F.col(f"`{text}`"), a.at + 1, F.length(F.col(f"`{text}`")))))
-    joined_ = hits.withColumn("_row", row_key(F.col(f"`{id}`"), body)).join(spans, "_row", "left")
-    new = joined_.withColumn("_new", F.when(F.col("_spans").isNotNull(), masked).otherwise(F.col(f"`{text}`")))
-    cols = [F.col("_new").alias(c) if c == text else
-            F.when(F.col("_spans").isNotNull(), F.length("_new").cast(docs.schema[c].dataType)).otherwise(F.col(c)).alias(c) if c == "n_chars"
-            else F.col(f"`{c}`") for c in docs.columns]
-    return docs.where(~touched).unionByName(new.select(*cols))
+        touched = was.isNotNull()
+    none = F.array().cast(SPANS)
+    spans = (scanned.select("row", "base").join(context, "row", "full" if anywhere else "left").groupBy("row")
+             .agg(F.first(F.concat(F.coalesce("base", none), F.coalesce("more", none))).alias("spans")).where(F.size("spans") > 0))
+    masked = replaced(was, F.col("spans"), lambda s, at: F.when(s.start < at, "").otherwise(F.concat(F.lit("["), F.upper(s.kind), F.lit("]"))))
+    key = row_key(F.col("r").getField(id), F.coalesce(was, F.lit("")))
+    new = (rows.where(touched).withColumn("row", key).join(spans, "row", "left")
+           .withColumn("hit", F.col("spans").isNotNull()).withColumn("text", F.when(F.col("hit"), masked).otherwise(was)))
+
+    def value(c: str) -> Column:
+        if c == text:
+            return F.col("text").alias(c)
+        old = F.col("r").getField(c)
+        return (F.when(F.col("hit"), F.length("text").cast(docs.schema[c].dataType)).otherwise(old) if c == "n_chars" else old).alias(c)
+    return rows.where(~touched).select("r.*").unionByName(new.select(*[value(c) for c in docs.columns]))
 
 
 def op1_pii(spark, sf_dir: str) -> DataFrame:

@@ -20,7 +20,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sensorflow.llm.common import SPANS, joined, let, of_kind, spans_of, table
+from sensorflow.llm.common import SPANS, joined, let, of_kind, outside, spans_of, table
 
 ASSIGN = (r"""(?:(?i)password|passwd|secret|token|api_?key)["']?\x20*+[:=]\x20*+["']?([A-Za-z0-9+/_.=-]++)""")
 ACCESS = r"AKIA[A-Z0-9]{14,}+"
@@ -147,12 +147,13 @@ def find_secrets(docs: DataFrame, id: str = "doc_id", text: str = "text") -> Dat
         "id", F.concat_ws("-", F.col("id").cast("string"), F.xxhash64("_text"), F.length("_text")).alias("row"),
         base_spans(F.col("_text")).alias("base"),
         F.filter(token, lambda s: encoding_of(s.hit).isNotNull()).alias("tokens"))
-    scanned = table(scanned, "secret-scan")
-    tokens = scanned.where(F.size("tokens") > 0).select("row", "base", F.explode("tokens").alias("s")).select(
-        "row", "base", "s", F.col("s.hit").alias("token"), encoding_of(F.col("s.hit")).alias("encoding"))
-    outside = ~F.exists("base", lambda b: (b.start <= F.col("s.start")) & (b.end >= F.col("s.end")))
-    more = (tokens.join(random_tokens(tokens.select("token", "encoding")), ["token", "encoding"])
-            .where(outside).groupBy("row").agg(F.collect_set("s").alias("more")))
+    # all tokens count for the cut, but only those that no base span holds are reported
+    scanned = table(scanned.withColumn("free", outside(F.col("tokens"), F.col("base"), inside=True)), "secret-scan")
+    tokens = scanned.where(F.size("tokens") > 0).select("row", F.explode("tokens").alias("s")).select(
+        F.col("s.hit").alias("token"), encoding_of(F.col("s.hit")).alias("encoding"))
+    free = scanned.where(F.size("free") > 0).select("row", F.explode("free").alias("s")).select(
+        "row", "s", F.col("s.hit").alias("token"), encoding_of(F.col("s.hit")).alias("encoding"))
+    more = (free.join(random_tokens(tokens), ["token", "encoding"]).groupBy("row").agg(F.collect_set("s").alias("more")))
     plain = scanned.where(F.size("tokens") == 0).withColumn("more", F.array().cast(SPANS))
     rest = scanned.where(F.size("tokens") > 0).join(more, "row", "left")
     spans = in_order(F.concat("base", F.coalesce("more", F.array().cast(SPANS))), ("assign", "access", "hex", "random"))

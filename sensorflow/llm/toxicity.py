@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sensorflow.llm.common import table
+from sensorflow.llm.common import table, tidy
 
 #: Letters of other scripts that look like Latin ones.
 HOMOGLYPHS = {
@@ -204,6 +204,7 @@ def _exceptions(rows: DataFrame, model: Model) -> list[str]:
 
 def _calibrated(rows: DataFrame, model: Model) -> tuple[float, float, float]:
     """Logistic weights (intercept, weight, density) by Newton steps on sums over the training rows."""
+    @tidy
     def measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         a = model.automaton()
         for pdf in batches:
@@ -250,6 +251,7 @@ def score_documents(docs: DataFrame, model: Model, id: str = "doc_id", text: str
     NULL and empty texts get the score of no match. Rows that repeat are scored
     alike; other columns are left out.
     """
+    @tidy
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         a = model.automaton()
         for pdf in batches:
@@ -264,6 +266,7 @@ def score_documents(docs: DataFrame, model: Model, id: str = "doc_id", text: str
 def drop_toxic(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """The rows of ``docs``, whole, whose score is below 0.5."""
     @F.pandas_udf("double")
+    @tidy
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         a = model.automaton()
         for t in batches:

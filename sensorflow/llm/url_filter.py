@@ -6,16 +6,22 @@ universe of the corpus, alternating between the two sides, until none is left.
 A key is listed if the first level that misses it has an odd number, or the
 number of levels is odd when no level misses it. Over that universe the answer
 is exact, and a URL is judged by bit tests alone, without a join.
+
+A level is a literal of the plan, so it has a greatest size. Keys are dealt into
+as many groups as keep all levels below it, each group with a cascade of its
+own; rows are judged by the cascade of their key's group, ``PASS_GROUPS`` groups
+in a pass over the rows.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sensorflow.llm.common import spread_join, table
+from sensorflow.llm.common import table, work_dir
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -29,8 +35,8 @@ LISTED_PARTS = ("adult", "ads", "bets", "casino", "pills", "spam")
 #: Bits per key of a level and its number of hash functions.
 BITS_PER_KEY, HASHES = 12, 4
 
-#: Bits of a level at most: it is a literal of the plan (128 KiB). Longer lists are joined.
-MAX_LEVEL_BITS = 1 << 20
+#: Bits of a level at most (it is a literal of the plan, 128 KiB), and groups of keys whose cascades are in one plan.
+MAX_LEVEL_BITS, PASS_GROUPS = 1 << 20, 32
 
 
 def host_of(url: Column) -> Column:
@@ -70,9 +76,7 @@ class Cascade:
 
 
 class TooManyKeys(ValueError):
-    """A level would be larger than ``MAX_LEVEL_BITS``; ``listed`` has the listed keys."""
-
-    listed: DataFrame
+    """A level would be larger than ``MAX_LEVEL_BITS``."""
 
 
 def _positions(key: Column, level: int, bits: int) -> list[Column]:
@@ -80,7 +84,7 @@ def _positions(key: Column, level: int, bits: int) -> list[Column]:
 
 
 def _in_level(key: Column, level: int, bits: int, words: list[int]) -> Column:
-    stored = F.array(*[F.lit(w) for w in words])
+    stored = F.lit(np.array(words, "int64"))  # one literal
     out = F.lit(True)
     for p in _positions(key, level, bits):
         word = F.element_at(stored, (F.floor(p / 64) + 1).cast("int"))
@@ -103,24 +107,65 @@ def _level(keys: DataFrame, n: int, level: int) -> tuple[int, list[int]]:
     return bits, out
 
 
-def build_cascade(universe: DataFrame, key: str, listed: Column, name: str = "url-cascade") -> Cascade:
-    """Cascade of the keys for which ``listed`` holds over all distinct ``key``s of ``universe``."""
-    keys = table(universe.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("key")).agg(
-        F.max(F.coalesce(listed, F.lit(False))).alias("listed")), name)
+def _cascade(keys: DataFrame) -> Cascade:
+    """Cascade of the keys that are ``listed`` over all of ``keys`` (distinct)."""
     levels: list[tuple[int, list[int]]] = []
     side = keys.where("listed")  # the keys that the next level encodes
     other = keys.where("not listed")
     while n := side.count():
-        try:
-            levels.append(_level(side, n, len(levels)))
-        except TooManyKeys as e:
-            e.listed = keys.where("listed").select(F.col("key").alias(key))
-            raise
+        levels.append(_level(side, n, len(levels)))
         wrong = other.where(_in_level(F.col("key"), len(levels) - 1, *levels[-1]))
         side, other = wrong, side
     return Cascade(levels)
 
 
+def _universe(universe: DataFrame, key: str, listed: Column, name: str) -> DataFrame:
+    return table(universe.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("key")).agg(
+        F.max(F.coalesce(listed, F.lit(False))).alias("listed")), name)
+
+
+def build_cascade(universe: DataFrame, key: str, listed: Column, name: str = "url-cascade") -> Cascade:
+    """One cascade of the keys for which ``listed`` holds over all distinct ``key``s of ``universe``."""
+    return _cascade(_universe(universe, key, listed, name))
+
+
+def group_of(key: Column, groups: int) -> Column:
+    return F.pmod(F.xxhash64(F.lit(-1), key), F.lit(groups)).cast("int")
+
+
+def build_cascades(universe: DataFrame, key: str, listed: Column, name: str = "url-cascade") -> list[Cascade]:
+    """The cascades of the groups of keys (:func:`group_of`), as few as the size of a level allows."""
+    keys = _universe(universe, key, listed, name)
+    n = keys.where("listed").count()
+    groups = -(-n * BITS_PER_KEY // MAX_LEVEL_BITS) or 1
+    groups += groups // 8 if groups > 1 else 0  # hashes do not deal evenly
+    while True:
+        parts = keys
+        if groups > 1:
+            path = work_dir(keys.sparkSession, f"{name}-groups")
+            keys.withColumn("g", group_of(F.col("key"), groups)).write.partitionBy("g").parquet(path)
+            parts = keys.sparkSession.read.schema("key string, listed boolean, g int").parquet(path)
+        try:
+            return [_cascade(parts.where(F.col("g") == g) if groups > 1 else keys) for g in range(groups)]
+        except TooManyKeys:  # a level of false positives, or an uneven group
+            groups *= 2
+
+
+def judged(rows: DataFrame, key: str, cascades: list[Cascade], out: str) -> DataFrame:
+    """``rows`` with whether ``key`` is listed in ``out``, which no column is named yet."""
+    group = group_of(F.col(key), len(cascades))
+    rows = rows.withColumn(out, F.lit(False))
+    for a in range(0, len(cascades), PASS_GROUPS):
+        hit = F.col(out)
+        for g in range(a, min(a + PASS_GROUPS, len(cascades))):
+            has = cascades[g].has(F.col(key))
+            hit = has if len(cascades) == 1 else F.when(group == g, has).otherwise(hit)
+        rows = rows.withColumn(out, hit)
+        if a + PASS_GROUPS < len(cascades):
+            rows = table(rows, "url-pass")
+    return rows
+
+
 def on_list(host: Column, parts=LISTED_PARTS) -> Column:
     """Whether a label of ``host``, or a part of it between hyphens, is listed."""
     return host.rlike(rf"(?:^|[.-])(?:{'|'.join(parts)})(?:[.-]|$)")
@@ -131,22 +176,17 @@ def judge_urls(pages: DataFrame, url: str = "url", rules=RULES, listed=on_list)
 
     A URL that is NULL, empty or without ``://`` has an empty host and path, no
     rule, and the verdict of the empty key (allow). Repeated rows are judged
-    alike. Columns of ``pages`` named like a result give way to it. An empty
-    table gives an empty cascade, which lists nothing. A list too long for the
-    cascade is joined instead, spread over the rows of each host.
+    alike. Columns of ``pages`` named like a result give way to it; any others
+    stay as they are. An empty table gives an empty cascade, which lists
+    nothing. URLs of any length are judged whole.
     """
     old = [c for c in pages.columns if c.lower() not in ("host", "path", "rule", "verdict") or c == url]
-    parsed = pages.select(*[F.col(f"`{c}`") for c in old], host_of(F.col(f"`{url}`")).alias("host"), path_of(F.col(f"`{url}`")).alias("path"))
-    try:
-        hit = build_cascade(parsed.select("host"), "host", listed(F.col("host"))).has(F.col("host"))
-    except TooManyKeys as e:
-        parsed = spread_join(parsed, e.listed.withColumn("_listed", F.lit(True)), "host", url, "left")
-        hit = F.col("_listed").isNotNull()
-    fit = rule_of(F.col("host"), F.col("path"), rules)
-    judged = (parsed.withColumn("_fit", fit)
-              .withColumn("rule", F.col("_fit.rule"))
-              .withColumn("verdict", F.coalesce(F.col("_fit.verdict"), F.when(hit, "block").otherwise("allow"))))
-    return judged.select(*[F.col(f"`{c}`") for c in old], "host", "path", "rule", "verdict")
+    # the caller's columns travel as one, so that no helper column clashes with them
+    parsed = pages.select(F.struct(*[F.col(f"`{c}`") for c in old]).alias("row"), host_of(F.col(f"`{url}`")).alias("host"), path_of(F.col(f"`{url}`")).alias("path"))
+    known = judged(parsed, "host", build_cascades(parsed.select("host"), "host", listed(F.col("host"))), "hit")
+    known = known.withColumn("fit", rule_of(F.col("host"), F.col("path"), rules))
+    verdict = F.coalesce(F.col("fit.verdict"), F.when(F.col("hit"), "block").otherwise("allow"))
+    return known.select(*[F.col("row").getField(c).alias(c) for c in old], "host", "path", F.col("fit.rule").alias("rule"), verdict.alias("verdict"))
 
 
 def op4_url_filter(spark, sf_dir: str) -> DataFrame:

@@ -113,6 +113,40 @@ def test_near_dup_odd_rows(spark):
     assert near_dup.near_duplicates(df.limit(0)).count() == 0
 
 
+def _plain_documents(rows, width, percent):
+    """Components where all texts of an id are one document."""
+    sets: dict = {}
+    for i, t in rows:
+        sets.setdefault(i, []).append(brute.shingles(t, width))
+    root = {i: i for i in sets}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    near = lambda a, b: a and b and 100 * len(a & b) >= percent * len(a | b)
+    for i in sets:
+        for j in sets:
+            if i < j and any(near(a, b) for a in sets[i] for b in sets[j]):
+                x, y = find(i), find(j)
+                root[max(x, y)] = min(x, y)
+    return {i: find(i) for i in sets}
+
+
+def test_rows_that_repeat_an_id_are_one_document(spark):
+    rng = random.Random(8)
+    a, b, c, d = (" ".join(brute.words(rng, 60)) for _ in range(4))
+    rows = [(3, b), (5, a), (5, b), (9, a + " more"), (20, c), (21, c + " x"), (21, d), (22, d), (30, None), (30, "one two three four"), (31, ""), (31, c + " y"), (40, a), (40, a), (-7, d + " z")]
+    for i in range(60):  # ids at random, most texts near each other
+        rows.append((rng.randrange(100, 130), rng.choice([a, b, c, d, " ".join(brute.words(rng, 60))]) + " tail" * rng.randrange(3)))
+    for width, percent in ((3, 85), (5, 80)):
+        got = near_dup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), width=width, percent=percent).collect()
+        want = _plain_documents(rows, width, percent)
+        assert sorted((r["doc_id"], r["n_shingles"], r["component_id"], r["kept"]) for r in got) == sorted(
+            (i, len(brute.shingles(t, width)), want[i], want[i] == i) for i, t in rows)
+
+
 def test_min_and_max_estimate_similarity():
     rng = np.random.default_rng(1)
     x = rng.integers(1, 2**63, 1500, dtype=np.uint64)
@@ -247,6 +281,50 @@ def test_pieces_are_the_public_tokenizers_ids(spark):
     assert packing.pack(df.limit(0), packing.tokenizer_path()).count() == 0
 
 
+def test_runs_of_white_space_of_any_length_are_encoded(spark):
+    from tokenizers import Tokenizer
+
+    plain = Tokenizer.from_file(packing.whole_path())
+    texts = ["a" + " " * 1_100_000 + "b <|endoftext|> c", "\n \t" * 300_000, "x" * 300_000]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = packing.pack(df, packing.tokenizer_path(), added=packing.added_tokens(), whole=packing.whole_path()).collect()
+    for i, t in enumerate(texts):
+        mine = sorted((r for r in rows if r["doc_id"] == i), key=lambda r: r["start"])
+        got = np.frombuffer(b"".join(bytes(r["ids"]) for r in mine), "<u4").tolist()
+        assert got == [*plain.encode(t, add_special_tokens=False).ids, 0]
+
+
+def test_prompts_bear_no_loss_and_the_loss_limit_binds(spark):
+    from conftest import SF_SMALL
+
+    turns = spark.read.parquet(f"{SF_SMALL}/conversations.parquet").where("text is not null")
+    talks = (turns.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "role", "text"))).alias("t"))
+             .select(F.col("conv_id").alias("doc_id"), F.concat_ws("\n", F.col("t.text")).alias("text"), F.length(F.col("t.text")[0]).alias("p")))
+    talks = talks.unionByName(spark.createDataFrame([(-1, None, 3), (-2, "all of it", 10**6), (-3, "none of it", None)], "doc_id long, text string, p int"))
+    pieces = packing.pack(talks.coalesce(1), packing.tokenizer_path(), tokens=256, loss=96, prompt="p").collect()
+    tokenizer = packing.Tokenizer(packing.tokenizer_path())
+    running, n = {}, {}
+    for r in talks.collect():
+        ids = tokenizer.ids(r["text"] or "")
+        n[r["doc_id"]] = len(ids)
+        running[r["doc_id"]] = tokenizer.bears_loss(ids, (r["text"] or "")[:r["p"]]) if r["p"] is not None else np.arange(len(ids) + 1)
+    assert running[-1][-1] == 1 and running[-2][-1] == 1 and running[-3][-1] == n[-3]
+    loss, tokens, covered = {}, {}, {}
+    for r in pieces:
+        s, a = r["sequence_id"], r["start"]
+        loss[s] = loss.get(s, 0) + running[r["doc_id"]][a + r["length"]] - running[r["doc_id"]][a]
+        tokens[s] = tokens.get(s, 0) + r["length"]
+        covered.setdefault(r["doc_id"], []).extend(range(a, a + r["length"]))
+    assert all(sorted(covered[d]) == list(range(n[d])) for d in n)
+    assert max(loss.values()) <= 96 and max(tokens.values()) <= 256
+    # the limit binds: without it sequences bear more
+    free: dict = {}
+    for r in packing.pack(talks.coalesce(1), packing.tokenizer_path(), tokens=256, loss=256, prompt="p").collect():
+        a = r["start"]
+        free[r["sequence_id"]] = free.get(r["sequence_id"], 0) + running[r["doc_id"]][a + r["length"]] - running[r["doc_id"]][a]
+    assert max(free.values()) > 96
+
+
 def test_added_tokens_are_the_contracts_ids(spark):
     import public_tokenizers
     from tokenizers import Tokenizer

@@ -101,12 +101,16 @@ def test_url_rules_and_parts(spark):
     assert url_filter.judge_urls(df.limit(0)).count() == 0
 
 
-def test_a_list_too_long_for_the_cascade_is_joined(spark, monkeypatch):
-    df = spark.createDataFrame([(i, f"http://h{i % 50}.{'spam' if i % 3 else 'ok'}.org/x") for i in range(300)] + [(300, None)], "page_id long, url string")
+def test_long_lists_are_cascades_in_groups(spark, monkeypatch):
+    df = spark.createDataFrame([(i, f"http://h{i % 50}.{'spam' if i % 3 else 'ok'}.org/x") for i in range(300)] + [(300, None)],
+                               "page_id long, url string").selectExpr("*", "1 as _fit", "2 as _listed", "3 as hit", "4 as row", "5 as fit")
     want = sorted(tuple(r) for r in url_filter.judge_urls(df).collect())
-    monkeypatch.setattr(url_filter, "MAX_LEVEL_BITS", 64)
-    assert sorted(tuple(r) for r in url_filter.judge_urls(df).collect()) == want
-    assert {r[-1] for r in want} == {"allow", "block"}
+    monkeypatch.setattr(url_filter, "MAX_LEVEL_BITS", 128)
+    for passes in (32, 2):
+        monkeypatch.setattr(url_filter, "PASS_GROUPS", passes)
+        assert sorted(tuple(r) for r in url_filter.judge_urls(df).collect()) == want
+    assert len(url_filter.build_cascades(df, "url", F.col("url").contains("spam"))) > 4
+    assert {r[-1] for r in want} == {"allow", "block"} and want[7][2:7] == (1, 2, 3, 4, 5)
 
 
 def test_cascade_is_exact_over_its_universe(spark, monkeypatch):

@@ -42,6 +42,20 @@ def test_ties_copies_and_odd_rows(spark):
     assert got == {0: [1, 2, 3, 4, 5], 20: [0, 1, 2, 3, 4], 40: [0, 1, 2, 3, 4]}
 
 
+def test_all_ties_with_the_last_count():
+    rng = np.random.default_rng(5)
+    q = np.array([[1.0, 0.5, 0.25, 0.0]])
+    base = rng.standard_normal((400, 4))
+    base[:, 0] = 0.1 - 0.5 * base[:, 1] - 0.25 * base[:, 2]  # distinct vectors, inner products equal but for rounding
+    base[390:, 0] += 1
+    score = np.array([ann._exact(q[0], v[None, :])[0] for v in base])
+    got = ann.nearest(np.array([10**6]), q, np.arange(400), base, 20).iloc[0]
+    assert list(got["ids"]) == sorted(range(400), key=lambda i: (-score[i], i))[:20]
+    whole = np.floor(base * 8)  # exact ties
+    whole[:, 0] = 1 - 0.5 * whole[:, 1] - 0.25 * whole[:, 2]
+    assert list(ann.nearest(np.array([10**6]), q, np.arange(400), whole, 20).iloc[0]["ids"]) == list(range(20))
+
+
 def test_few_and_no_rows(spark):
     df = _frame(spark, [(0, [1.0, 0.0], 0), (1, [0.5, 0.5], 0), (2, [-1.0, 0.0], 0)])
     assert [(r["rank"], r["vec_id"]) for r in ann.search(df, F.col("vec_id") == 0).orderBy("rank").collect()] == [(1, 1), (2, 2)]

@@ -15,7 +15,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from sensorflow.llm.common import table  # noqa: E402
 from sensorflow.llm.decontam import drop_contaminated  # noqa: E402
 from sensorflow.llm.near_dup import drop_near_duplicates  # noqa: E402
-from sensorflow.llm.packing import added_tokens, digest_pieces, pack, tokenizer_path  # noqa: E402
+from sensorflow.llm.packing import added_tokens, digest_pieces, pack, tokenizer_path, whole_path  # noqa: E402
 from sensorflow.llm.pii import redact  # noqa: E402
 from sensorflow.llm.toxicity import drop_toxic, labelled_rows, train  # noqa: E402
 
@@ -43,7 +43,7 @@ def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents in full sequences."""
-    return digest_pieces(pack(docs, tokenizer_path(), added=added_tokens()))
+    return digest_pieces(pack(docs, tokenizer_path(), added=added_tokens(), whole=whole_path()))
 
 
 STAGES = [("toxicity", toxicity), ("near_dedup", near_dedup), ("decontamination", decontamination), ("pii", pii), ("packing", packing)]

@@ -6,10 +6,10 @@ A "series" is the set of rows sharing the ``by`` key columns, ordered by
 Scale notes
 -----------
 * ``lag`` over one series puts the whole series into one task. A single
-  sensor may hold a third of all rows, so :func:`lag_stitched` partitions by
-  ``(by, time bucket)`` instead and repairs the first row of every bucket with
-  the last row of the previous non-empty bucket (one small aggregate per
-  bucket, joined back on the same keys the window already shuffled on).
+  sensor may hold a third of all rows, so :func:`lag_stitched` deals long series
+  by range of (series, order) and repairs the first row of every range with
+  the last row of the range before (one boundary row per range and series,
+  joined back on the same keys the window already shuffled on).
 * Latest-per-key uses ``max_by`` aggregates (partial aggregation before the
   shuffle, so a hot key ships one row per map task), not a full window.
 * Top-k per key relies on Spark's window group limit (``row_number() <= k``
@@ -26,14 +26,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.timestamps import as_instant
+from ..session import cut_lineage
 
 _K = "__sf_key"
 _B = "__sf_bucket"
 _FIRST = "__sf_first_in_bucket"
 _LAST = "__sf_last"
 _PREV = "__sf_prev"
-_US = "__sf_us"
-_CUTS = "__sf_cuts"
 
 # Bucket widths accepted by ``bucket=``; pick one that keeps the rows of the
 # busiest (series, bucket) well inside one task.
@@ -57,29 +56,24 @@ def _bucket_of(ts: str, width_us: int) -> Column:
     return F.floor(F.unix_micros(as_instant(ts)) / F.lit(width_us)).cast("bigint")
 
 
-#: Rows of a series above which it is cut into buckets, and the buckets of such a series.
-SPLIT_ROWS, SPLITS = 200_000, 128
+#: Rows of the longest series up to which a plain window per series is used.
+SPLIT_ROWS = 200_000
 
 
-def with_even_buckets(df: DataFrame, ts: str, split_rows: int = SPLIT_ROWS, splits: int = SPLITS) -> DataFrame:
-    """Add the bucket of each row of ``df``, keyed by ``_K``, such that the buckets of a
-    long series hold about the same number of rows each.
+def longest_series(keyed: DataFrame) -> int:
+    """Rows of the longest series (``_K``): an aggregate over the key columns alone, one row per series and map task."""
+    return keyed.groupBy(_K).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
 
-    Series of at most ``split_rows`` rows are one bucket. A longer one is cut at
-    the ``1 / splits`` quantiles of its own times, so a burst inside a second
-    is cut as finely as a slow year, and sparse series are not cut at all.
-    Only rows of one instant stay together. The quantiles are a table of one
-    row per long series, joined to the rows; nothing runs while planning.
+
+def with_ranges(keyed: DataFrame, order: Sequence[str]) -> DataFrame:
+    """``keyed`` dealt by range of (series, order), with the number of each row's range in ``_B``.
+
+    Ranges hold about the same number of rows whatever the series and the pace
+    of their times, and ascend with (series, order); rows that agree in both stay
+    together. The rows are written once with their range, so both uses of the
+    ranges agree, also when tasks are recomputed.
     """
-    us = F.unix_micros(as_instant(ts))
-    rows = df.select(_K, us.alias(_US))
-    long_ = rows.groupBy(_K).agg(F.count(F.lit(1)).alias("__sf_n")).where(F.col("__sf_n") > split_rows)
-    cuts = F.percentile_approx(_US, [i / splits for i in range(1, splits)])
-    bounds = rows.join(long_.select(_K), on=_K, how="left_semi").groupBy(_K).agg(cuts.alias(_CUTS))
-    bucket = F.size(F.filter(_CUTS, lambda c: c < us))
-    return (df.join(bounds, on=_K, how="left")
-            .withColumn(_B, F.coalesce(F.when(F.col(_CUTS).isNotNull(), bucket), F.lit(0)).cast("bigint"))
-            .drop(_CUTS))
+    return cut_lineage(keyed.repartitionByRange(_K, *order).withColumn(_B, F.spark_partition_id().cast("bigint")), "lag-ranges")
 
 
 def lag_stitched(
@@ -94,15 +88,19 @@ def lag_stitched(
     """Add ``prev_<c>`` (value of ``c`` in the previous row of the series) and
     ``has_prev`` (the row has a predecessor) for every ``c`` in ``cols``.
 
-    Equal to ``lag(c) over (partition by by order by order)``. With ``bucket``
-    set, the first ``order`` column must be a timestamp; the window is
-    partitioned by ``(by, bucket)`` and stitched, so no task holds more than
-    one bucket of one series. ``bucket='auto'`` (default) cuts long series
-    into buckets of even size (:func:`with_even_buckets`); a fixed width such
-    as ``'1 hour'`` cuts by the clock; ``bucket=None`` is the plain window,
-    for inputs already small per series.
+    Equal to ``lag(c) over (partition by by order by order)``.
+    ``bucket='auto'`` (default) counts the rows of every series first; while none
+    has more than ``SPLIT_ROWS`` it is that plain window, else the window is
+    over (series, range) and stitched (:func:`with_ranges`, which needs
+    ``spark.checkpoint.dir``): the input is read twice, and no task holds
+    more than a range. A fixed width such as ``'1 hour'`` cuts by the clock
+    (the first ``order`` column must be a timestamp); ``bucket=None`` is the plain
+    window, for inputs already small per series.
     """
     by, order, cols = _names(by), _names(order), _names(cols)
+    key = F.struct(*by) if by else F.lit(0)  # one struct: NULL-safe equality in a plain equi-join
+    if bucket == "auto" and longest_series(df.select(key.alias(_K))) <= SPLIT_ROWS:
+        bucket = None
     if bucket is None:
         w = Window.partitionBy(*by).orderBy(*order)
         out = df
@@ -110,10 +108,9 @@ def lag_stitched(
             out = out.withColumn(prefix + c, F.lag(c).over(w))
         return out.withColumn(has_prev, F.lag(F.lit(True)).over(w).isNotNull())
 
-    # One struct key: NULL-safe equality in a plain equi-join, and the join
-    # below keeps the (key, bucket) hash partitioning of the window.
-    keyed = df.withColumn(_K, F.struct(*by) if by else F.lit(0))
-    keyed = (with_even_buckets(keyed, order[0]) if bucket == "auto"
+    # the join below keeps the (key, bucket) hash partitioning of the window
+    keyed = df.withColumn(_K, key)
+    keyed = (with_ranges(keyed, order) if bucket == "auto"
              else keyed.withColumn(_B, F.coalesce(_bucket_of(order[0], _BUCKET_US[bucket]), F.lit(-(2 ** 62)))))
     w = Window.partitionBy(_K, _B).orderBy(*order)
     inner = keyed.withColumn(_FIRST, F.lag(F.lit(True)).over(w).isNull())

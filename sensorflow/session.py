@@ -8,8 +8,9 @@ streaming queries lives in RocksDB so it can spill past executor memory.
 from __future__ import annotations
 
 import os
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every sensorflow job relies on. Cluster-level settings (executor
 # sizes, checkpoint dir) are left to whoever launches the job.
@@ -76,6 +77,18 @@ def checkpoint_path(spark: SparkSession, name: str) -> str:
     return os.path.join(checkpoint_root(spark), name)
 
 
+def cut_lineage(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to a folder of its own under the shared checkpoint root, and read back.
+
+    What follows sees the same rows in every branch and every recomputed
+    task. The folder stays; it may be removed when the result is written.
+    """
+    spark = df.sparkSession
+    path = checkpoint_path(spark, f"{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def scale_conf(input_bytes: int, total_cores: int,
                target_bytes: int = 512 * 1024 * 1024, max_per_core: int = 50) -> dict[str, str]:
     """Partition sizing for a job reading ``input_bytes`` on ``total_cores``.

@@ -37,7 +37,9 @@ def test_filters_reach_the_scan(spark):
     assert "ReadSchema: struct<event_id:bigint,ts:timestamp_ntz,event_type:string,value:double>" in plan
 
 
-def test_stitched_lag_uses_hash_aggregates_only(spark):
+def test_stitched_lag_uses_hash_aggregates_only(spark, monkeypatch):
+    assert "Join" not in _plan(entry_mod.queries()["lag_stitched"](spark, SF_SMALL))  # short series: a plain window
+    monkeypatch.setattr("sensorflow.operators.series.SPLIT_ROWS", 10)
     plan = _plan(entry_mod.queries()["lag_stitched"](spark, SF_SMALL))
     assert "SortAggregate" not in plan
     assert "partial_max_by" in plan

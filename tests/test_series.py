@@ -115,25 +115,28 @@ def test_window_stats_and_half_second_quirk(spark):
     assert (summ["n_windows"], summ["avg_gx_avg"], summ["avg_gx_weighted"]) == (2, 3.5, 3.5)
 
 
-def test_even_buckets_of_a_burst_and_a_sparse_series(spark):
+def test_ranges_of_a_burst_and_a_sparse_series(spark, monkeypatch):
     t0 = dt.datetime(2024, 1, 1)
     burst = spark.range(20_000).select(F.lit("burst").alias("k"), (F.lit(t0) + F.make_dt_interval(secs=F.col("id") / 20_000.0)).alias("ts"), F.col("id"))
     sparse = spark.range(900).select(F.lit("sparse").alias("k"), (F.lit(t0) + F.make_dt_interval(days=F.col("id").cast("int"))).alias("ts"), (F.col("id") + 100_000).alias("id"))
     none = spark.range(3).select(F.lit(None).cast("string").alias("k"), F.lit(None).cast("timestamp").alias("ts"), (F.col("id") + 200_000).alias("id"))
     df = burst.unionByName(sparse).unionByName(none).withColumn("v", F.col("id"))
-    keyed = series.with_even_buckets(df.withColumn(series._K, F.struct("k")), "ts", split_rows=1000, splits=20)
-    per = {(r["k"], r["b"]): r["n"] for r in keyed.groupBy("k", F.col(series._B).alias("b")).agg(F.count("*").alias("n")).collect()}
-    assert per["sparse", 0] == 900 and per[None, 0] == 3 and len(per) == 22
-    assert max(n for (k, _), n in per.items() if k == "burst") <= 2 * 20_000 / 20
-    plain = series.lag_stitched(df, "k", ["ts", "id"], ["v"], bucket=None)
-    old, series.SPLIT_ROWS = series.SPLIT_ROWS, 1000
-    even = series.with_even_buckets.__defaults__
+    monkeypatch.setattr(series, "SPLIT_ROWS", 1000)
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # small ranges stay apart
     try:
-        series.with_even_buckets.__defaults__ = (1000, 20)
+        keyed = df.withColumn(series._K, F.struct("k"))
+        assert series.longest_series(keyed) == 20_000
+        per = [r["n"] for r in series.with_ranges(keyed, ["ts", "id"]).groupBy(series._B).agg(F.count("*").alias("n")).collect()]
+        assert len(per) == 8 and max(per) <= 2 * 20_903 / 8
+        plain = series.lag_stitched(df, "k", ["ts", "id"], ["v"], bucket=None)
         got = series.lag_stitched(df, "k", ["ts", "id"], ["v"])
         assert rows(got, "id", "prev_v", "has_prev") == rows(plain, "id", "prev_v", "has_prev")
+        assert rows(got, "id", "prev_v") == rows(got, "id", "prev_v")  # the same plan twice
+        one = series.lag_stitched(df, None, ["ts", "id"], ["v", "k"])  # one series
+        assert rows(one, "id", "prev_v", "prev_k", "has_prev") == rows(series.lag_stitched(df, None, ["ts", "id"], ["v", "k"], bucket=None), "id", "prev_v", "prev_k", "has_prev")
     finally:
-        series.SPLIT_ROWS, series.with_even_buckets.__defaults__ = old, even
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
 
 
 def test_order_key_with_null_times_and_extremes(spark):

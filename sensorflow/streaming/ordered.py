@@ -7,9 +7,9 @@ follows (changes, segments, gaps) is a plain column expression and equals the
 batch operators of :mod:`operators.series` on the same rows.
 
 State per series: the waiting rows in buckets of event time (a map from the
-bucket's end, with a timer there), the last row handed over, and how far the
-series has been handed over. A bucket is read when rows come into it and when
-its timer fires; no task ever holds a whole series, nor the micro-batch of a
+bucket's end), the last row handed over, and how far the series has been handed
+over. A timer stands at the end of the first bucket. A bucket is read when rows
+come into it and when the watermark has passed it; no task ever holds a whole series, nor the micro-batch of a
 hot one. The state is in the state store, so a restarted query goes on where it
 stopped.
 
@@ -45,6 +45,43 @@ def _rank(values: Sequence) -> tuple:
     return tuple((v is not None, v != v, 0 if v is None or v != v else v) for v in values)
 
 
+class Buckets:
+    """Rows of a series in a map state by the end of their bucket, with one timer at the first end."""
+
+    def __init__(self, handle: StatefulProcessorHandle, name: str):
+        self.handle = handle
+        self.rows = handle.getMapState(name, "until long", "rows binary")
+        self.first = handle.getValueState(name + "First", "until long")
+
+    def add(self, fresh: dict[int, list]) -> None:
+        for until, rows in fresh.items():
+            old = self.rows.getValue((until,))
+            self.rows.updateValue((until,), (pickle.dumps((pickle.loads(old[0]) if old else []) + rows),))
+        if fresh:
+            self._timer(min(fresh))
+
+    def _timer(self, until: int) -> None:
+        first = self.first.get()
+        if first is not None and first[0] <= until:
+            return
+        if first is not None:
+            self.handle.deleteTimer(first[0])
+        self.handle.registerTimer(until)
+        self.first.update((until,))
+
+    def take(self, end: int) -> Iterator[tuple[int, list]]:
+        """The buckets up to ``end``, in order; each is removed when it has been used."""
+        ends = sorted(k[0] for k in self.rows.keys())
+        for until in ends:
+            if until <= end:
+                yield until, pickle.loads(self.rows.getValue((until,))[0])
+                self.rows.removeKey((until,))
+        self.first.clear()
+        later = [until for until in ends if until > end]
+        if later:
+            self._timer(later[0])
+
+
 class InOrder(StatefulProcessor):
     """Rows ``(us, row)`` of a series in order of time, then of the fields at ``order``."""
 
@@ -52,18 +89,10 @@ class InOrder(StatefulProcessor):
         self.width_ms, self.order, self.carried, self.names = width_ms, list(order), list(carried), list(names)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.waiting = handle.getMapState("waiting", "until long", "rows binary")
+        self.waiting = Buckets(handle, "waiting")
         self.last = handle.getValueState("last", "row binary")
         self.done = handle.getValueState("done", "until long")
 
-    def _keep(self, fresh: dict[int, list]) -> None:
-        for until, rows in fresh.items():
-            old = self.waiting.getValue((until,))
-            if old is None:
-                self.handle.registerTimer(until)
-            self.waiting.updateValue((until,), (pickle.dumps((pickle.loads(old[0]) if old else []) + rows),))
-
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         done, fields = self.done.get(), self.names[:-len(self.carried) - 2]
         none = (None,) * len(self.carried)
@@ -78,24 +107,20 @@ class InOrder(StatefulProcessor):
             fresh.setdefault(ms - ms % self.width_ms + self.width_ms, []).append((r["us"], row))
             n += 1
             if n >= FLUSH:
-                self._keep(fresh)
+                self.waiting.add(fresh)
                 fresh, n = {}, 0
-        self._keep(fresh)
+        self.waiting.add(fresh)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        end = expiredTimerInfo.getExpiryTimeInMs()
-        if self.waiting.getValue((end,)) is None:  # went with a later bucket
-            return
-        last = self.last.get()
+        last, until = self.last.get(), None
         before = pickle.loads(last[0]) if last is not None else None
-        for until in sorted(k[0] for k in self.waiting.keys() if k[0] <= end):
-            rows = pickle.loads(self.waiting.getValue((until,))[0])
+        for until, rows in self.waiting.take(max(expiredTimerInfo.getExpiryTimeInMs(), timerValues.getCurrentWatermarkInMs())):
             for _, row in sorted(rows, key=lambda x: (x[0], _rank([x[1][i] for i in self.order]))):
                 yield Row(*self.names)(*row, *(before or (None,) * len(self.carried)), before is not None, False)
                 before = tuple(row[i] for i in self.carried)
-            self.waiting.removeKey((until,))
-        self.last.update((pickle.dumps(before),))
-        self.done.update((end,))
+        if until is not None:
+            self.last.update((pickle.dumps(before),))
+            self.done.update((until,))
 
     def close(self) -> None:
         pass
@@ -194,8 +219,7 @@ class Trailing(StatefulProcessor):
         self.interval_ms, self.width_ms, self.names = interval_ms, width_ms, list(names)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.shown = handle.getMapState("shown", "until long", "rows binary")
+        self.shown = Buckets(handle, "shown")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         now = timerValues.getCurrentWatermarkInMs()
@@ -210,19 +234,12 @@ class Trailing(StatefulProcessor):
                 row = tuple(r["row"][c] for c in self.names[:-1])
                 fresh.setdefault(until, []).append(row)
                 yield Row(*self.names)(*row, "enter")
-        for until, new in fresh.items():
-            old = self.shown.getValue((until,))
-            if old is None:
-                self.handle.registerTimer(until)
-            self.shown.updateValue((until,), (pickle.dumps((pickle.loads(old[0]) if old else []) + new),))
+        self.shown.add(fresh)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        end = expiredTimerInfo.getExpiryTimeInMs()
-        gone = self.shown.getValue((end,))
-        if gone is not None:
-            for row in pickle.loads(gone[0]):
+        for _, rows in self.shown.take(max(expiredTimerInfo.getExpiryTimeInMs(), timerValues.getCurrentWatermarkInMs())):
+            for row in rows:
                 yield Row(*self.names)(*row, "leave")
-            self.shown.removeKey((end,))
 
     def close(self) -> None:
         pass

@@ -129,3 +129,70 @@ def test_upper_tail(spark):
     z = [-3.0, -1.0, 0.0, 0.5, 1.96, 3.0]
     got = [r[0] for r in spark.createDataFrame([(v,) for v in z], "z double").select(secrets.upper_tail(F.col("z"))).collect()]
     assert max(abs(a - (1 - NormalDist().cdf(v))) for a, v in zip(got, z)) < 3e-4
+
+
+# long texts, clashing names, and the helpers below the scans
+
+def test_forty_thousand_matches_in_one_text(spark):
+    n = 40_000
+    df = spark.createDataFrame([(1, "1.2.3.4 deadbeefdeadbeef " * n, 5)], "doc_id long, text string, n_chars int")
+    found = pii.find_pii(df).first()
+    assert [(s["start"], s["end"]) for s in found["base"]] == [(25 * i, 25 * i + 7) for i in range(n)]
+    keys = secrets.find_secrets(df).first()
+    assert [(s["start"], s["end"]) for s in keys["base"]] == [(25 * i + 8, 25 * i + 24) for i in range(n)]
+    masked = pii.redact(df).first()
+    assert masked["text"] == "[IP] deadbeefdeadbeef " * n and masked["n_chars"] == 22 * n
+
+
+def test_redact_leaves_columns_named_like_its_helpers(spark):
+    rows = [(i, f"mail a{i}@b.cc or call", i, f"s{i}", None, 1.5, "h", "x") for i in range(3)] + [(None, None, 7, None, None, None, None, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, _row long, spans string, row string, r double, hit string, base string")
+    got = sorted(pii.redact(df).collect(), key=lambda r: r["_row"])
+    assert [r["text"] for r in got] == ["mail [EMAIL] or call"] * 3 + [None]
+    assert [tuple(r)[2:] for r in got] == [r[2:] for r in rows] and got[0].__fields__ == df.columns
+
+
+def test_words_of_any_length_are_context(spark):
+    long_ = "w" * 3000
+    df = spark.createDataFrame([(1, f"{long_} second 1.2.3.4 {long_}x 5.6.7.8"), (2, " " * 9000 + "a" + " " * 9000 + "b 1.2.3.4")], "doc_id long, text string")
+    based = df.select("doc_id", "text", pii.base_spans(F.col("text")).alias("base"))
+    got = {r["doc_id"]: r["t"] for r in based.select("doc_id", pii.identifiers(F.col("text"), F.col("base")).alias("t")).collect()}
+    assert [(t["one"], t["two"]) for t in got[1]] == [("second", f"{long_} second"), (long_ + "x", f"<id> {long_}x")]
+    assert [(t["one"], t["two"]) for t in got[2]] == [("b", "a b")]
+
+
+def test_outside_equals_plain_comparison(spark):
+    from sensorflow.llm.common import SPANS, outside
+
+    rng = random.Random(4)
+    span = lambda k: (k, a := rng.randrange(60), a + rng.randrange(1, 9), f"{k}{a}")
+    rows = [(i, [span("t") for _ in range(rng.randrange(6))], [span("b") for _ in range(rng.randrange(6))]) for i in range(300)]
+    df = spark.createDataFrame(rows, f"id long, s {SPANS}, b {SPANS}")
+    got = {r["id"]: r for r in df.select("id", outside(F.col("s"), F.col("b"), False).alias("o"), outside(F.col("s"), F.col("b"), True).alias("i")).collect()}
+    for i, s, b in rows:
+        free = [x for x in s if not any(y[1] < x[2] and y[2] > x[1] for y in b)]
+        unheld = [x for x in s if not any(y[1] <= x[1] and y[2] >= x[2] for y in b)]
+        assert sorted(tuple(x) for x in got[i]["o"]) == sorted(free)
+        assert sorted(tuple(x) for x in got[i]["i"]) == sorted(unheld)
+
+
+def test_running_sums_and_cuts_of_any_length(spark):
+    from sensorflow.llm.common import cut, pieces_of, running
+
+    rng = random.Random(6)
+    text = "".join(rng.choice("aé😀\n ") for _ in range(5000))
+    values = [[rng.randrange(9) for _ in range(n)] for n in (0, 1, 63, 64, 65, 4096, 9000)]
+    df = spark.createDataFrame([(v,) for v in values], "v array<int>")
+    got = [r[0] for r in df.select(running(F.col("v"), F.lit(0), lambda a, b: a + b)).collect()]
+    assert got == [[sum(v[:i]) for i in range(len(v))] if len(v) < 100 else [0, *np_cumsum(v)[:-1]] for v in values]
+    spots = [(0, 0), (0, 5000), (1023, 1025), (1024, 2048), (4999, 5000), (10, 9), (100, 4100)]
+    one = spark.createDataFrame([(text, a, b) for a, b in spots], "t string, a int, b int")
+    assert [r[0] for r in one.select(cut(pieces_of(F.col("t")), F.col("a"), F.col("b"))).collect()] == [text[a:b] for a, b in spots]
+
+
+def np_cumsum(v):
+    out, total = [], 0
+    for x in v:
+        total += x
+        out.append(total)
+    return out

@@ -263,37 +263,52 @@ def stream_dump_readings(spark: SparkSession, dumps_dir: str, readings_path: str
         name, mode="append", available_now=available_now, checkpoint=checkpoint)
 
 
+#: Epoch seconds that are a time of the years 1 to 9999.
+CALENDAR_S = (-62_135_596_800, 253_402_300_799)
+
+
 def stream_payload_readings(spark: SparkSession, bodies_dir: str, readings_path: str,
                             points_path: str, name: str = "payload_readings",
                             files_per_trigger: int = 100, available_now: bool = False,
-                            checkpoint: str | None = None) -> StreamingQuery:
+                            checkpoint: str | None = None, rejects_path: str | None = None) -> StreamingQuery:
     """Reading request bodies (JSON lines ``{id?, time_sec, lx}``) -> readings
     table (K6) and points table (K5), both tried for every micro-batch (K7).
 
     ``time_sec`` is float epoch seconds: the reading time is rounded to the
-    microsecond, the point keeps ns as BIGINT next to it.
+    microsecond, the point keeps ns as BIGINT next to it (NULL beyond its
+    range). Bodies that give no reading go to ``rejects_path`` (F4) as ``raw`` and
+    ``reason``, one partition ``version`` per micro-batch that a replay replaces:
+    readings and rejects together are the bodies.
     """
-    from ..operators.messages import parse_payload
+    from ..operators.messages import flag_payload
 
     bodies = (spark.readStream.schema("body string")
               .option("maxFilesPerTrigger", files_per_trigger).text(bodies_dir)
               .withColumnRenamed("value", "body"))
-    rows = parse_payload(bodies, "reading").where(
-        F.col("time_sec").isNotNull() & F.col("lx").isNotNull())
-    us = F.round(F.col("time_sec") * F.lit(1e6)).cast("bigint")
+    t = F.col("time_sec")
+    reason = F.coalesce("reason", F.when(~t.between(*CALENDAR_S), F.lit("bad:time_sec")))
+    rows = flag_payload(bodies, "reading").withColumn("reason", reason)
+    us = F.when(F.col("reason").isNull(), F.round(t * F.lit(1e6)).cast("bigint"))
     readings = rows.select("sensor_id", F.timestamp_micros(us).alias("ts"), "lx",
-                           (F.col("time_sec") * F.lit(1e9)).cast("bigint").alias("time_ns"))
+                           (t * F.lit(1e9)).try_cast("bigint").alias("time_ns"), "raw", "reason")
 
     version_of = _versions()
 
     def sinks(batch: DataFrame, epoch_id: int) -> None:
-        fan_out(batch, [
-            lambda d: write_readings(d.drop("time_ns"), readings_path, write_id=version_of(epoch_id)),
+        version = version_of(epoch_id)
+        good = batch.where(F.col("reason").isNull()).drop("raw", "reason")
+        outs = [
+            lambda d: write_readings(good.drop("time_ns"), readings_path, write_id=version),
             lambda d: write_points(
-                d.select(F.col("sensor_id").alias("measurement"), F.lit("lx").alias("field"),
-                         F.col("lx").alias("value"), F.col("ts").alias("time"), "time_ns"),
-                points_path, version_of(epoch_id), precision="us"),
-        ])
+                good.select(F.col("sensor_id").alias("measurement"), F.lit("lx").alias("field"),
+                            F.col("lx").alias("value"), F.col("ts").alias("time"), "time_ns"),
+                points_path, version, precision="us"),
+        ]
+        if rejects_path:
+            outs.append(lambda d: (
+                batch.where(F.col("reason").isNotNull()).select("raw", "reason", F.lit(epoch_id).alias("version"))
+                .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("version").parquet(rejects_path)))
+        fan_out(batch, outs)
     return streams.start(readings, sinks, name, mode="append", available_now=available_now,
                          checkpoint=checkpoint)
 

@@ -169,6 +169,22 @@ def test_stream_payload_readings(spark, tmp):
         {dt.date(2023, 11, 14), dt.date(2023, 11, 15)}
 
 
+def test_stream_payload_readings_and_rejects_are_the_bodies(spark, tmp):
+    d = os.path.join(tmp, "bodies")
+    os.makedirs(d)
+    good = ['{"time_sec": 1700000000.25, "lx": 12.5}', '{"id": "a", "time_sec": 253402300799, "lx": 1}', '{"time_sec": -5, "lx": 0}']
+    bad = [('{"time_sec": 1700000002, "lx": null}', "bad:lx"), ('{"lx": 4}', "bad:time_sec"), ("not json", "bad:json"), ("[1]", "bad:json"),
+           ('{"time_sec": 1e300, "lx": 4}', "bad:time_sec"), ('{"time_sec": 253402300801, "lx": 4}', "bad:time_sec"), ('{"time_sec": 1, "lx": "x"}', "bad:lx")]
+    _write(d, "b0.json", "\n".join([good[0], bad[0][0], bad[1][0], bad[2][0]]) + "\n")
+    _write(d, "b1.json", "\n".join([good[1], *[b for b, _ in bad[3:]], good[2]]) + "\n")
+    rp, pp, xp = (os.path.join(tmp, x) for x in ("readings", "points", "rejects"))
+    jobs.stream_payload_readings(spark, d, rp, pp, files_per_trigger=1, available_now=True, checkpoint=os.path.join(tmp, "ck"),
+                                 rejects_path=xp).awaitTermination()
+    assert sorted(r["lx"] for r in read_readings(spark, rp).collect()) == [0.0, 1.0, 12.5]
+    assert rows(spark.read.parquet(xp), "raw", "reason") == sorted(bad)
+    assert spark.read.parquet(pp).count() == 3
+
+
 def test_payload_messages_round_trip(spark):
     from sensorflow.operators.messages import parse_gyro
     bodies = spark.createDataFrame([('{"time": 1700000000000, "x": 3, "y": 4}',), ('{}',)], "body string")

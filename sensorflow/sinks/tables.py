@@ -150,11 +150,11 @@ def _one_per_key(df: DataFrame, key: Sequence[str], version: str | None, value:
 
 def write_points(df: DataFrame, path: str, write_id: int, precision: str = "ms",
                  version: str | None = None) -> None:
-    """K5: long points -> parquet partitioned by (measurement, write_id).
+    """K5: long points -> parquet partitioned by (measurement, day_bucket, write_id).
 
-    Time is truncated to ``precision``; the key is (measurement, field, time),
-    and the newest ``write_id`` wins on read (``sources.tables.read_points``).
-    Inside one write the highest ``version`` survives, if given. Writing a
+    The day is that of the point's time, so a range of a long series is a few
+    folders (:func:`sources.tables.read_points`). Time is truncated to ``precision``; the key is (measurement, field, time),
+    and the newest ``write_id`` wins on read. Inside one write the highest ``version`` survives, if given. Writing a
     ``write_id`` again replaces it, so a replayed batch adds nothing.
     """
     t = as_instant("time")
@@ -165,11 +165,11 @@ def write_points(df: DataFrame, path: str, write_id: int, precision: str = "ms",
     pts = _one_per_key(df.withColumn("time", t), ["measurement", "field", "time"], version, "value")
     # Range partitioning: each file holds one time slice of one series, and a
     # hot measurement is split over many writers instead of one.
-    (pts.withColumn("write_id", F.lit(write_id).cast("bigint"))
-     .repartitionByRange("measurement", "field", "time")
-     .sortWithinPartitions("measurement", "field", "time")
+    (pts.withColumn("day_bucket", day_bucket("time")).withColumn("write_id", F.lit(write_id).cast("bigint"))
+     .repartitionByRange("measurement", "day_bucket", "field", "time")
+     .sortWithinPartitions("measurement", "day_bucket", "field", "time")
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("measurement", "write_id").parquet(path))
+     .partitionBy("measurement", "day_bucket", "write_id").parquet(path))
 
 
 #: Folders into which the sensors of a readings table are dealt by a hash of their id.

@@ -49,8 +49,9 @@ def read_points(spark: SparkSession, path: str, start, stop, measurement: str,
                 field: str | None = None) -> DataFrame:
     """``(time, value)`` of one measurement (and field) in ``[start, stop)``.
 
-    The points table is partitioned by measurement, so the measurement
-    equality prunes directories; the time range prunes row groups. Of the
+    The points table is partitioned by measurement and day, so the measurement
+    and the days of the range prune folders, and the time range prunes row
+    groups: a range of a long series opens the files of its days only. Of the
     writes of a (field, time) the newest counts.
     """
     from ..operators.series import latest_by_key
@@ -58,7 +59,10 @@ def read_points(spark: SparkSession, path: str, start, stop, measurement: str,
     eq = {"measurement": measurement}
     if field is not None:
         eq["field"] = field
-    hits = time_range(pts, "time", start, stop, eq).select("field", "time", "value", "write_id")
+    hits = time_range(pts, "time", start, stop, eq)
+    if "day_bucket" in pts.columns:  # tables of an older layout have no days
+        hits = hits.where(F.col("day_bucket").between(F.to_date(_lit_as(pts, "time", start)), F.to_date(_lit_as(pts, "time", stop))))
+    hits = hits.select("field", "time", "value", "write_id")
     return latest_by_key(hits, ["field", "time"], ["write_id"]).select("time", "value")
 
 

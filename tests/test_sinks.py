@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import datetime as dt
 import os
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -187,3 +188,18 @@ def test_compact_and_publish_keeps_newest(spark, tmp):
     sinks.publish_latest(spark, "sfdemo.latest_view", comp, live, upto_epoch=1)
     got = sources.read_latest(spark, "sfdemo.latest_view", "k", dt.datetime(2000, 1, 1))
     assert rows(got, "key", "n_samples") == [("k:1704456000000", 3), ("k:1704456001000", 1)]
+
+
+def test_a_range_of_points_opens_the_files_of_its_days_only(spark, tmp):
+    path = os.path.join(tmp, "points")
+    t0 = dt.datetime(2024, 1, 1)
+    pts = spark.range(30 * 24).select(F.lit("m").alias("measurement"), F.lit("f").alias("field"), F.col("id").cast("double").alias("value"),
+                                      (F.lit(t0) + F.make_dt_interval(hours=F.col("id").cast("int"))).alias("time"))
+    sinks.write_points(pts, path, 1)
+    sinks.write_points(pts.where("value between 49 and 50").withColumn("value", F.col("value") + 0.5), path, 2)
+    got = sources.read_points(spark, path, t0 + dt.timedelta(hours=47), t0 + dt.timedelta(hours=52), "m", "f")
+    assert sorted(r["value"] for r in got.collect()) == [47.0, 48.0, 49.5, 50.5, 51.0]
+    plan = _plan(got)
+    assert re.search(r"PartitionFilters: \[[^\]]*day_bucket#\d+ >=", plan), plan  # (the plan text cuts long lists)
+    scanned = spark.read.parquet(path).where("day_bucket between '2024-01-02' and '2024-01-03'").select(F.input_file_name().alias("f")).distinct()
+    assert {r["f"].split("day_bucket=")[1][:10] for r in scanned.collect()} == {"2024-01-02", "2024-01-03"}

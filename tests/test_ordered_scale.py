@@ -42,6 +42,14 @@ def test_segments_of_many_series_cost_few_state_rows(spark, tmp):
     assert touched < len(data)  # (each row alone was written, read and removed)
 
 
+def test_a_trailing_view_of_many_times_costs_few_state_rows(spark, tmp):
+    data = many_series()
+    got, touched = run(spark, tmp, lambda s: ordered.trailing_stream(s, "sensor", "ts", "10 days"), data)
+    assert got.where("op = 'enter'").count() == len(data) + 1 and got.where("op = 'leave'").count() == len(data)
+    assert rows(ordered.in_view(got), "n") == [(-1,)]
+    assert touched < len(data)
+
+
 class Handle:
     """State of one group in memory, with the calls of a state store."""
 

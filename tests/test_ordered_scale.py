@@ -72,6 +72,29 @@ class Handle:
     deleteTimer = lambda self, t: self.timers.remove(t)  # noqa: E731, N815
 
 
+def test_a_hot_series_is_handed_over_in_pieces_of_bounded_size():
+    rng = np.random.default_rng(1)
+    handle, size = Handle(), 16 << 10
+    step = ordered.InOrder(1000, [], [0], 500, size)
+    step.init(handle)
+    us = rng.permutation(20_000) * 250_000
+    for part in np.array_split(us, 40):
+        t = pa.table({"key": ["a"] * len(part), "us": part, "c0": part})
+        assert list(step.handleInputRows((0,), iter([ordered._packed(t)]), None)) == []
+    first = min(handle.timers)
+    assert handle.timers == {first} and first == 1000
+    end = SimpleNamespace(getExpiryTimeInMs=lambda: first, getCurrentWatermarkInMs=lambda: 4_000_500)
+    out = [ordered._from_bytes(f["rows"][0]) for f in step.handleExpiredTimer((0,), end, end)]
+    assert max(t.nbytes for t in out) <= 4 * size and len(out) > 10
+    got = pa.concat_tables(out)
+    assert got["c0"].to_pylist() == list(range(0, 4_000_000_000, 250_000))
+    assert got["p0"].to_pylist() == [None, *got["c0"].to_pylist()[:-1]]
+    assert handle.timers == {first, 4_001_000} and handle.largest <= 4 * size
+    done = SimpleNamespace(getExpiryTimeInMs=lambda: 10**9, getCurrentWatermarkInMs=lambda: 10**9)
+    assert sum(ordered._from_bytes(f["rows"][0]).num_rows for f in step.handleExpiredTimer((0,), done, done)) == 4000
+    assert step.waiting.chunks.rows == {}
+
+
 def test_rows_of_one_time_stay_together_and_splitting_them_ends():
     handle = Handle()
     held = ordered.Buckets(handle, "b", 2000)

@@ -107,6 +107,18 @@ def test_rows_of_one_time_stay_together_and_splitting_them_ends():
     assert held.chunks.rows == {}
 
 
+@pytest.mark.parametrize("seed", [1, 2])
+def test_changes_of_one_series_over_split_buckets_equal_batch(spark, tmp, monkeypatch, seed):
+    monkeypatch.setattr(ordered, "FLUSH", 20)
+    monkeypatch.setattr(ordered, "BUCKET_BYTES", 4000)
+    data = [{**r, "sensor": None} for r in samples(seed, 600)]
+    random.Random(seed).shuffle(data)
+    got, touched = run(spark, tmp, lambda s: ordered.lag_stream(s, "sensor", ["ts", "tag", "v", "n"], ["v", "tag"], "30 days", "7 milliseconds"), data, 3)
+    want = series.lag_stitched(batch(spark, data), "sensor", ["ts", "tag", "v", "n"], ["v", "tag"])
+    assert rows(got.where("not late and n >= 0"), "n", "prev_v", "prev_tag") == rows(want, "n", "prev_v", "prev_tag")
+    assert rows(got, "n", "local", "ts") == rows(batch(spark, data), "n", "local", "ts")
+
+
 def test_tie_breakers_sort_like_spark(spark, tmp):
     """NULL first and NaN last, lists too; whole numbers with gaps stay whole."""
     d = os.path.join(tmp, "in")

@@ -24,6 +24,8 @@ SESSION_DEFAULTS = {
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # plan texts show whole filter lists: what prunes folders can be read there
+    "spark.sql.maxMetadataStringLength": "2000",
     "spark.ui.enabled": "false",
 }
 
